@@ -26,6 +26,13 @@ def mean(total: str | Column, count: str | Column) -> Column:
     return double(total) / F.nullif(double(count), F.lit(0.0))
 
 
+def rounded_mean(total: str | Column, count: str | Column, digits: int = 2) -> Column:
+    """Mean of exact sums, divided and rounded as decimals, so that halves round
+    up whatever their nearest double is."""
+    divisor = F.nullif(_col(count).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    return double(F.round(_col(total) / divisor, digits))
+
+
 def percent(part: str | Column, whole: str | Column) -> Column:
     """``part`` in percent of ``whole``; NULL when the divisor is 0."""
     return double(part) * 100.0 / F.nullif(double(whole), F.lit(0.0))

@@ -215,8 +215,8 @@ def category_breakdown(ledger: DataFrame) -> DataFrame:
                  F.count_if(amount < 0).alias("expense_count"),
                  F.count_if(amount > 0).alias("income_count")))
     rows = sums.withColumns({
-        "avg_expense": F.round(money.mean("total_expenses", "expense_count"), 2),
-        "avg_income": F.round(money.mean("total_income", "income_count"), 2)})
+        "avg_expense": money.rounded_mean("total_expenses", "expense_count"),
+        "avg_income": money.rounded_mean("total_income", "income_count")})
     return as_double(rows, "total_expenses", "total_income").orderBy(
         F.desc("total_expenses"), "category")
 
@@ -234,8 +234,7 @@ def account_analysis(ledger: DataFrame) -> DataFrame:
     sums = (ledger.filter(F.col("date").isNotNull()).groupBy("account")
             .agg(_count(), F.sum("amount").alias("net_flow"),
                  *money.signed_sums("expenses", "income"))
-            .withColumn("avg_transaction",
-                        F.round(money.mean("net_flow", "transaction_count"), 2)))
+            .withColumn("avg_transaction", money.rounded_mean("net_flow", "transaction_count")))
     return as_double(sums, "net_flow", "expenses", "income").orderBy(
         F.abs("net_flow").desc(), "account")
 

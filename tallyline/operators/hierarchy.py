@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.keys import BROADCAST_ROWS
-from tallyline.session import cut_lineage
+from tallyline.session import settle
 
 ARROW = " → "
 
@@ -16,27 +16,25 @@ ARROW = " → "
 def category_tree(edges: DataFrame) -> DataFrame:
     """Level, indented label and path of every node reachable from a root.
 
-    One join per level of the tree. A level is fixed by a checkpoint, so the plan
-    stays short and levels are not computed again; its counted size decides
-    whether it is broadcast. Where it is not, adaptive execution splits the
+    One join per level of the tree. A level is fixed (a literal table or a
+    checkpoint), so the plan stays short and levels are not computed again; its
+    counted size decides whether it is broadcast. Where it is not, adaptive execution splits the
     children of a parent that has most of them.
     """
     nodes = edges.select("category_id", "category_name", "parent_category_id", "level")
-    level = cut_lineage(nodes.filter("parent_category_id IS NULL")
-                        .withColumn("full_path", F.col("category_name")))
+    level, size = settle(nodes.filter("parent_category_id IS NULL")
+                         .withColumn("full_path", F.col("category_name")))
     levels = []
-    size = level.count()
     while size:
         levels.append(level)
         parents = level.select(F.col("category_id").alias("_id"),
                                F.col("full_path").alias("_path"))
         if size <= BROADCAST_ROWS:
             parents = F.broadcast(parents)
-        level = cut_lineage(
+        level, size = settle(
             nodes.join(parents, nodes.parent_category_id == F.col("_id"))
             .withColumn("full_path", F.concat("_path", F.lit(ARROW), "category_name"))
             .drop("_id", "_path"))
-        size = level.count()
     if not levels:
         levels = [level]
     return _labelled(reduce(DataFrame.unionByName, levels))

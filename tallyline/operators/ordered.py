@@ -58,15 +58,24 @@ def _number(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
+@dataclass(frozen=True)
+class Segmented:
+    """Rows with their ``_segment`` (int), and the number of segments."""
+
+    frame: DataFrame
+    segments: int
+
+
 def segmented(df: DataFrame, keys: list[str], order: Order,
-              rows_per_segment: int = ROWS_PER_SEGMENT) -> tuple[DataFrame, int]:
-    """Add ``_segment`` (int) and return the number of segments."""
+              rows_per_segment: int = ROWS_PER_SEGMENT) -> Segmented:
+    """Cut the order into segments. Reads only the key and order columns, once for
+    their number and range and once for the sample."""
     by, tie = _number(df, order.by), F.col(order.tie)
     rows, low, high, tie_low, tie_high = df.agg(
         F.count(F.lit(1)), F.min(by), F.max(by), F.min(tie), F.max(tie)).first()
     wanted = min(-(-rows // rows_per_segment), MAX_SEGMENTS)
     if wanted <= 1 or low is None:
-        return df.withColumn(SEGMENT, F.lit(0)), 1
+        return Segmented(df.withColumn(SEGMENT, F.lit(0)), 1)
 
     span = high - low + 1
     if span <= _EXACT_VALUES:
@@ -89,27 +98,31 @@ def segmented(df: DataFrame, keys: list[str], order: Order,
         _POSITION, [i / wanted for i in range(1, wanted)], 0.1 / wanted)
     inner_cuts = sorted(set(cuts))
     if not inner_cuts:
-        return df.withColumn(SEGMENT, F.lit(0)), 1
+        return Segmented(df.withColumn(SEGMENT, F.lit(0)), 1)
     bucketizer = Bucketizer(splits=[float("-inf"), *inner_cuts, float("inf")],
                             inputCol=_POSITION, outputCol=SEGMENT)
     tagged = (bucketizer.transform(placed).drop(_POSITION)
               .withColumn(SEGMENT, F.col(SEGMENT).cast("int")))
-    return tagged, len(inner_cuts) + 1
+    return Segmented(tagged, len(inner_cuts) + 1)
 
 
-def running_sums(df: DataFrame, keys: list[str], order: Order, sums: dict[str, Column],
+def running_sums(rows: DataFrame | Segmented, keys: list[str], order: Order,
+                 sums: dict[str, Column],
                  rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
     """Running sums along ``order`` within ``keys`` (no keys: over all rows).
 
     ``sums`` maps an output column to the value summed up to and including the
-    row. The order must be total within a key for the result to be defined.
+    row. The order must be total within a key for the result to be defined. Rows
+    that are cut already keep their segments.
     """
-    tagged, segments = segmented(df, keys, order, rows_per_segment)
+    cut = rows if isinstance(rows, Segmented) else segmented(rows, keys, order, rows_per_segment)
+    tagged = cut.frame
+    kept = [c for c in tagged.columns if c != SEGMENT]
     values = tagged.select(*tagged.columns, *[v.alias(n) for n, v in sums.items()])
-    if segments == 1:
+    if cut.segments == 1:
         window = (Window.partitionBy(*(keys or [SEGMENT])).orderBy(*order.columns())
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return values.select(*df.columns, *[F.sum(n).over(window).alias(n) for n in sums])
+        return values.select(*kept, *[F.sum(n).over(window).alias(n) for n in sums])
 
     # Opening totals: one row per (key, segment), at most ``segments`` rows per key.
     totals = values.groupBy(*keys, SEGMENT).agg(*[F.sum(n).alias(n) for n in sums])
@@ -126,7 +139,7 @@ def running_sums(df: DataFrame, keys: list[str], order: Order, sums: dict[str, C
     window = (Window.partitionBy(*keys, SEGMENT)
               .orderBy(F.col(_OPENING).desc(), *order.columns())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (lines.select(*df.columns, _OPENING,
+    return (lines.select(*kept, _OPENING,
                          *[F.sum(n).over(window).alias(n) for n in sums])
             .filter(~F.col(_OPENING)).drop(_OPENING))
 
@@ -140,15 +153,14 @@ def trailing(df: DataFrame, keys: list[str], order: Order, rows: int, measures:
     block are handed on to the next one, so a long key spreads over many tasks.
     """
     frame = (-(rows - 1), Window.currentRow)
-    tagged, segments = segmented(df, keys, order, rows_per_segment)
-    if segments == 1:
+    cut = segmented(df, keys, order, rows_per_segment)
+    if cut.segments == 1:
         window = Window.partitionBy(*(keys or [SEGMENT])).orderBy(*order.columns())
         window = window.rowsBetween(*frame)
-        return tagged.select(*df.columns, *[m.over(window).alias(n) for n, m in measures.items()])
+        return cut.frame.select(*df.columns, *[m.over(window).alias(n) for n, m in measures.items()])
 
     block_size = max(rows_per_segment, rows)
-    numbered = running_sums(df, keys, order, {"_number": F.lit(1).cast("bigint")},
-                            rows_per_segment)
+    numbered = running_sums(cut, keys, order, {"_number": F.lit(1).cast("bigint")})
     index = F.col("_number") - 1
     own = F.floor(index / block_size)
     handed_on = F.pmod(index, F.lit(block_size)) >= block_size - (rows - 1)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions import fraud, labels, money
-from tallyline.operators.ordered import ROWS_PER_SEGMENT, Order, running_sums, trailing
+from tallyline.operators.ordered import (ROWS_PER_SEGMENT, Order, Segmented, running_sums,
+                                         segmented, trailing)
 from tallyline.operators.reports import bounded
 
 LEDGER_ORDER = Order("date", "id")
@@ -81,22 +82,22 @@ def stream_summary(transactions: DataFrame, every: int = 10, opening: int = OPEN
                    rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
     """State of the stream after every ``every`` transactions: transactions, accounts
     and fraud alerts so far, and balances of the accounts that came first."""
+    cut = segmented(transactions, [], STREAM_ORDER, rows_per_segment)
     first = transactions.groupBy("account_id").agg(
         F.min(F.struct("ts", "transaction_id")).alias("_first"))
     opened = first.select(F.col("_first.transaction_id").alias("transaction_id"),
                           F.lit(1).cast("bigint").alias("_opened"))
     early = first.orderBy("_first").limit(sampled).select(  # at most ``sampled`` rows
         "account_id", F.row_number().over(Window.orderBy("_first")).alias("_slot"))
-    rows = (transactions.join(opened, "transaction_id", "left")
+    rows = (cut.frame.join(opened, "transaction_id", "left")
             .join(F.broadcast(early), "account_id", "left"))
     slots = range(1, sampled + 1)
     sums = running_sums(
-        rows, [], STREAM_ORDER,
+        Segmented(rows, cut.segments), [], STREAM_ORDER,
         {"transactions": F.lit(1).cast("bigint"),
          "active_accounts": F.coalesce("_opened", F.lit(0).cast("bigint")),
          "fraud_alerts": F.when(fraud.additive_score(limits) > 50, 1).otherwise(0).cast("bigint"),
-         **{f"balance_{i}": F.when(F.col("_slot") == i, F.col("amount")) for i in slots}},
-        rows_per_segment)
+         **{f"balance_{i}": F.when(F.col("_slot") == i, F.col("amount")) for i in slots}})
     return sums.filter(F.col("transactions") % every == 0).select(
         "transactions", "active_accounts", "fraud_alerts",
         *[money.double(F.col(f"balance_{i}") + F.lit(opening)).alias(f"balance_{i}")

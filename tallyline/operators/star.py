@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import labels, money, periods
 from tallyline.operators.keys import Dimension, dense_keys
+from tallyline.session import settle
 
 
 def dim_date(ledger: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def _members(names: DataFrame, column: str, default: str) -> DataFrame:
 def dim_category(ledger: DataFrame) -> Dimension:
     names = _members(ledger.select(F.col("category").alias("category_name")),
                      "category_name", "Unknown")
-    dim = dense_keys(names, "category_name", "category_id")
+    dim = dense_keys(names, "category_name", "category_id", few=True)
     group = labels.category_group(F.col("category_name")).alias("category_group")
     return Dimension(dim.frame.select("category_id", "category_name", group), dim.rows)
 
@@ -50,7 +51,7 @@ def dim_merchant(ledger: DataFrame) -> Dimension:
     merchants = ledger.filter(labels.is_merchant(F.col("category")))
     names = _members(merchants.select(F.col("category").alias("merchant_name")),
                      "merchant_name", "Other")
-    dim = dense_keys(names, "merchant_name", "merchant_id")
+    dim = dense_keys(names, "merchant_name", "merchant_id", few=True)
     kind = labels.merchant_type(F.col("merchant_name")).alias("merchant_type")
     return Dimension(dim.frame.select("merchant_id", "merchant_name", kind), dim.rows)
 
@@ -65,7 +66,9 @@ class Star:
 
 
 def build_star(ledger: DataFrame) -> Star:
-    return Star(dim_category(ledger), dim_account(ledger), dim_merchant(ledger))
+    """Two dimensions describe the category, whose distinct names are found once."""
+    categories, _ = settle(ledger.select("category").distinct())
+    return Star(dim_category(categories), dim_account(ledger), dim_merchant(categories))
 
 
 def fact_transactions(ledger: DataFrame, star: Star) -> DataFrame:

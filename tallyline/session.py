@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# As many rows as may pass through the driver to become a literal table.
+FEW_ROWS = 1_000
+
 # Settings a job needs whatever the cluster looks like. Sizes (executor memory,
 # shuffle partitions, broadcast threshold) are left to the cluster.
 COMMON_CONF = {
@@ -17,6 +20,9 @@ COMMON_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Looking up the Python call site of every column expression costs more than
+    # planning a report.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -56,11 +62,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_table(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:
+def settle(df: DataFrame, few: int = FEW_ROWS) -> tuple[DataFrame, int]:
+    """Compute ``df`` once: (its rows fixed, their number).
+
+    Up to ``few`` rows become a literal table; more are checkpointed. The first
+    rows that decide this are fetched with a limit, never more than ``few + 1``.
+    """
+    head = df.limit(few + 1).toArrow()
+    if head.num_rows <= few:
+        rows = head.to_pylist()
+        columns = {name: [row[name] for row in rows] for name in df.columns}
+        return small_table(df.sparkSession, columns, df.schema), head.num_rows
+    fixed = cut_lineage(df)
+    return fixed, fixed.count()
+
+
+def small_table(spark: SparkSession, columns: dict[str, list],
+                schema: str | T.StructType) -> DataFrame:
     """A literal table of driver-side values (metadata, reference rows)."""
-    table = pa.table(columns) if any(columns.values()) else None
-    if table is None:
+    if not any(columns.values()):
         return spark.createDataFrame([], schema)
-    target = T.StructType.fromDDL(schema)
+    table = pa.table(columns)
+    target = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     return spark.createDataFrame(table).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])

@@ -119,6 +119,21 @@ def test_table_scan_options():
     assert (options["partitionColumn"], options["numPartitions"], options["user"]) == ("id", "8", "u")
 
 
+@pytest.mark.parametrize("scale", ["0.001", "0.01", "0.1"])
+def test_stated_schemas_are_those_of_the_files(spark, scale):
+    for name in tables.SCHEMAS:
+        path = f"/root/testdata/sf{scale}"
+        assert tables.table(spark, path, name).dtypes == spark.read.parquet(f"{path}/{name}.parquet").dtypes
+
+
+def test_settle(spark):
+    for few in (5, 100):
+        df, n = session.settle(spark.range(10).withColumn("d", F.lit(Decimal("1.50")).cast("decimal(12,2)")), few)
+        assert n == df.count() == 10 and df.dtypes == [("id", "bigint"), ("d", "decimal(12,2)")]
+    empty, n = session.settle(spark.range(0))
+    assert n == empty.count() == 0
+
+
 def test_checkpoint_folder_comes_from_the_session(spark):
     assert session.checkpoint_dir(spark).startswith("file:") or session.checkpoint_dir(spark).startswith("/")
     assert spark.conf.get("spark.checkpoint.dir").rsplit("/", 1)[1] in session.checkpoint_dir(spark)

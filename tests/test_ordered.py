@@ -68,15 +68,15 @@ def test_trailing(spark, size):
 
 
 def test_hot_key_and_day_are_split(spark):
-    tagged, segments = segmented(frame(spark, hot_data()), ["k"], ORDER, 100)
-    largest = tagged.groupBy("k", SEGMENT).count().agg(F.max("count")).first()[0]
-    assert segments > 15
+    cut = segmented(frame(spark, hot_data()), ["k"], ORDER, 100)
+    largest = cut.frame.groupBy("k", SEGMENT).count().agg(F.max("count")).first()[0]
+    assert cut.segments > 15
     assert largest < 500
 
 
 def test_segments_follow_the_order(spark):
-    tagged, _ = segmented(frame(spark, hot_data()), [], ORDER, 100)
-    parts = [r[SEGMENT] for r in tagged.orderBy("d", "id").collect()]
+    cut = segmented(frame(spark, hot_data()), [], ORDER, 100)
+    parts = [r[SEGMENT] for r in cut.frame.orderBy("d", "id").collect()]
     assert parts == sorted(parts)
 
 

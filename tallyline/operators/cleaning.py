@@ -97,3 +97,8 @@ def new_rows(incoming: DataFrame, booked: DataFrame, keys: list[str] = NATURAL_K
         complete = complete & F.col(k).isNotNull()
     fresh = incoming.filter(complete).dropDuplicates(keys).join(known, keys, "left_anti")
     return fresh.unionByName(incoming.filter(~complete))
+
+
+def stamped(df: DataFrame, name: str, at: dt.datetime | None = None) -> DataFrame:
+    """Add the time of loading, the same for all rows of one run."""
+    return df.withColumn(name, F.lit(at) if at else F.current_timestamp())

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions import money, periods
 
 
 def spending_per_period(ledger: DataFrame, as_of: dt.date, days: int, count: int) -> DataFrame:
-    """Spending per category in the last ``count`` periods of ``days`` days.
+    """Spending and number of expenses per category in the last ``count`` periods of ``days`` days.
 
     Period 0 ends at ``as_of`` (that day included), earlier ones are negative.
     """
@@ -20,7 +24,7 @@ def spending_per_period(ledger: DataFrame, as_of: dt.date, days: int, count: int
     end = as_of + dt.timedelta(days=1)
     return (ledger.filter(periods.between("date", start, end) & (F.col("amount") < 0))
             .groupBy("category", (-F.floor(age / days)).alias("period"))
-            .agg(F.abs(F.sum("amount")).alias("spent")))
+            .agg(F.abs(F.sum("amount")).alias("spent"), F.count(F.lit(1)).alias("n")))
 
 
 def fit_trends(spending: DataFrame) -> DataFrame:
@@ -80,3 +84,58 @@ def repeat_last(spending: DataFrame, as_of: dt.date) -> DataFrame:
     return spending.select(F.lit(as_of.strftime("%Y-%m")).alias("month"),
                            F.col("current").alias("predicted_amount"),
                            "category", F.lit(0.7).alias("confidence"))
+
+
+# --- several features per category ----------------------------------------------------
+
+FEATURES = ["previous_spent", "previous_count", "period"]
+
+
+def feature_rows(ledger: DataFrame, as_of: dt.date, days: int = 30, count: int = 12) -> DataFrame:
+    """Per category and period: what was spent, and spending and number of expenses
+    of the period before. Windows run over at most ``count`` rows per category."""
+    spent = spending_per_period(ledger, as_of, days, count)
+    before = Window.partitionBy("category").orderBy("period")
+    return spent.select(
+        "category", money.double("period").alias("period"), money.double("spent").alias("spent"),
+        money.double(F.lag("spent").over(before)).alias("previous_spent"),
+        money.double(F.lag("n").over(before)).alias("previous_count"))
+
+
+def fit_models(rows: DataFrame, categories: list[str]) -> dict[str, PipelineModel]:
+    """A scaled linear model for each of a few named categories; categories without
+    two usable rows are left out."""
+    pipeline = Pipeline(stages=[
+        VectorAssembler(inputCols=FEATURES, outputCol="raw"),
+        StandardScaler(inputCol="raw", outputCol="features", withMean=True),
+        LinearRegression(labelCol="spent", predictionCol="predicted_amount", solver="normal",
+                         regParam=1e-9)])
+    usable = rows.filter(F.col("category").isin(*categories)).na.drop(subset=FEATURES)
+    enough = {r.category for r in usable.groupBy("category").count().filter("count > 1").collect()}
+    return {c: pipeline.fit(usable.filter(F.col("category") == c)) for c in categories if c in enough}
+
+
+def model_quality(models: dict[str, PipelineModel]) -> dict[str, float]:
+    """R² of every model on its training rows."""
+    return {name: model.stages[-1].summary.r2 for name, model in models.items()}
+
+
+def predict_with_models(models: dict[str, PipelineModel], latest: DataFrame,
+                        as_of: dt.date) -> DataFrame:
+    """Next period per category from (category, spent, n, period) of the last one,
+    kept within half and one and a half of it; without a model the same again."""
+    inputs = latest.select(
+        "category", F.col("spent").alias("previous_spent"),
+        money.double("n").alias("previous_count"), (F.col("period") + 1.0).alias("period"))
+    parts = [inputs.filter(~F.col("category").isin(*models) if models else F.lit(True))
+             .select("category", "previous_spent", F.col("previous_spent").alias("predicted_amount"),
+                     F.lit(0.6).alias("confidence"))]
+    last = F.col("previous_spent")
+    for name, model in models.items():
+        parts.append(model.transform(inputs.filter(F.col("category") == name)).select(
+            "category", "previous_spent",
+            money.clamp(F.col("predicted_amount"), last * 0.5, last * 1.5).alias("predicted_amount"),
+            F.least(F.lit(0.95), F.lit(0.7) + last / 1000 * 0.25).alias("confidence")))
+    month = (as_of + dt.timedelta(days=30)).strftime("%Y-%m")
+    return reduce(DataFrame.unionByName, parts).select(
+        F.lit(month).alias("month"), "predicted_amount", "category", "confidence")

@@ -27,6 +27,16 @@ def bounded(name: str, value: int, low: int, high: int) -> int:
     return value
 
 
+def first_rows(df: DataFrame, order: list[str], rows: int = 5) -> DataFrame:
+    """The first rows in order, as a top-n without a full sort."""
+    return df.orderBy(*order).limit(rows)
+
+
+def last_rows(df: DataFrame, order: list[str], rows: int = 5) -> DataFrame:
+    """The last rows, in ascending order."""
+    return df.orderBy(*[F.desc(c) for c in order]).limit(rows).orderBy(*order)
+
+
 # --- over the warehouse table -------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyline import schemas, session
 from tallyline.functions import fraud
 from tallyline.operators import hierarchy, reports, running, star
-from tallyline.plans import batch, catalog, jobs
+from tallyline.plans import batch, catalog, jobs, warehouse
 from tallyline.sources import files, relational, tables
 from tallyline.sources.lineage import LineageLog
 from tests.helpers import as_set, day, ledger, rows
@@ -52,6 +52,24 @@ def test_batch_job(spark, small, tmp_path):
     assert spark.read.parquet(paths["silver/transactions"]).count() == 1500
 
 
+def test_star_tables_and_marts(spark, small, tmp_path):
+    ledger_ = tables.ledger(spark, small)
+    paths = warehouse.build_star_tables(spark, ledger_, str(tmp_path / "star"))
+    fact = spark.read.parquet(paths["fact_transactions"])
+    wide = spark.read.parquet(paths["warehouse_transactions"])
+    assert fact.count() == wide.count() == 1500
+    assert fact.select("loaded_at").distinct().count() == 1
+    shared = ["transaction_id", "category_group", "account_type", "merchant_type", "year", "month"]
+    assert as_set(wide, *shared) == as_set(star.warehouse(ledger_), *shared)
+    accounts = spark.read.parquet(paths["dim_account"])
+    assert fact.join(accounts, "account_id").count() == 1500
+    marts = warehouse.build_marts(spark, tables.raw_ledger(spark, small), str(tmp_path / "marts"))
+    assert spark.read.parquet(marts["financial_summary"]).count() == 100
+    trends = spark.read.parquet(marts["monthly_trends"])
+    assert trends.filter("category = 'All'").agg(F.sum("transaction_count")).first()[0] == \
+        spark.read.parquet(marts["stg_transactions"]).count()
+
+
 def test_statement_load_is_idempotent(spark, tmp_path):
     csv = tmp_path / "statement.csv"
     csv.write_text("date,amount,category,account\n2024-01-01,-4.50,Coffee,a\n2024-01-02,10.00,,a\n")

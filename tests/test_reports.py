@@ -214,3 +214,37 @@ def test_sentiment(spark):
     news = spark.createDataFrame([(0.3,), (0.9,), (-0.5,), (-0.3,)], "sentiment_score DOUBLE")
     assert as_set(reports.sentiment_summary(news)) == {
         ("flat", 2, 0.0), ("up", 1, 0.9), ("down", 1, -0.5), ("all", 4, 0.1)}
+
+
+def test_models_with_several_features(spark):
+    """Spending that is an exact linear function of the features is predicted."""
+    import random
+    rng = random.Random(5)
+    rows_, previous, count = [], 50.0, 3.0
+    for period in range(-11, 1):
+        spent = 20 + 0.5 * previous + 2 * count + 3 * period
+        rows_.append(("A", float(period), spent, previous, count))
+        previous, count = spent + rng.random() * 9, float(rng.randrange(1, 9))
+    rows_.append(("B", 0.0, 5.0, 4.0, 1.0))
+    data = spark.createDataFrame(
+        rows_, "category STRING, period DOUBLE, spent DOUBLE, previous_spent DOUBLE, previous_count DOUBLE")
+    models = forecast.fit_models(data, ["A", "B", "absent"])
+    assert set(models) == {"A"}  # one row is no model
+    assert forecast.model_quality(models)["A"] == pytest.approx(1, abs=1e-6)
+    latest = spark.createDataFrame([("A", 60.0, 4, 0.0), ("B", 5.0, 1, 0.0)],
+                                   "category STRING, spent DOUBLE, n INT, period DOUBLE")
+    got = {r.category: r for r in forecast.predict_with_models(models, latest, AS_OF).collect()}
+    assert got["A"].predicted_amount == pytest.approx(20 + 30 + 8 + 3, rel=1e-4)
+    assert got["A"].confidence == pytest.approx(0.7 + 0.06 * 0.25)
+    assert (got["B"].predicted_amount, got["B"].confidence) == (5.0, 0.6)
+
+
+def test_feature_rows(book):
+    got = {(r.category, int(r.period)): r for r in forecast.feature_rows(book, AS_OF).collect()}
+    assert got["Coffee", 0].previous_spent == 50.0 and got["Coffee", 0].previous_count == 1.0
+    assert got["Coffee", -1].previous_spent is None
+
+
+def test_first_and_last_rows(book):
+    assert [r.id for r in reports.first_rows(book, ["date", "id"], 2).collect()] == [1, 2]
+    assert [r.id for r in reports.last_rows(book, ["date", "id"], 2).collect()] == [6, 7]

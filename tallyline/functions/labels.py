@@ -55,6 +55,25 @@ TEXT_KEYWORDS = {
     "health": ["doctor", "hospital", "pharmacy", "medical"],
 }
 
+# Category names of each group; names with one of the marks are income.
+CATEGORY_GROUPS = {
+    "Dining": ["Food", "Coffee", "Restaurant"],
+    "Retail": ["Shopping", "Electronics"],
+    "Transportation": ["Transport", "Fuel"],
+}
+INCOME_MARKS = ["Salary", "Deposit"]
+
+# Mark in the account name -> account type.
+ACCOUNT_TYPES = {"Checking": "Checking", "Savings": "Savings", "Credit": "Credit Card"}
+
+# Category names of each merchant type, and marks for the last one.
+MERCHANT_TYPES = {
+    "Subscription": ["Netflix", "Streaming"],
+    "Groceries": ["Grocery Store", "Supermarket"],
+    "Technology": ["Electronics"],
+}
+TECHNOLOGY_MARK = "Tech"
+
 # Upper limits of the expense size classes.
 SIZE_LIMITS = {"VERY_LARGE": -1000, "LARGE": -500, "MEDIUM": -100, "SMALL": 0}
 
@@ -95,31 +114,38 @@ def transaction_type(amount: Column, style: str = "two_way") -> Column:
     return F.when(amount < 0, negative).when(amount > 0, positive).otherwise(zero)
 
 
+def _listed(name: Column, groups: Mapping[str, list[str]]) -> Column:
+    """The first group that lists the name, as a chain still open for more cases."""
+    branches = F
+    for group, names in groups.items():
+        branches = branches.when(name.isin(*names), group)
+    return branches
+
+
+def _has_income_mark(category: Column) -> Column:
+    return reduce(lambda a, b: a | b, [category.contains(mark) for mark in INCOME_MARKS])
+
+
 def category_group(category: Column) -> Column:
-    return (F.when(category.isin("Food", "Coffee", "Restaurant"), "Dining")
-            .when(category.isin("Shopping", "Electronics"), "Retail")
-            .when(category.isin("Transport", "Fuel"), "Transportation")
-            .when(category.like("%Salary%") | category.like("%Deposit%"), "Income")
-            .otherwise("Other"))
+    return (_listed(category, CATEGORY_GROUPS)
+            .when(_has_income_mark(category), "Income").otherwise("Other"))
 
 
 def account_type(account: Column) -> Column:
-    return (F.when(account.like("%Checking%"), "Checking")
-            .when(account.like("%Savings%"), "Savings")
-            .when(account.like("%Credit%"), "Credit Card")
-            .otherwise("Other"))
+    branches = F
+    for mark, kind in ACCOUNT_TYPES.items():
+        branches = branches.when(account.contains(mark), kind)
+    return branches.otherwise("Other")
 
 
 def is_merchant(category: Column) -> Column:
     """Everything but salaries and deposits was spent at some merchant."""
-    return ~category.like("%Salary%") & ~category.like("%Deposit%")
+    return ~_has_income_mark(category)
 
 
 def merchant_type(category: Column) -> Column:
-    return (F.when(category.isin("Netflix", "Streaming"), "Subscription")
-            .when(category.isin("Grocery Store", "Supermarket"), "Groceries")
-            .when(category.like("%Tech%") | (category == "Electronics"), "Technology")
-            .otherwise("General"))
+    return (_listed(category, MERCHANT_TYPES)
+            .when(category.contains(TECHNOLOGY_MARK), "Technology").otherwise("General"))
 
 
 def day_type(day_of_week: Column) -> Column:

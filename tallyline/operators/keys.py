@@ -12,7 +12,7 @@ from tallyline.session import FEW_ROWS, cut_lineage, small_table
 
 # A dimension row is an id and a few short names (about 100 bytes), so this many
 # rows stay well below what every executor can hold.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)

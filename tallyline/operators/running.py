@@ -40,7 +40,7 @@ def recent_transactions(ledger: DataFrame, limit: int = 10) -> DataFrame:
     dated = ledger.filter(F.col("date").isNotNull())
     steps = {"running_balance": F.col("amount"), "cumulative_expenses": money.expense(),
              "cumulative_income": money.income()}
-    totals = dated.agg(*[F.sum(step).alias(n) for n, step in steps.items()])
+    totals = dated.agg(F.struct(*[F.sum(step).alias(n) for n, step in steps.items()]).alias("t"))
     newest_first = [F.desc("date"), F.desc("id")]
     newer = (Window.orderBy(*newest_first)  # at most ``limit`` rows
              .rowsBetween(Window.unboundedPreceding, -1))
@@ -48,9 +48,9 @@ def recent_transactions(ledger: DataFrame, limit: int = 10) -> DataFrame:
     zero = F.lit(0).cast("decimal(12,2)")
     return (latest.withColumns({f"_{n}": F.coalesce(F.sum(step).over(newer), zero)
                                 for n, step in steps.items()})
+            .withColumn("_t", totals.scalar())
             .select("id", "date", money.double("amount").alias("amount"), "category", "account",
-                    *[money.double(totals.select(n).scalar() - F.col(f"_{n}")).alias(n)
-                      for n in _RUNNING])
+                    *[money.double(F.col(f"_t.{n}") - F.col(f"_{n}")).alias(n) for n in _RUNNING])
             .orderBy(*newest_first))
 
 

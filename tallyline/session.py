@@ -23,6 +23,8 @@ COMMON_CONF = {
     # Looking up the Python call site of every column expression costs more than
     # planning a report.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # A session that runs many reports should not compile the same stage twice.
+    "spark.sql.codegen.cache.maxEntries": "1000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

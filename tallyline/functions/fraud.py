@@ -17,50 +17,55 @@ class FraudLimits:
     discretionary: float = 500
 
 
-# Points per rule.
-FLAGGED, ABROAD, NIGHT, DISCRETIONARY, BASE = 100, 85, 70, 60, 10
-
-
-def _rules(limits: FraudLimits) -> dict[str, Column]:
-    amount = F.col("amount")
+# Points and reason of each rule, in rule order.
+RULES = {
+    "abroad": (85, "Large international transaction"),
+    "night": (70, "Unusual hour transaction (late night)"),
+    "discretionary": (60, "Large discretionary spending"),
+}
+FLAGGED_POINTS, FLAGGED_REASON = 100, "Pre-flagged as fraudulent"
+BASE_POINTS = 10
+
+# Score above which a level applies, highest first.
+ALERT_LEVELS = {"HIGH_RISK": 50, "MEDIUM_RISK": 30}
+LOWEST_LEVEL = "LOW_RISK"
+
+
+def _holds(limits: FraudLimits) -> dict[str, Column]:
+    """Condition of each rule on the columns of a transaction."""
+    spent, hour = F.col("amount"), F.hour(F.to_timestamp("timestamp"))
     return {
-        "abroad": (amount < limits.abroad) & (F.col("location") == "INTERNATIONAL"),
-        "night": (amount < limits.night) & (F.hour(F.to_timestamp("timestamp")) < 6),
-        "discretionary": ((F.abs(amount) > limits.discretionary)
-                          & F.col("category").isin("Food", "Entertainment")),
+        "abroad": (F.col("location") == "INTERNATIONAL") & (spent < limits.abroad),
+        "night": (hour < 6) & (spent < limits.night),
+        "discretionary": F.col("category").isin("Food", "Entertainment")
+        & (F.abs(spent) > limits.discretionary),
     }
 
 
 def first_match_score(limits: FraudLimits = FraudLimits()) -> Column:
-    """Score of the first rule that holds; a NULL flag counts as not flagged."""
-    rule = _rules(limits)
-    return (F.when(F.col("is_fraudulent"), FLAGGED)
-            .when(rule["abroad"], ABROAD)
-            .when(rule["night"], NIGHT)
-            .when(rule["discretionary"], DISCRETIONARY)
-            .otherwise(BASE))
+    """Points of the first rule that holds, a flag before all; a NULL flag counts
+    as not flagged."""
+    score = F.when(F.col("is_fraudulent"), FLAGGED_POINTS)
+    for rule, condition in _holds(limits).items():
+        score = score.when(condition, RULES[rule][0])
+    return score.otherwise(BASE_POINTS)
 
 
 def alert_level(score: Column) -> Column:
-    return (F.when(score > 50, "HIGH_RISK").when(score > 30, "MEDIUM_RISK")
-            .otherwise("LOW_RISK"))
+    levels = F
+    for level, limit in ALERT_LEVELS.items():
+        levels = levels.when(score > limit, level)
+    return levels.otherwise(LOWEST_LEVEL)
 
 
 def additive_score(limits: FraudLimits = FraudLimits()) -> Column:
-    """Points of all rules that hold; a flag replaces the sum by 100."""
-    rule = _rules(limits)
-    total = (F.when(rule["abroad"], ABROAD).otherwise(0)
-             + F.when(rule["night"], NIGHT).otherwise(0)
-             + F.when(rule["discretionary"], DISCRETIONARY).otherwise(0))
-    return F.when(F.col("is_fraudulent"), FLAGGED).otherwise(total)
+    """Points of all rules that hold; a flag replaces the sum."""
+    points = [F.when(condition, RULES[rule][0]).otherwise(0)
+              for rule, condition in _holds(limits).items()]
+    return F.when(F.col("is_fraudulent"), FLAGGED_POINTS).otherwise(sum(points, F.lit(0)))
 
 
 def reasons(limits: FraudLimits = FraudLimits()) -> Column:
-    """Texts of all rules that hold, in rule order."""
-    rule = _rules(limits)
-    return F.array_compact(F.array(
-        F.when(rule["abroad"], "Large international transaction"),
-        F.when(rule["night"], "Unusual hour transaction (late night)"),
-        F.when(rule["discretionary"], "Large discretionary spending"),
-        F.when(F.col("is_fraudulent"), "Pre-flagged as fraudulent"),
-    ))
+    """Texts of all rules that hold, in rule order, the flag last."""
+    texts = [F.when(condition, RULES[rule][1]) for rule, condition in _holds(limits).items()]
+    return F.array_compact(F.array(*texts, F.when(F.col("is_fraudulent"), FLAGGED_REASON)))

@@ -6,6 +6,8 @@ Every report that speaks of "today" takes it as ``as_of``.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -380,51 +382,72 @@ def historical_enhanced(ledger: DataFrame, as_of: dt.date, months: int = 6) -> D
 # --- recommendations over spending_by_category ------------------------------------
 
 
-def recommend_budget(spending: DataFrame, high: float = 500, low: float = 50) -> DataFrame:
-    """Limit per category from its spending alone."""
+@dataclass(frozen=True)
+class BudgetRule:
+    """Holds for spending and trend strictly within the given bounds."""
+
+    factor: float
+    reason: str
+    priority: str | None = None
+    above: float | None = None
+    below: float | None = None
+    rising: float | None = None
+    falling: float | None = None
+
+    def holds(self) -> Column:
+        amount, trend = F.col("current"), F.col("pct_change")
+        tests = [amount > self.above if self.above is not None else None,
+                 amount < self.below if self.below is not None else None,
+                 trend > self.rising if self.rising is not None else None,
+                 trend < self.falling if self.falling is not None else None]
+        return reduce(lambda a, b: a & b, [t for t in tests if t is not None], F.lit(True))
+
+
+# Rules over spending alone; the first that holds counts.
+SPENDING_RULES = [
+    BudgetRule(0.8, "High spending detected", above=500),
+    BudgetRule(1.2, "Low spending, can increase budget", below=50),
+    BudgetRule(1.0, "Spending within normal range"),
+]
+
+# Rules over spending and its trend in percent.
+TREND_RULES = [
+    BudgetRule(0.7, "High spending with significant increase", "high", above=500, rising=20),
+    BudgetRule(0.85, "Moderate spending increasing", "medium", above=300, rising=10),
+    BudgetRule(1.3, "Low spending decreasing further", "low", below=50, falling=-20),
+    BudgetRule(1.1, "Low spending, room for increase", "low", below=100),
+    BudgetRule(1.0, "Spending within normal range", "normal"),
+]
+
+
+def _first_rule(rules: list[BudgetRule], value: str) -> Column:
+    branches = F
+    for rule in rules:
+        branches = branches.when(rule.holds(), getattr(rule, value))
+    return branches
+
+
+def recommend_budget(spending: DataFrame, rules: list[BudgetRule] = SPENDING_RULES) -> DataFrame:
+    """Limit per category with spending."""
     amount = F.col("current")
-    limit = F.when(amount > high, amount * 0.8).when(amount < low, amount * 1.2).otherwise(amount)
-    reason = (F.when(amount > high, "High spending detected")
-              .when(amount < low, "Low spending, can increase budget")
-              .otherwise("Spending within normal range"))
     return (spending.filter(amount > 0)
             .select("category", amount.alias("current_spending"),
-                    limit.alias("recommended_limit"), reason.alias("reason"))
+                    (amount * _first_rule(rules, "factor")).alias("recommended_limit"),
+                    _first_rule(rules, "reason").alias("reason"))
             .withColumn("percentage_change", _change_percent()))
 
 
-# Fixed values: (spending above, below; trend above, below; factor; reason; priority).
-TREND_RULES = [
-    (500, None, 20, None, 0.7, "High spending with significant increase", "high"),
-    (300, None, 10, None, 0.85, "Moderate spending increasing", "medium"),
-    (None, 50, None, -20, 1.3, "Low spending decreasing further", "low"),
-    (None, 100, None, None, 1.1, "Low spending, room for increase", "low"),
-    (None, None, None, None, 1.0, "Spending within normal range", "normal"),
-]
-
-
-def recommend_budget_by_trend(spending: DataFrame) -> DataFrame:
-    """Limit per category from spending and its trend, first rule that holds."""
-    amount, trend = F.col("current"), F.col("pct_change")
-    factor = reason = priority = F
-    for above, below, rising, falling, times, text, level in TREND_RULES:
-        holds = F.lit(True)
-        if above is not None:
-            holds = holds & (amount > above)
-        if below is not None:
-            holds = holds & (amount < below)
-        if rising is not None:
-            holds = holds & (trend > rising)
-        if falling is not None:
-            holds = holds & (trend < falling)
-        factor = factor.when(holds, times)
-        reason = reason.when(holds, text)
-        priority = priority.when(holds, level)
-    return (spending.select(
-        "category", amount.alias("current_spending"),
-        (amount * factor).alias("recommended_limit"), reason.alias("reason"),
-        priority.alias("priority"), trend.alias("trend_pct_change"))
-        .withColumn("percentage_change", _change_percent()))
+def recommend_budget_by_trend(spending: DataFrame,
+                              rules: list[BudgetRule] = TREND_RULES) -> DataFrame:
+    """Limit per category from spending and its trend, with a priority."""
+    amount = F.col("current")
+    return (spending
+            .select("category", amount.alias("current_spending"),
+                    (amount * _first_rule(rules, "factor")).alias("recommended_limit"),
+                    _first_rule(rules, "reason").alias("reason"),
+                    _first_rule(rules, "priority").alias("priority"),
+                    F.col("pct_change").alias("trend_pct_change"))
+            .withColumn("percentage_change", _change_percent()))
 
 
 def _change_percent() -> Column:

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.session import small_table
+
 ROWS_PER_SEGMENT = 100_000
 MAX_SEGMENTS = 50_000
 SAMPLED_PER_SEGMENT = 50
@@ -30,9 +32,10 @@ SEGMENT = "_segment"
 _POSITION = "_position"
 _OPENING = "_opening"
 
-# A double holds 52 bits exactly: 12 spread the keys, 40 hold the place in order.
-_KEY_SLOTS = 1 << 12
-_PLACES = 1 << 40
+# A double holds 52 bits exactly: 20 spread the keys, 32 hold the place in order.
+# There are many more slots than cuts, so few keys share a slot with a cut.
+_KEY_SLOTS = 1 << 20
+_PLACES = 1 << 32
 # Below this many distinct first-order values they keep their exact distance, and
 # the tie-break can subdivide one value (a day that holds most of the rows).
 _EXACT_VALUES = 1 << 20
@@ -60,10 +63,16 @@ def _number(df: DataFrame, name: str) -> Column:
 
 @dataclass(frozen=True)
 class Segmented:
-    """Rows with their ``_segment`` (int), and the number of segments."""
+    """Rows with their ``_segment`` (int), the number of segments, and the hash
+    slots of keys that a cut may divide (at most one per cut)."""
 
     frame: DataFrame
     segments: int
+    divided_slots: tuple[int, ...] = ()
+
+
+def _slot(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(_KEY_SLOTS))
 
 
 def segmented(df: DataFrame, keys: list[str], order: Order,
@@ -88,8 +97,7 @@ def segmented(df: DataFrame, keys: list[str], order: Order,
         place = F.coalesce(F.floor((by - F.lit(low)) / F.lit(step)) + 1, F.lit(0))
         width = int(span / step) + 3
     if keys:
-        slot = F.pmod(F.xxhash64(*keys), F.lit(_KEY_SLOTS))
-        place = slot.cast("double") * F.lit(float(width)) + place
+        place = _slot(keys).cast("double") * F.lit(float(width)) + place
     placed = df.withColumn(_POSITION, place.cast("double"))
 
     fraction = min(1.0, SAMPLED_PER_SEGMENT * wanted / rows)
@@ -103,7 +111,8 @@ def segmented(df: DataFrame, keys: list[str], order: Order,
                             inputCol=_POSITION, outputCol=SEGMENT)
     tagged = (bucketizer.transform(placed).drop(_POSITION)
               .withColumn(SEGMENT, F.col(SEGMENT).cast("int")))
-    return Segmented(tagged, len(inner_cuts) + 1)
+    divided = sorted({int(cut) // width for cut in inner_cuts}) if keys else []
+    return Segmented(tagged, len(inner_cuts) + 1, tuple(divided))
 
 
 def running_sums(rows: DataFrame | Segmented, keys: list[str], order: Order,
@@ -125,7 +134,12 @@ def running_sums(rows: DataFrame | Segmented, keys: list[str], order: Order,
         return values.select(*kept, *[F.sum(n).over(window).alias(n) for n in sums])
 
     # Opening totals: one row per (key, segment), at most ``segments`` rows per key.
-    totals = values.groupBy(*keys, SEGMENT).agg(*[F.sum(n).alias(n) for n in sums])
+    # A key whose slot has no cut lies in one segment and needs none.
+    divided = values
+    if keys:
+        slots = small_table(values.sparkSession, {"_slot": list(cut.divided_slots)}, "_slot BIGINT")
+        divided = values.join(F.broadcast(slots), _slot(keys) == F.col("_slot"), "left_semi")
+    totals = divided.groupBy(*keys, SEGMENT).agg(*[F.sum(n).alias(n) for n in sums])
     before = (Window.partitionBy(*keys).orderBy(SEGMENT)
               .rowsBetween(Window.unboundedPreceding, -1))
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(SEGMENT)) == 1

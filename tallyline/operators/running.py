@@ -93,7 +93,7 @@ def stream_summary(transactions: DataFrame, every: int = 10, opening: int = OPEN
             .join(F.broadcast(early), "account_id", "left"))
     slots = range(1, sampled + 1)
     sums = running_sums(
-        Segmented(rows, cut.segments), [], STREAM_ORDER,
+        Segmented(rows, cut.segments, cut.divided_slots), [], STREAM_ORDER,
         {"transactions": F.lit(1).cast("bigint"),
          "active_accounts": F.coalesce("_opened", F.lit(0).cast("bigint")),
          "fraud_alerts": F.when(fraud.additive_score(limits) > 50, 1).otherwise(0).cast("bigint"),

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +42,7 @@ def remainder(column: str, divisor: int):
 
 def slices(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in order, in parts of at most ``limit`` bytes of text or of one row."""
-    sizes = np.nan_to_num(np.asarray(pa.compute.binary_length(batch.column(text)).fill_null(0)))
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
     start = 0
     while start < batch.num_rows:

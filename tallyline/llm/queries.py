@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import speculative, transducer
+from tallyline.llm import anchors, speculative, transducer
 from tallyline.llm.texts import documents
 
 
@@ -13,11 +13,16 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
 
 
+def op9_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.near_duplicates(documents(spark, sf_dir))
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speculative.digest(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
 
 
 QUERIES = {
     "op6_token_counts": op6_token_counts,
+    "op9_simhash_anchors": op9_simhash_anchors,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.tables import components, stored
-from tallyline.llm.texts import map_text
+from tallyline.llm.texts import bounded_batches, map_text
 
 SHINGLE, SEED, THRESHOLD = 4, 42, 4
 CODED = 15
@@ -188,6 +188,8 @@ def links(distinct: DataFrame, threshold: int = THRESHOLD, cell_size: int = CELL
     if threshold >= 2 * len(BLOCKS):
         raise ValueError("three blocks guarantee one with at most one differing bit up to five bits")
 
+    bounded_batches(distinct.sparkSession)
+
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column(0).to_numpy().view(np.uint64)

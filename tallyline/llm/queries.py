@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import anchors, speculative, transducer
+from tallyline.llm import anchors, speculative, substrings, transducer
 from tallyline.llm.texts import documents
 
 
+def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(documents(spark, sf_dir))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
 
@@ -22,6 +26,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_recompression": op2_recompression,
     "op6_token_counts": op6_token_counts,
     "op9_simhash_anchors": op9_simhash_anchors,
     "op10_bpe_round_trip": op10_bpe_round_trip,

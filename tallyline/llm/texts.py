@@ -8,7 +8,10 @@ texts begin.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +33,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Small Arrow batches for this session: rows hold whole texts."""
+    """Readies a session for functions over texts: small Arrow batches, and this package on all executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    context = spark.sparkContext
+    if getattr(context, "_tallyline_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="tallyline-package-")
+    with zipfile.ZipFile(f"{folder}/{package.name}.zip", "w") as out:
+        for file in package.rglob("*.py"):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(f"{folder}/{package.name}.zip")
+    context._tallyline_shipped = True
 
 
 def remainder(column: str, divisor: int):

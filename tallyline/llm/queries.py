@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import anchors, speculative, substrings, transducer
+from tallyline.llm import anchors, phrases, speculative, substrings, transducer
 from tallyline.llm.texts import documents
 
 
@@ -17,6 +17,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
 
 
+def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op9_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchors.near_duplicates(documents(spark, sf_dir))
 
@@ -28,6 +32,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_recompression": op2_recompression,
     "op6_token_counts": op6_token_counts,
+    "op7_positional_index": op7_positional_index,
     "op9_simhash_anchors": op9_simhash_anchors,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }

@@ -4,9 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyline.llm import anchors, phrases, speculative, substrings, transducer
-from tallyline.llm.texts import documents
+from tallyline.llm import anchors, language, phrases, speculative, substrings, transducer
+from tallyline.llm.texts import documents, remainder
+
+
+def op1_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rest = remainder("doc_id", 4)
+    network, languages = language.fit(language.sample(docs, rest != 2))
+    return language.identify(docs, network, languages, keep=["doc_id"]).select(
+        "doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +39,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_language": op1_byte_language,
     "op2_recompression": op2_recompression,
     "op6_token_counts": op6_token_counts,
     "op7_positional_index": op7_positional_index,

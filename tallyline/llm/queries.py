@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import anchors, language, phrases, speculative, substrings, transducer
+from tallyline.llm import anchors, language, phrases, speculative, substrings, toxicity, transducer
 from tallyline.llm.texts import documents, remainder
 
 
@@ -22,6 +22,15 @@ def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(documents(spark, sf_dir))
 
 
+def op4_word_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rest = remainder("doc_id", 3)
+    model = toxicity.fit(toxicity.sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), rest != 1))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", F.coalesce(rest == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
 
@@ -41,6 +50,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_language": op1_byte_language,
     "op2_recompression": op2_recompression,
+    "op4_word_convolution": op4_word_convolution,
     "op6_token_counts": op6_token_counts,
     "op7_positional_index": op7_positional_index,
     "op9_simhash_anchors": op9_simhash_anchors,

@@ -2,7 +2,8 @@
 
 Words (runs of digits, letters and non-ASCII characters, A to Z in lower case) are hashed
 to 2^40 places; those that ``LEAST_DOCUMENTS`` sampled documents have get an embedding,
-all others share one of zeros, so a word never seen says nothing. The network (see
+all others share one of zeros, so a word never seen says nothing. One dimension of an
+embedding begins as the word's log-odds between the labels. The network (see
 ``convnet``) takes the largest response of each filter over the whole text.
 
 Thresholds are calibrated by language: on sampled documents kept from the fit, each
@@ -32,7 +33,7 @@ from tallyline.llm.convnet import Network, softmax, train
 from tallyline.llm.phrases import hashed_words
 from tallyline.llm.texts import map_text
 
-WIDTHS, FILTERS, DEPTH, EPOCHS = (1, 2, 3), 8, 8, 10
+WIDTHS, FILTERS, DEPTH, EPOCHS = (1, 2, 3), 8, 8, 5
 PER_GROUP, SAMPLE_BYTES, LEAST_DOCUMENTS = 1200, 1 << 15, 6
 CUT = 0.7
 BUCKETS = np.uint64((1 << 40) - 1)
@@ -62,6 +63,7 @@ class Model:
     network: Network
     spoken: np.ndarray         # known words x languages: log frequencies
     moves: np.ndarray          # for each language, what is added to the log-odds
+    tables: list | None = None  # of the network, once it is trained
 
     def known(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """For every word its row (the last: none) and the index of its text."""
@@ -87,7 +89,7 @@ class Model:
         ids = np.full(int(counts.sum()) + n * gap, none, np.int64)
         ids[np.arange(len(rows)) + doc * gap] = rows
         pooled = []
-        for group in self.network.tables():
+        for group in self.tables or self.network.tables():
             out = self.network.respond(group, ids)
             pooled.append(np.maximum.reduceat(out, begins, axis=0) if n else out)
         chance = softmax(self.network.logits(pooled).astype(np.float64))
@@ -137,6 +139,13 @@ def fit(rows: list[tuple]) -> Model | float:
         held[:] = False
     weights = (len(labels) / np.bincount(labels))[labels]
     use = np.flatnonzero(~held)
+    # One dimension of an embedding begins as the word's log-odds among the documents of the fit.
+    once = np.unique(np.stack([row[inside], doc[inside]]), axis=1)
+    once = once[:, ~held[once[1]]]
+    with_word = [np.bincount(once[0][labels[once[1]] == label], minlength=len(buckets)) for label in (0, 1)]
+    share = [np.log((with_word[label] + 0.5) / ((labels[use] == label).sum() + 1)) for label in (0, 1)]
+    model.network.embedding[:-1, 0] = (share[1] - share[0]) / 2
+    model.network.embedding[:-1, 1:] *= 0.2
     train(model.network, [sequences[k] for k in use], labels[use], weights[use], EPOCHS, batch=16)
     check = np.flatnonzero(held) if held.any() else np.arange(len(rows))
     odds, guessed = model.odds(texts.take(pa.array(check)))
@@ -157,6 +166,7 @@ def score(docs: DataFrame, model: Model | float, keep: list[str] | None = None,
         model = shared.value
         if isinstance(model, float):
             return lambda texts: [np.full(len(texts), model)]
+        model.tables = model.tables or model.network.tables()
         return lambda texts: [model.score(texts)]
 
     return map_text(docs, make, f"`{name}` double", keep, text)

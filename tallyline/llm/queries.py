@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import anchors, language, phrases, speculative, substrings, toxicity, transducer
+from tallyline.llm import anchors, classlm, language, phrases, speculative, substrings, toxicity, transducer
 from tallyline.llm.texts import documents, remainder
 
 
@@ -31,6 +31,12 @@ def op4_word_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
 
 
+def op5_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = remainder("doc_id", 5)
+    return classlm.scores(documents(spark, sf_dir), rest != 1).select(
+        "doc_id", F.coalesce(rest == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
 
@@ -51,6 +57,7 @@ QUERIES = {
     "op1_byte_language": op1_byte_language,
     "op2_recompression": op2_recompression,
     "op4_word_convolution": op4_word_convolution,
+    "op5_brown_classes": op5_brown_classes,
     "op6_token_counts": op6_token_counts,
     "op7_positional_index": op7_positional_index,
     "op9_simhash_anchors": op9_simhash_anchors,

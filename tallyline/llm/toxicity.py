@@ -34,7 +34,7 @@ from tallyline.llm.phrases import hashed_words
 from tallyline.llm.texts import map_text
 
 WIDTHS, FILTERS, DEPTH, EPOCHS = (1, 2, 3), 8, 8, 5
-PER_GROUP, SAMPLE_BYTES, LEAST_DOCUMENTS = 1200, 1 << 15, 6
+PER_GROUP, SAMPLE_BYTES, LEAST_DOCUMENTS = 1200, 1 << 15, 4
 CUT = 0.7
 BUCKETS = np.uint64((1 << 40) - 1)
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import anchors, classlm, language, phrases, speculative, substrings, toxicity, transducer
+from tallyline.llm import anchors, classlm, divergence, language, phrases, speculative, substrings, toxicity, transducer
 from tallyline.llm.texts import documents, remainder
 
 
@@ -45,6 +45,11 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op8_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchors.near_duplicates(documents(spark, sf_dir))
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op5_brown_classes": op5_brown_classes,
     "op6_token_counts": op6_token_counts,
     "op7_positional_index": op7_positional_index,
+    "op8_divergence": op8_divergence,
     "op9_simhash_anchors": op9_simhash_anchors,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }

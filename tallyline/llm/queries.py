@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import anchors, classlm, divergence, language, phrases, speculative, substrings, toxicity, transducer
+from tallyline.llm import anchors, classlm, divergence, language, personal, phrases, speculative, substrings, toxicity, transducer
 from tallyline.llm.texts import documents, remainder
 
 
@@ -22,6 +22,11 @@ def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(documents(spark, sf_dir))
 
 
+def op3_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return personal.digest(docs, personal.learn(docs), keep=["doc_id"])
+
+
 def op4_word_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     rest = remainder("doc_id", 3)
@@ -61,6 +66,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_language": op1_byte_language,
     "op2_recompression": op2_recompression,
+    "op3_weak_supervision": op3_weak_supervision,
     "op4_word_convolution": op4_word_convolution,
     "op5_brown_classes": op5_brown_classes,
     "op6_token_counts": op6_token_counts,

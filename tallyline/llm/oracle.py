@@ -1,3 +1,102 @@
 """The operators that SQL can express, as DuckDB SQL over the same tables."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from tallyline.llm.divergence import CHARS_FROM, CHARS_LIMIT, CLASSES, COMMON, WORDS_FROM, WORDS_LIMIT
+
+SPACED_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+PLAIN_WORDS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{80}-\x{10FFFF}]+')"""
+
+OP2 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {SPACED_WORDS} AS w FROM documents),
+win AS (SELECT r, doc_id, p, array_to_string(w[p : p + 49], ' ') AS k
+        FROM d, unnest(range(1, len(w) - 48)) AS u(p) WHERE len(w) >= 50),
+firsts AS (SELECT k, min(doc_id) AS low FROM win GROUP BY k),
+gone AS (SELECT DISTINCT r, q FROM win JOIN firsts USING (k), unnest(range(p, p + 50)) AS u(q) WHERE low < doc_id),
+cut AS (SELECT r, list(q) AS qs FROM gone GROUP BY r),
+kept AS (SELECT d.doc_id, len(w) AS n,
+                CASE WHEN qs IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(qs, i)) END AS k
+         FROM d LEFT JOIN cut USING (r))
+SELECT doc_id, n AS n_words, n - len(k) AS n_removed, sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256 FROM kept
+"""
+
+OP7 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {PLAIN_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {PLAIN_WORDS} AS w FROM benchmark),
+phrases AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p : p + 9], ' ') AS k
+            FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS u(p) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM phrases),
+win AS (SELECT r, p, n, array_to_string(w[p : p + n - 1], ' ') AS k
+        FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS u(p) WHERE len(w) >= n),
+found AS (SELECT r, p, n, item_id FROM win JOIN phrases USING (n, k)),
+hits AS (SELECT r, count(DISTINCT q) AS h FROM found, unnest(range(p, p + n)) AS u(q) GROUP BY r),
+names AS (SELECT r, count(*) AS n, string_agg(i, ',' ORDER BY i) AS s
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY r)
+SELECT d.doc_id, len(w) AS n_words, coalesce(h, 0) AS n_hit, coalesce(names.n, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(h, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (r) LEFT JOIN names USING (r)
+"""
+
+
+def _words(listed: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in listed) + "]"
+
+
+_LISTS = ", ".join(f"('{name}', {_words(listed)})" for name, listed in COMMON.items())
+_CLASS_COUNTS = ", ".join(f"length(regexp_replace(t, '{pattern}', '', 'g')) AS c_{name}" for name, pattern in CLASSES.items())
+_CLASS_SUM = " + ".join(f"c_{name}" for name in CLASSES)
+_CLASS_LIST = ", ".join(f"c_{name}" for name in CLASSES)
+
+
+def _distance(p: str, q: str) -> str:
+    """Of two lists of counts: the Jensen-Shannon distance of their shares."""
+    part = lambda x, m: f"CASE WHEN {x} > 0 THEN {x} * log2({x} / {m}) ELSE 0.0 END"
+    share = lambda bins: f"list_transform({bins}, lambda x: CAST(x AS DOUBLE) / greatest(list_sum({bins}), 1))"
+    pairs = f"list_zip({share(p)}, {share(q)})"
+    half = "((z[1] + z[2]) / 2)"
+    return f"sqrt(greatest(list_sum(list_transform({pairs}, lambda z: ({part('z[1]', half)}) / 2 + ({part('z[2]', half)}) / 2)), 0.0))"
+
+
+OP8 = rf"""
+WITH lists(language, listed) AS (VALUES {_LISTS}),
+d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t, {SPACED_WORDS} AS w FROM documents),
+win AS (SELECT r, p, array_to_string(w[p : p + 4], ' ') AS k FROM d, unnest(range(1, len(w) - 3)) AS u(p) WHERE len(w) >= 5),
+twice AS (SELECT r, p FROM win QUALIFY count(*) OVER (PARTITION BY r, k) > 1),
+again AS (SELECT r, count(DISTINCT q) AS n FROM twice, unnest(range(p, p + 5)) AS u(q) GROUP BY r),
+guess AS (SELECT r, max({{'n': len(list_filter(w, lambda x: list_contains(listed, lower(x)))), 'name': language}}).name AS language
+          FROM d, lists WHERE lang IS NULL OR lang NOT IN (SELECT language FROM lists) GROUP BY r),
+counted AS (
+    SELECT d.r, doc_id, coalesce(guess.language, lang) AS language, w, len(w) AS n_words, length(t) AS chars,
+           coalesce(length(array_to_string(w, '')), 0) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) AS n_symbols,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+           coalesce(again.n, 0) AS n_repeat_words, {_CLASS_COUNTS}
+    FROM d LEFT JOIN again USING (r) LEFT JOIN guess USING (r)),
+binned AS (
+    SELECT c.*, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+           [{_CLASS_LIST}, chars - word_chars, word_chars - ({_CLASS_SUM})] AS char_bins,
+           list_transform(listed, lambda x: len(list_filter(w, lambda y: lower(y) = x))) AS common
+    FROM counted c JOIN lists USING (language)),
+bins AS (SELECT *, list_append(common, n_words - list_sum(common)) AS word_bins FROM binned),
+sums AS (
+    SELECT language, list(s ORDER BY k) FILTER (kind = 'char') AS char_ref, list(s ORDER BY k) FILTER (kind = 'word') AS word_ref
+    FROM (SELECT language, kind, k, sum(x) AS s FROM (
+            SELECT language, 'char' AS kind, unnest(char_bins) AS x, unnest(range(len(char_bins))) AS k FROM bins WHERE NOT base_failed
+            UNION ALL
+            SELECT language, 'word', unnest(word_bins), unnest(range(len(word_bins))) FROM bins WHERE NOT base_failed)
+          GROUP BY language, kind, k)
+    GROUP BY language),
+far AS (SELECT bins.*, CASE WHEN chars >= {CHARS_FROM} THEN {_distance('char_bins', 'char_ref')} ELSE 0 END AS cd,
+               CASE WHEN n_words >= {WORDS_FROM} THEN {_distance('word_bins', 'word_ref')} ELSE 0 END AS wd
+        FROM bins LEFT JOIN sums USING (language))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (coalesce(cd, 0) > {CHARS_LIMIT} OR coalesce(wd, 0) > {WORDS_LIMIT}) AS kept
+FROM far
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_recompression": OP2,
+    "op7_positional_index": OP7,
+    "op8_divergence": OP8,
+}

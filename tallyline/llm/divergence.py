@@ -72,9 +72,10 @@ def common_list(language: Column) -> Column:
 
 def closest_language(words: Column) -> Column:
     """The language with most of the words in its list; of equals the one that sorts last."""
-    hits = [F.struct(F.size(F.filter(words, lambda w, listed=listed: F.lower(w).isin(listed))).alias("n"), F.lit(name).alias("name"))
-            for name, listed in COMMON.items()]
-    return F.array_max(F.array(*hits))["name"]
+    def hits(name: str) -> Column:
+        return F.struct(F.size(F.filter(words, lambda w: F.lower(w).isin(COMMON[name]))).alias("n"), F.lit(name).alias("name"))
+
+    return F.array_max(F.array(*map(hits, COMMON)))["name"]
 
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:

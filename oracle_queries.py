@@ -54,23 +54,19 @@ def _case(cases: list[tuple[str, str]], default: str) -> str:
             + f" ELSE '{default}' END")
 
 
-def _one_of(column: str, names: str) -> str:
-    """The column equals one of the comma-separated names."""
-    return f"list_contains(string_split('{names}', ','), {column})"
-
-
+# The names in these rules must be those of the library's tables.
 HAS_INCOME_MARK = "(contains(category, 'Salary') OR contains(category, 'Deposit'))"
 CATEGORY_GROUP = _case([
-    (_one_of("category", "Food,Coffee,Restaurant"), "Dining"),
-    (_one_of("category", "Shopping,Electronics"), "Retail"),
-    (_one_of("category", "Transport,Fuel"), "Transportation"),
+    ("category IN ('Food', 'Coffee', 'Restaurant')", "Dining"),
+    ("category IN ('Shopping', 'Electronics')", "Retail"),
+    ("category IN ('Transport', 'Fuel')", "Transportation"),
     (HAS_INCOME_MARK, "Income")], "Other")
 ACCOUNT_TYPE = _case([
     ("contains(account, 'Checking')", "Checking"), ("contains(account, 'Savings')", "Savings"),
     ("contains(account, 'Credit')", "Credit Card")], "Other")
 MERCHANT_TYPE = _case([
-    (_one_of("category", "Netflix,Streaming"), "Subscription"),
-    (_one_of("category", "Grocery Store,Supermarket"), "Groceries"),
+    ("category IN ('Netflix', 'Streaming')", "Subscription"),
+    ("category IN ('Grocery Store', 'Supermarket')", "Groceries"),
     ("contains(category, 'Tech') OR category = 'Electronics'", "Technology")], "General")
 SIZE_CLASS = """CASE WHEN amount < -100000 THEN 'VERY_LARGE' WHEN amount < -50000 THEN 'LARGE'
     WHEN amount < -10000 THEN 'MEDIUM' WHEN amount < 0 THEN 'SMALL' ELSE 'INCOME' END"""
@@ -99,7 +95,7 @@ dim_date AS (
     SELECT day AS date_key, CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month,
            CAST(day(day) AS INTEGER) AS day, CAST(quarter(day) AS INTEGER) AS quarter,
            CAST(dayofweek(day) AS INTEGER) AS day_of_week,
-           if(dayofweek(day) BETWEEN 1 AND 5, 'Weekday', 'Weekend') AS day_type
+           CASE WHEN dayofweek(day) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS day_type
     FROM (SELECT date AS day FROM txn GROUP BY date) days)""",
     """
 fact AS (

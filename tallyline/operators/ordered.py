@@ -2,149 +2,72 @@
 
 A running total over the whole ledger, or over one account that holds a third of
 it, is a window whose partition does not fit one task. Here the order is cut into
-segments of about equal size first:
+segments of about equal size first, in the same way at every size:
 
-1. a position, one number that never decreases along the order, is built per row;
-2. cut points are quantiles of a sample of positions (they steer only the balance
-   of the segments, never the result);
-3. every (key, segment) gets its opening totals from sums aggregated map-side;
-4. opening totals enter the windows as one extra row in front of each segment.
-
-The data itself is shuffled once, by (key, segment).
+1. rows are range-partitioned by (key, order, tie-break), so a key, a day or one
+   moment that holds most rows becomes many segments as long as the tie-break
+   differs; the rows are written once with their segment, so later steps agree;
+2. every (key, segment) gets its opening totals from sums aggregated map-side;
+3. opening totals enter the windows as one extra row in front of each segment.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallyline.session import small_table
+from tallyline.session import stored
 
-ROWS_PER_SEGMENT = 100_000
-MAX_SEGMENTS = 50_000
-SAMPLED_PER_SEGMENT = 50
+BLOCK_ROWS = 100_000
 
 SEGMENT = "_segment"
-_POSITION = "_position"
 _OPENING = "_opening"
 
-# A double holds 52 bits exactly: 20 spread the keys, 32 hold the place in order.
-# There are many more slots than cuts, so few keys share a slot with a cut.
-_KEY_SLOTS = 1 << 20
-_PLACES = 1 << 32
-# Below this many distinct first-order values they keep their exact distance, and
-# the tie-break can subdivide one value (a day that holds most of the rows).
-_EXACT_VALUES = 1 << 20
-
 
 @dataclass(frozen=True)
 class Order:
-    """Ascending order: a date, time or number, then an integer tie-break."""
+    """Ascending order of any comparable columns: a date, time or number, then a tie-break."""
 
     by: str
     tie: str
+    last: tuple[str, ...] = ()
 
     def columns(self) -> list[Column]:
-        return [F.col(self.by).asc_nulls_first(), F.col(self.tie).asc_nulls_first()]
+        return [F.col(c).asc_nulls_first() for c in (self.by, self.tie, *self.last)]
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(name)
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(name)
-    return F.col(name)
+def segmented(df: DataFrame, keys: list[str], order: Order, rows_per_segment: int | None = None) -> DataFrame:
+    """``df`` with its ``_segment``, as a stored table.
 
-
-@dataclass(frozen=True)
-class Segmented:
-    """Rows with their ``_segment`` (int), the number of segments, and the hash
-    slots of keys that a cut may divide (at most one per cut)."""
-
-    frame: DataFrame
-    segments: int
-    divided_slots: tuple[int, ...] = ()
-
-
-def _slot(keys: list[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(_KEY_SLOTS))
-
-
-def segmented(df: DataFrame, keys: list[str], order: Order,
-              rows_per_segment: int = ROWS_PER_SEGMENT) -> Segmented:
-    """Cut the order into segments. Reads only the key and order columns, once for
-    their number and range and once for the sample."""
-    by, tie = _number(df, order.by), F.col(order.tie)
-    rows, low, high, tie_low, tie_high = df.agg(
-        F.count(F.lit(1)), F.min(by), F.max(by), F.min(tie), F.max(tie)).first()
-    wanted = min(-(-rows // rows_per_segment), MAX_SEGMENTS)
-    if wanted <= 1 or low is None:
-        return Segmented(df.withColumn(SEGMENT, F.lit(0)), 1)
-
-    span = high - low + 1
-    if span <= _EXACT_VALUES:
-        tie_span = (tie_high - tie_low + 1) if tie_low is not None else 1
-        inner = (F.coalesce(tie, F.lit(tie_low)) - F.lit(tie_low)) / F.lit(float(tie_span))
-        place = F.coalesce(by - F.lit(low) + 1, F.lit(0)) + inner
-        width = span + 2
+    The number of segments is that of the session's shuffle partitions, or follows
+    from ``rows_per_segment`` and one count.
+    """
+    if rows_per_segment is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     else:
-        step = max(1.0, span / _PLACES)
-        place = F.coalesce(F.floor((by - F.lit(low)) / F.lit(step)) + 1, F.lit(0))
-        width = int(span / step) + 3
-    if keys:
-        place = _slot(keys).cast("double") * F.lit(float(width)) + place
-    placed = df.withColumn(_POSITION, place.cast("double"))
-
-    fraction = min(1.0, SAMPLED_PER_SEGMENT * wanted / rows)
-    sample = placed.select(_POSITION).sample(fraction, seed=11)
-    cuts = sample.approxQuantile(
-        _POSITION, [i / wanted for i in range(1, wanted)], 0.1 / wanted)
-    inner_cuts = sorted(set(cuts))
-    if not inner_cuts:
-        return Segmented(df.withColumn(SEGMENT, F.lit(0)), 1)
-    bucketizer = Bucketizer(splits=[float("-inf"), *inner_cuts, float("inf")],
-                            inputCol=_POSITION, outputCol=SEGMENT)
-    tagged = (bucketizer.transform(placed).drop(_POSITION)
-              .withColumn(SEGMENT, F.col(SEGMENT).cast("int")))
-    divided = sorted({int(cut) // width for cut in inner_cuts}) if keys else []
-    return Segmented(tagged, len(inner_cuts) + 1, tuple(divided))
-
-
-def running_sums(rows: DataFrame | Segmented, keys: list[str], order: Order,
-                 sums: dict[str, Column],
-                 rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+        parts = max(1, -(-df.count() // rows_per_segment))
+    along = [*[F.col(k).asc_nulls_first() for k in keys], *order.columns()]
+    return stored(df.repartitionByRange(parts, *along).withColumn(SEGMENT, F.spark_partition_id()), "segments")
+
+
+def running_sums(df: DataFrame, keys: list[str], order: Order, sums: dict[str, Column],
+                 rows_per_segment: int | None = None) -> DataFrame:
     """Running sums along ``order`` within ``keys`` (no keys: over all rows).
 
     ``sums`` maps an output column to the value summed up to and including the
-    row. The order must be total within a key for the result to be defined. Rows
-    that are cut already keep their segments.
+    row. The order must be total within a key for the result to be defined.
     """
-    cut = rows if isinstance(rows, Segmented) else segmented(rows, keys, order, rows_per_segment)
-    tagged = cut.frame
-    kept = [c for c in tagged.columns if c != SEGMENT]
+    tagged = segmented(df, keys, order, rows_per_segment)
     values = tagged.select(*tagged.columns, *[v.alias(n) for n, v in sums.items()])
-    if cut.segments == 1:
-        window = (Window.partitionBy(*(keys or [SEGMENT])).orderBy(*order.columns())
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return values.select(*kept, *[F.sum(n).over(window).alias(n) for n in sums])
-
-    # Opening totals: one row per (key, segment), at most ``segments`` rows per key.
-    # A key whose slot has no cut lies in one segment and needs none.
-    divided = values
-    if keys:
-        slots = small_table(values.sparkSession, {"_slot": list(cut.divided_slots)}, "_slot BIGINT")
-        divided = values.join(F.broadcast(slots), _slot(keys) == F.col("_slot"), "left_semi")
-    totals = divided.groupBy(*keys, SEGMENT).agg(*[F.sum(n).alias(n) for n in sums])
-    before = (Window.partitionBy(*keys).orderBy(SEGMENT)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(SEGMENT)) == 1
+
+    # Opening totals: a key has one row for each of its segments; those after the first are needed.
+    totals = values.groupBy(*keys, SEGMENT).agg(*[F.sum(n).alias(n) for n in sums])
+    by_key = Window.partitionBy(*keys).orderBy(SEGMENT)
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
     openings = (totals
-                .select(*keys, SEGMENT, first.alias("_first"),
+                .select(*keys, SEGMENT, (F.row_number().over(by_key) == 1).alias("_first"),
                         *[F.sum(n).over(before).alias(n) for n in sums])
                 .filter(~F.col("_first")).drop("_first")
                 .withColumn(_OPENING, F.lit(True)))
@@ -153,35 +76,28 @@ def running_sums(rows: DataFrame | Segmented, keys: list[str], order: Order,
     window = (Window.partitionBy(*keys, SEGMENT)
               .orderBy(F.col(_OPENING).desc(), *order.columns())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (lines.select(*kept, _OPENING,
+    return (lines.select(*df.columns, _OPENING,
                          *[F.sum(n).over(window).alias(n) for n in sums])
             .filter(~F.col(_OPENING)).drop(_OPENING))
 
 
 def trailing(df: DataFrame, keys: list[str], order: Order, rows: int, measures: dict[str, Column],
-             rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+             rows_per_segment: int | None = None) -> DataFrame:
     """Aggregates over the current row and the ``rows - 1`` rows before it.
 
     ``measures`` holds aggregate columns (``F.count``, ``F.sum``). Rows are
     numbered within their key, cut into blocks of numbers, and the last rows of a
     block are handed on to the next one, so a long key spreads over many tasks.
     """
-    frame = (-(rows - 1), Window.currentRow)
-    cut = segmented(df, keys, order, rows_per_segment)
-    if cut.segments == 1:
-        window = Window.partitionBy(*(keys or [SEGMENT])).orderBy(*order.columns())
-        window = window.rowsBetween(*frame)
-        return cut.frame.select(*df.columns, *[m.over(window).alias(n) for n, m in measures.items()])
-
-    block_size = max(rows_per_segment, rows)
-    numbered = running_sums(cut, keys, order, {"_number": F.lit(1).cast("bigint")})
+    block_size = max(rows_per_segment or BLOCK_ROWS, rows)
+    numbered = running_sums(df, keys, order, {"_number": F.lit(1).cast("bigint")}, rows_per_segment)
     index = F.col("_number") - 1
     own = F.floor(index / block_size)
     handed_on = F.pmod(index, F.lit(block_size)) >= block_size - (rows - 1)
     blocks = F.when(handed_on, F.array(own, own + 1)).otherwise(F.array(own))
     spread = (numbered.withColumn("_own", own)
               .withColumn("_block", F.explode(blocks)))
-    window = Window.partitionBy(*keys, "_block").orderBy("_number").rowsBetween(*frame)
+    window = Window.partitionBy(*keys, "_block").orderBy("_number").rowsBetween(-(rows - 1), Window.currentRow)
     return (spread
             .select(*df.columns, "_own", "_block",
                     *[m.over(window).alias(n) for n, m in measures.items()])

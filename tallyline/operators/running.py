@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions import fraud, labels, money
-from tallyline.operators.ordered import (ROWS_PER_SEGMENT, Order, Segmented, running_sums,
-                                         segmented, trailing)
+from tallyline.operators.ordered import Order, running_sums, trailing
 from tallyline.operators.reports import bounded
 
 LEDGER_ORDER = Order("date", "id")
@@ -17,7 +16,7 @@ OPENING_BALANCE = 10_000
 _RUNNING = ["running_balance", "cumulative_expenses", "cumulative_income"]
 
 
-def running_analytics(ledger: DataFrame, rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+def running_analytics(ledger: DataFrame, rows_per_segment: int | None = None) -> DataFrame:
     """Balance, expenses, income and row number over the whole ledger, in order."""
     sums = running_sums(
         ledger.filter(F.col("date").isNotNull()), [], LEDGER_ORDER,
@@ -56,7 +55,7 @@ def recent_transactions(ledger: DataFrame, limit: int = 10) -> DataFrame:
 
 def account_running_balance(transactions: DataFrame, opening: int = OPENING_BALANCE,
                             order: Order = STREAM_ORDER, account: str = "account_id",
-                            rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+                            rows_per_segment: int | None = None) -> DataFrame:
     """Balance of the account after each transaction, from an opening balance."""
     sums = running_sums(transactions, [account], order, {"balance": F.col("amount")},
                         rows_per_segment)
@@ -64,7 +63,7 @@ def account_running_balance(transactions: DataFrame, opening: int = OPENING_BALA
 
 
 def pattern_anomalies(transactions: DataFrame, limit: float = -200, rows: int = 10,
-                      at_least: int = 5, rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+                      at_least: int = 5, rows_per_segment: int | None = None) -> DataFrame:
     """Transactions at which the mean of the last ``rows`` amounts of the same
     account and category falls below ``limit``."""
     seen = trailing(transactions, ["account_id", "category"], STREAM_ORDER, rows,
@@ -79,25 +78,27 @@ def pattern_anomalies(transactions: DataFrame, limit: float = -200, rows: int =
 
 def stream_summary(transactions: DataFrame, every: int = 10, opening: int = OPENING_BALANCE,
                    limits: fraud.FraudLimits = fraud.FraudLimits(), sampled: int = 3,
-                   rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+                   rows_per_segment: int | None = None) -> DataFrame:
     """State of the stream after every ``every`` transactions: transactions, accounts
     and fraud alerts so far, and balances of the accounts that came first."""
-    cut = segmented(transactions, [], STREAM_ORDER, rows_per_segment)
     first = transactions.groupBy("account_id").agg(
         F.min(F.struct("ts", "transaction_id")).alias("_first"))
-    opened = first.select(F.col("_first.transaction_id").alias("transaction_id"),
-                          F.lit(1).cast("bigint").alias("_opened"))
     early = first.orderBy("_first").limit(sampled).select(  # at most ``sampled`` rows
         "account_id", F.row_number().over(Window.orderBy("_first")).alias("_slot"))
-    rows = (cut.frame.join(opened, "transaction_id", "left")
+    # The opening of an account is a row of its own, in front of the account's first transaction.
+    opened = first.select("account_id", "_first.ts", "_first.transaction_id", F.lit(False).alias("_real"))
+    rows = (transactions.withColumn("_real", F.lit(True)).unionByName(opened, allowMissingColumns=True)
             .join(F.broadcast(early), "account_id", "left"))
     slots = range(1, sampled + 1)
+    real, zero = F.col("_real"), F.lit(0).cast("bigint")
+    alert = real & F.coalesce(fraud.additive_score(limits) > 50, F.lit(False))
     sums = running_sums(
-        Segmented(rows, cut.segments, cut.divided_slots), [], STREAM_ORDER,
-        {"transactions": F.lit(1).cast("bigint"),
-         "active_accounts": F.coalesce("_opened", F.lit(0).cast("bigint")),
-         "fraud_alerts": F.when(fraud.additive_score(limits) > 50, 1).otherwise(0).cast("bigint"),
-         **{f"balance_{i}": F.when(F.col("_slot") == i, F.col("amount")) for i in slots}})
+        rows, [], Order(STREAM_ORDER.by, STREAM_ORDER.tie, ("_real",)),
+        {"transactions": F.when(real, 1).otherwise(0).cast("bigint"),
+         "active_accounts": F.when(real, zero).otherwise(F.lit(1).cast("bigint")),
+         "fraud_alerts": F.when(alert, 1).otherwise(0).cast("bigint"),
+         **{f"balance_{i}": F.when(F.col("_slot") == i, F.col("amount")) for i in slots}}, rows_per_segment)
+    sums = sums.filter("_real")
     return sums.filter(F.col("transactions") % every == 0).select(
         "transactions", "active_accounts", "fraud_alerts",
         *[money.double(F.col(f"balance_{i}") + F.lit(opening)).alias(f"balance_{i}")
@@ -118,7 +119,7 @@ def final_stream_summary(transactions: DataFrame, alerts: int = 3,
     }
 
 
-def balance_changes(ledger: DataFrame, rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+def balance_changes(ledger: DataFrame, rows_per_segment: int | None = None) -> DataFrame:
     """Change events: every inserted row with the balance of its account after it."""
     sums = running_sums(ledger, ["account"], LEDGER_ORDER, {"new_balance": F.col("amount")},
                         rows_per_segment)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +65,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` computed once, as Parquet in the shared folder.
+
+    Its rows stay the same for every later read and survive lost executors; later
+    stages read only the columns they need, and joins see its size. The files
+    stay until that folder is cleared.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame, few: int = FEW_ROWS) -> tuple[DataFrame, int]:
     """Compute ``df`` once: (its rows fixed, their number).
 

@@ -7,7 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from tallyline.queries import TABLES
+from oracle_queries import ORACLE
+from tallyline.queries import QUERIES, TABLES
 
 KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
          "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
@@ -31,11 +32,11 @@ def same(a, b):
     return a == b
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, small, sql, name):
-    df = entry_module.queries()[name](spark, small)
+    df = QUERIES[name](spark, small)
     columns = sorted(df.columns)
-    twin = sql.execute(entry_module.oracle_sql()[name])
+    twin = sql.execute(ORACLE[name])
     kinds = {d[0]: str(d[1]) for d in twin.description}
     assert columns == sorted(kinds)
     assert {c: KINDS[t] for c, t in df.dtypes} == kinds
@@ -48,7 +49,7 @@ def test_query(spark, small, sql, name):
 
 
 def test_every_query_has_a_twin():
-    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
 def test_entry(spark):

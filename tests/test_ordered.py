@@ -67,19 +67,51 @@ def test_trailing(spark, size):
     assert {(r.k, r.id): (r.n, r.s) for r in got.collect()} == expected
 
 
+def largest(cut):
+    return cut.groupBy(SEGMENT).count().agg(F.max("count")).first()[0]
+
+
 def test_hot_key_and_day_are_split(spark):
     cut = segmented(frame(spark, hot_data()), ["k"], ORDER, 100)
-    largest = cut.frame.groupBy("k", SEGMENT).count().agg(F.max("count")).first()[0]
-    assert cut.segments > 15
-    assert largest < 500
+    assert cut.select(SEGMENT).distinct().count() > 15
+    assert largest(cut) < 300
+
+
+@pytest.mark.parametrize("kind", ["one moment", "sparse ids", "text ids"])
+def test_ties_are_split_whatever_they_are(spark, kind):
+    moment = dt.datetime(2024, 3, 5, 12)
+    ids = [10**12 if kind == "sparse ids" and n == 0 else n for n in range(1500)]
+    data = [("k", moment if n % 2 or kind != "one moment" else moment + dt.timedelta(n), f"t{i:07d}" if kind == "text ids" else i, Decimal(1))
+            for n, i in enumerate(ids)]
+    kinds = "STRING" if kind == "text ids" else "BIGINT"
+    df = spark.createDataFrame(data, f"k STRING, ts TIMESTAMP, id {kinds}, v DECIMAL(12,2)")
+    order = Order("ts", "id")
+    assert largest(segmented(df, ["k"], order, 100)) < 300
+    sums = running_sums(df, ["k"], order, {"n": F.col("v")}, 100)
+    assert [int(r.n) for r in sums.orderBy("ts", "id").collect()] == list(range(1, 1501))
+
+
+def test_default_segments_follow_the_session(spark, small):
+    from tallyline.sources import tables
+    cut = segmented(tables.ledger(spark, small), [], Order("date", "id"))
+    assert cut.select(SEGMENT).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_segments_follow_the_order(spark):
     cut = segmented(frame(spark, hot_data()), [], ORDER, 100)
-    parts = [r[SEGMENT] for r in cut.frame.orderBy("d", "id").collect()]
+    parts = [r[SEGMENT] for r in cut.orderBy("d", "id").collect()]
     assert parts == sorted(parts)
 
 
+def test_repeated_delivery_opens_no_account_twice(spark, small):
+    from tallyline.sources import tables
+    events = tables.transactions(spark, small)
+    twice = running.stream_summary(events.union(events), every=1)
+    once = running.stream_summary(events, every=1)
+    last = lambda df: max(r.active_accounts for r in df.collect())
+    assert last(twice) == last(once) == events.select("account_id").distinct().count()
+
+
 def test_timestamps_far_apart(spark):
     data = [("k", dt.datetime(1990, 1, 1) + dt.timedelta(seconds=s), n, Decimal(1))
             for n, s in enumerate([0, 1, 2, 10**9] + list(range(100, 400)))]

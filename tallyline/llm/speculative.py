@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 
 from tallyline.llm.texts import map_text
 
-#: Words kept by a worker; a full cache is emptied.
+#: Words kept by a worker; a full cache is set aside and its words are taken back as they occur.
 CACHED_WORDS = 400_000
 
 
@@ -75,6 +75,7 @@ class Encoder(dict):
         self.letters = {b: ord(char) for b, char in enumerate(byte_alphabet())}
         self.longest = max(map(len, model.ids))
         self.specials = re.compile("|".join(map(re.escape, sorted(model.special, key=len, reverse=True)))) if model.special else None
+        self.older: dict[str, tuple] = {}     # words of the cache before the last time it was full
         self.whole: dict[int, bool] = {}
         self.judged = np.zeros(0, np.int64)   # pairs, sorted
         self.verdict = np.zeros(0, bool)
@@ -100,21 +101,21 @@ class Encoder(dict):
 
     # -- exact merging ---------------------------------------------------------
     def merge(self, symbols: list[str]) -> list[str]:
-        ranks = self.model.ranks
-        while len(symbols) > 1:
-            rank, pair = min((ranks.get(pair, 1 << 60), pair) for pair in zip(symbols, symbols[1:]))
-            if rank == 1 << 60:
+        """Merges the best-ranked pair, the leftmost of equals, until none is left."""
+        parts, rank, none = list(symbols), self.model.ranks.get, 1 << 60
+        ranks = [rank(pair, none) for pair in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            out, k = [], 0
-            while k < len(symbols):
-                if k + 1 < len(symbols) and (symbols[k], symbols[k + 1]) == pair:
-                    out.append(symbols[k] + symbols[k + 1])
-                    k += 2
-                else:
-                    out.append(symbols[k])
-                    k += 1
-            symbols = out
-        return symbols
+            k = ranks.index(best)
+            parts[k] += parts.pop(k + 1)
+            del ranks[k]
+            if k < len(ranks):
+                ranks[k] = rank((parts[k], parts[k + 1]), none)
+            if k:
+                ranks[k - 1] = rank((parts[k - 1], parts[k]), none)
+        return parts
 
     def symbols(self, marked: str) -> list[str]:
         """Single characters, the last with the end mark if there is one."""
@@ -200,18 +201,22 @@ class Encoder(dict):
         """Number of tokens, ids and decoded text of each text."""
         pieces = [self.pieces(text) for text in texts]
         if len(self) > CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
         for token, i in self.model.special.items():
             self[token] = (1, str(i), token)
-        known = self.keys()
-        fresh = set()
-        for some in pieces:
-            fresh.update(some)
-        self.learn(list(fresh - known))
+        new = []
+        for word in set().union(*pieces) - self.keys():
+            known = self.older.get(word)
+            if known is None:
+                new.append(word)
+            else:
+                self[word] = known
+        self.learn(new)
         out = []
         for some in pieces:
-            got = [self[word] for word in some]
-            out.append((sum([g[0] for g in got]), " ".join([g[1] for g in got]), " ".join([g[2] for g in got])))
+            n, ids, names = zip(*map(self.__getitem__, some)) if some else ((), (), ())
+            out.append((sum(n), " ".join(ids), " ".join(names)))
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -249,7 +254,7 @@ def encode(docs: DataFrame, path: str, keep: list[str] | None = None, text: str
 
         def work(texts):
             got = coder.encode([value or "" for value in texts.to_pylist()])
-            return [[int(i) for i in ids.split()] for _, ids, _ in got], [decoded for _, _, decoded in got]
+            return [np.fromstring(ids, np.int32, sep=" ") for _, ids, _ in got], [decoded for _, _, decoded in got]
 
         return work
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tallyline.llm.texts import map_text
 
 SPACE = "▁"
-#: Entries of the two caches of a worker; a full cache is emptied.
+#: Entries of the caches of a worker; full words are set aside and taken back as they occur, full states are dropped.
 CACHED_WORDS, CACHED_STATES = 400_000, 200_000
 #: Tokens beyond which a document counts as over the limit.
 TOKEN_LIMIT = 4096
@@ -192,11 +192,15 @@ class _Words(dict):
     def __init__(self, transducer: Transducer, mark: str):
         super().__init__()
         self.transducer, self.mark = transducer, mark
+        self.older: dict[str, int] = {}
 
     def __missing__(self, word: str) -> int:
-        count = self.transducer.count(self.mark + word)
+        count = self.older.get(word)
+        if count is None:
+            count = self.transducer.count(self.mark + word)
         if len(word) < 64:
             if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = count
         return count

@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.convnet import Network, softmax, train
 from tallyline.llm.phrases import hashed_words
-from tallyline.llm.texts import map_text
+from tallyline.llm.texts import SLICE_BYTES, map_text, slices
 
-WIDTHS, FILTERS, DEPTH, EPOCHS = (1, 2, 3), 8, 8, 5
+WIDTHS, FILTERS, DEPTH, EPOCHS = (1, 2, 3), 8, 8, 7
 PER_GROUP, SAMPLE_BYTES, LEAST_DOCUMENTS = 1200, 1 << 15, 4
 CUT = 0.7
 BUCKETS = np.uint64((1 << 40) - 1)
@@ -88,9 +88,13 @@ class Model:
         begins = np.concatenate([[0], np.cumsum(counts + gap)[:-1]]).astype(np.int64) if n else np.zeros(0, np.int64)
         ids = np.full(int(counts.sum()) + n * gap, none, np.int64)
         ids[np.arange(len(rows)) + doc * gap] = rows
+        # Places in the padding behind a text see the next one; a text without words keeps one of its own.
+        behind = np.concatenate([(begins + np.maximum(counts, 1))[:, None] + k for k in range(gap)], axis=1).ravel() if n else begins
+        behind = behind[np.repeat(begins + counts + gap, gap) > behind] if n else behind
         pooled = []
         for group in self.tables or self.network.tables():
             out = self.network.respond(group, ids)
+            out[behind] = -np.inf
             pooled.append(np.maximum.reduceat(out, begins, axis=0) if n else out)
         chance = softmax(self.network.logits(pooled).astype(np.float64))
         speech = np.add.reduceat(self.spoken.take(ids, axis=0), begins, axis=0) if n else np.zeros((0, self.spoken.shape[1]))
@@ -102,6 +106,11 @@ class Model:
         return 1 / (1 + np.exp(-(odds + self.moves[language])))
 
 
+def in_parts(texts: pa.Array, limit: int = SLICE_BYTES) -> list[pa.Array]:
+    """The texts in order, in parts of bounded size."""
+    return [part.column(0) for part in slices(pa.RecordBatch.from_arrays([texts], ["t"]), 0, limit)]
+
+
 def best_threshold(odds: np.ndarray, labels: np.ndarray) -> float:
     """The log-odds that separate the labels with fewest errors; in the middle of the widest such gap."""
     order = np.argsort(odds)
@@ -118,16 +127,23 @@ def fit(rows: list[tuple]) -> Model | float:
     labels = np.array([row[2] for row in rows], np.int64)
     if len(set(labels.tolist())) < 2:
         return float(labels[0]) if len(labels) else 0.0
-    texts = pa.array([row[3] for row in rows], pa.string())
-    hashes, doc = hashed_words(texts)
-    place = hashes & BUCKETS
-    pairs = np.unique(np.stack([place, doc.astype(np.uint64)]), axis=1)
-    words, count = np.unique(pairs[0], return_counts=True)
+    parts = in_parts(pa.array([row[3] for row in rows], pa.string()))
+    each = []
+    for part in parts:
+        hashes, doc = hashed_words(part)
+        order = np.lexsort((hashes & BUCKETS, doc))
+        place, doc = (hashes & BUCKETS)[order], doc[order]
+        first = np.ones(len(place), bool)
+        first[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
+        each.append(place[first])
+    words, count = np.unique(np.concatenate(each), return_counts=True)
     buckets = words[count >= LEAST_DOCUMENTS]
     languages = sorted({row[1] for row in rows})
     spoken = np.zeros((len(buckets) + 1, len(languages)), np.float32)
     model = Model(buckets, Network.new(len(buckets), 2, DEPTH, WIDTHS, FILTERS), spoken, np.zeros(len(languages)))
-    row, doc = model.known(texts)
+    known = [model.known(part) for part in parts]
+    begin = np.cumsum([0, *map(len, parts)])
+    row, doc = np.concatenate([k[0] for k in known]), np.concatenate([k[1] + b for k, b in zip(known, begin)])
     language = np.array([languages.index(r[1]) for r in rows])
     seen = np.ones((len(buckets), len(languages)))
     inside = row < len(buckets)
@@ -148,7 +164,8 @@ def fit(rows: list[tuple]) -> Model | float:
     model.network.embedding[:-1, 1:] *= 0.2
     train(model.network, [sequences[k] for k in use], labels[use], weights[use], EPOCHS, batch=16)
     check = np.flatnonzero(held) if held.any() else np.arange(len(rows))
-    odds, guessed = model.odds(texts.take(pa.array(check)))
+    read = [model.odds(part) for part in in_parts(pa.array([rows[k][3] for k in check], pa.string()))]
+    odds, guessed = (np.concatenate([r[k] for r in read]) for k in (0, 1))
     general = best_threshold(odds, labels[check])
     for k in range(len(languages)):
         mine = guessed == k

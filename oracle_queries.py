@@ -807,4 +807,55 @@ ORACLE: dict[str, str] = {
                                       ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS new_balance,
                'INSERT' AS change_type
         FROM txn""",
+    # stored layers and jobs
+    "pipeline_gold": f"""WITH {RAW},
+        silver AS (SELECT CAST(date AS DATE) AS date, amount, {REMAP_CASE} AS category, account
+                   FROM (SELECT DISTINCT * FROM delivered WHERE date >= '1998-01-01') d)
+        SELECT 'daily_summary' AS gold_table, CAST(date AS VARCHAR) AS member, {COUNT},
+               {_sum('amount', 'total')} FROM silver GROUP BY date
+        UNION ALL
+        SELECT 'category_summary', category, COUNT(*), CAST(SUM(amount) AS DOUBLE)
+        FROM silver WHERE amount < 0 GROUP BY category
+        UNION ALL
+        SELECT 'account_balance', account, COUNT(*), CAST(SUM(amount) AS DOUBLE)
+        FROM silver GROUP BY account""",
+    "star_rebuilt": f"""WITH {LEDGER}
+        SELECT id AS transaction_id, account AS account_name, category AS category_name
+        FROM txn WHERE date >= DATE '1998-01-01'""",
+    "layer_shapes": f"""WITH {RAW},
+        silver AS (SELECT DISTINCT * FROM delivered)
+        SELECT 'bronze/transactions' AS layer, COUNT(*) AS rows, 5 AS columns FROM delivered
+        UNION ALL SELECT 'silver/transactions', COUNT(*), 7 FROM silver
+        UNION ALL SELECT 'gold/daily_summary', COUNT(DISTINCT date), 5 FROM silver
+        UNION ALL SELECT 'gold/category_summary', COUNT(DISTINCT {REMAP_CASE}), 5 FROM silver WHERE amount < 0
+        UNION ALL SELECT 'gold/account_balance', COUNT(DISTINCT account), 5 FROM silver""",
+    "lineage_counts": f"""WITH {RAW},
+        silver AS (SELECT DISTINCT * FROM delivered)
+        SELECT 'bronze/transactions' AS layer, 'raw ingestion' AS transformation, COUNT(*) AS row_count FROM delivered
+        UNION ALL SELECT 'silver/transactions', 'clean and type', COUNT(*) FROM silver
+        UNION ALL SELECT 'gold/daily_summary', 'aggregate', COUNT(DISTINCT date) FROM silver
+        UNION ALL SELECT 'gold/category_summary', 'aggregate', COUNT(DISTINCT {REMAP_CASE}) FROM silver WHERE amount < 0
+        UNION ALL SELECT 'gold/account_balance', 'aggregate', COUNT(DISTINCT account) FROM silver""",
+    "monthly_summary_refreshed": f"""WITH {WAREHOUSE}
+        SELECT year, month, category_group, account_type, transaction_count, net_amount
+        FROM (SELECT {SUMMARY_COLUMNS} FROM wh WHERE NOT (year = 1998 AND month = 5) {BY_GROUP}) s""",
+    "contract_offenders": f"""WITH {RAW}
+        SELECT 'category' AS column_name, category AS value, COUNT(*) AS rows FROM delivered
+        WHERE category IS NULL OR category NOT IN ('Salary', 'Shopping', 'Transport', 'Restaurant', 'Coffee',
+                                                   'Utilities', 'Entertainment')
+        GROUP BY category""",
+    "contract_schema_errors": f"""WITH {RAW}
+        SELECT unnest(['Missing columns: [''account'']', 'Extra columns: [''note'']',
+                       'Column ''date'' has type string, expected Date']) AS error, COUNT(*) AS rows
+        FROM delivered""",
+    "json_decode_dirty": """
+        SELECT event_id, CASE WHEN event_id % 5 > 0 THEN CAST(user_id AS VARCHAR) END AS account_id,
+               CASE WHEN event_id % 5 > 1 THEN 2.5::DOUBLE END AS amount,
+               CASE WHEN event_id % 5 IN (1, 3, 4) THEN TIMESTAMP '2024-01-01 00:00:00' END AS ts
+        FROM events""",
+    "ends_of_ledger": f"""WITH {LEDGER}
+        (SELECT id, date, category, account, 'head' AS part FROM txn ORDER BY id LIMIT 5)
+        UNION ALL
+        (SELECT id, date, category, account, 'tail' FROM txn ORDER BY id DESC LIMIT 5)""",
 }
+ORACLE["named_query"] = ORACLE["weekly_patterns"]

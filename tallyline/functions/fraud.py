@@ -33,7 +33,7 @@ LOWEST_LEVEL = "LOW_RISK"
 
 def _holds(limits: FraudLimits) -> dict[str, Column]:
     """Condition of each rule on the columns of a transaction."""
-    spent, hour = F.col("amount"), F.hour(F.to_timestamp("timestamp"))
+    spent, hour = F.col("amount"), F.hour(F.try_to_timestamp("timestamp"))
     return {
         "abroad": (F.col("location") == "INTERNATIONAL") & (spent < limits.abroad),
         "night": (hour < 6) & (spent < limits.night),

@@ -52,32 +52,42 @@ def silver_news(raw: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
 
 
 def staged_transactions(raw: DataFrame) -> DataFrame:
-    """Rows with date, amount and category, trimmed, one per natural key.
+    """Rows with a readable date and amount and a category, trimmed, one per natural key.
 
     Of rows that agree in all four values the smallest id stays. All other output
     columns are the key itself, so a minimum aggregated map-side does what a
     ranking window would, and a key sent a billion times shuffles as one row.
     """
-    cleaned = raw.filter("date IS NOT NULL AND amount IS NOT NULL AND category IS NOT NULL").select(
+    cleaned = raw.select(
         "id",
         as_date(raw, "date").alias("transaction_date"),
-        F.col("amount").cast(MONEY).alias("amount"),
+        F.col("amount").try_cast(MONEY).alias("amount"),
         F.trim("category").alias("category"),
-        F.trim("account").alias("account"))
+        F.trim("account").alias("account")).filter(
+            "transaction_date IS NOT NULL AND amount IS NOT NULL AND category IS NOT NULL")
     return (cleaned.groupBy("transaction_date", "amount", "category", "account")
             .agg(F.min("id").alias("id"))
             .select("id", "transaction_date", "amount", "category", "account"))
 
 
 def explode_payload(payloads: DataFrame) -> DataFrame:
-    """API answers -> statement rows; the description serves as category."""
+    """API answers -> statement rows; the description serves as category. A date or
+    amount that cannot be read is NULL; ``unreadable`` picks such rows out."""
     return (payloads.select(F.explode("transactions").alias("t"))
-            .select(F.to_date("t.date").alias("date"),
-                    F.col("t.amount").cast(MONEY).alias("amount"),
+            .select(F.try_to_timestamp("t.date", F.lit("yyyy-MM-dd")).cast("date").alias("date"),
+                    F.col("t.amount").try_cast(MONEY).alias("amount"),
                     F.col("t.description").alias("category"),
                     F.col("t.account").alias("account")))
 
 
+def unreadable(rows: DataFrame, *needed: str) -> DataFrame:
+    """Rows that lack one of the ``needed`` values, for a report or a side output."""
+    missing = F.lit(False)
+    for name in needed:
+        missing = missing | F.col(name).isNull()
+    return rows.filter(missing)
+
+
 def new_rows(incoming: DataFrame, booked: DataFrame, keys: list[str] = NATURAL_KEY,
              null_safe: bool = False) -> DataFrame:
     """Rows of ``incoming`` not booked yet, each once.
@@ -95,8 +105,13 @@ def new_rows(incoming: DataFrame, booked: DataFrame, keys: list[str] = NATURAL_K
     complete = F.lit(True)
     for k in keys:
         complete = complete & F.col(k).isNotNull()
-    fresh = incoming.filter(complete).dropDuplicates(keys).join(known, keys, "left_anti")
-    return fresh.unionByName(incoming.filter(~complete))
+    # Of rows with equal complete keys the smallest stays; a row with a NULL key has a number of its own.
+    rest = [c for c in incoming.columns if c not in keys]
+    own = F.when(~complete, F.monotonically_increasing_id())
+    marked = incoming.withColumn("_own", own)
+    first = marked.groupBy(*keys, "_own").agg(F.min(F.struct(*rest)).alias("_rest")) if rest else marked.groupBy(*keys, "_own").agg(F.count(F.lit(1)))
+    return (first.join(known, keys, "left_anti")
+            .select(*[F.col(f"_rest.{c}").alias(c) if c in rest else F.col(c) for c in incoming.columns]))
 
 
 def stamped(df: DataFrame, name: str, at: dt.datetime | None = None) -> DataFrame:

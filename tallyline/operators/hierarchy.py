@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.operators.keys import BROADCAST_ROWS
-from tallyline.session import settle
+from tallyline.session import stored_counted
 
 ARROW = " → "
 
@@ -16,27 +15,26 @@ ARROW = " → "
 def category_tree(edges: DataFrame) -> DataFrame:
     """Level, indented label and path of every node reachable from a root.
 
-    One join per level of the tree. A level is fixed (a literal table or a
-    checkpoint), so the plan stays short and levels are not computed again; its
-    counted size decides whether it is broadcast. Where it is not, adaptive execution splits the
-    children of a parent that has most of them.
+    One join per level of the tree. A level is written once, with its row count, so
+    the plan stays short and levels are not computed again; adaptive execution
+    broadcasts small levels and splits the children of a parent that has most of them.
+    A node that is its own ancestor, by a loop under a repeated id, is an error.
     """
     nodes = edges.select("category_id", "category_name", "parent_category_id", "level")
-    level, size = settle(nodes.filter("parent_category_id IS NULL")
-                         .withColumn("full_path", F.col("category_name")))
-    levels = []
+    level, size = stored_counted(nodes.filter("parent_category_id IS NULL").withColumns(
+        {"full_path": F.col("category_name"), "_above": F.array("category_id")}), "level")
+    levels = [level]
     while size:
+        parents = level.select(F.col("category_id").alias("_id"), F.col("full_path").alias("_path"), "_above")
+        step = nodes.join(parents, nodes.parent_category_id == F.col("_id"))
+        looped = F.raise_error(F.concat(F.lit("a node is its own ancestor: "), F.col("category_id").cast("string")))
+        above = F.when(F.array_contains("_above", F.col("category_id")), looped.cast("array<bigint>")).otherwise(
+            F.array_append("_above", F.col("category_id")))
+        level, size = stored_counted(
+            step.withColumns({"full_path": F.concat("_path", F.lit(ARROW), "category_name"), "_above": above})
+            .select(*level.columns), "level")
         levels.append(level)
-        parents = level.select(F.col("category_id").alias("_id"),
-                               F.col("full_path").alias("_path"))
-        if size <= BROADCAST_ROWS:
-            parents = F.broadcast(parents)
-        level, size = settle(
-            nodes.join(parents, nodes.parent_category_id == F.col("_id"))
-            .withColumn("full_path", F.concat("_path", F.lit(ARROW), "category_name"))
-            .drop("_id", "_path"))
-    if not levels:
-        levels = [level]
+    levels = [one.drop("_above") for one in levels]
     return _labelled(reduce(DataFrame.unionByName, levels))
 
 

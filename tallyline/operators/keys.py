@@ -8,53 +8,26 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.session import FEW_ROWS, cut_lineage, small_table
-
-# A dimension row is an id and a few short names (about 100 bytes), so this many
-# rows stay well below what every executor can hold.
-BROADCAST_ROWS = 200_000
+from tallyline.session import small_table, stored
 
 
 @dataclass(frozen=True)
 class Dimension:
-    """A dimension table and its exact row count."""
+    """A stored dimension table, whose size in bytes the planner sees, and its row count."""
 
     frame: DataFrame
     rows: int
 
-    def for_join(self) -> DataFrame:
-        """Broadcast when the counted size allows; else the planner shuffles both
-        sides, and adaptive execution splits skewed keys."""
-        return F.broadcast(self.frame) if self.rows <= BROADCAST_ROWS else self.frame
-
-
-def number_few(names: DataFrame, column: str, key: str) -> Dimension | None:
-    """Number up to ``FEW_ROWS`` names on the driver; None when there are more.
-
-    Strings sort by code point here as they do in Spark.
-    """
-    head = names.select(column).limit(FEW_ROWS + 1).toArrow()
-    if head.num_rows > FEW_ROWS:
-        return None
-    ordered = sorted(head[column].to_pylist(), key=lambda name: (name is None, name or ""))
-    frame = small_table(names.sparkSession, {
-        column: ordered, key: list(range(1, len(ordered) + 1))}, f"{column} STRING, {key} BIGINT")
-    return Dimension(frame, len(ordered))
-
 
-def dense_keys(names: DataFrame, column: str, key: str, few: bool = False) -> Dimension:
-    """Number distinct names in order, NULL last. ``few`` tells that a handful is
-    expected, which is then tried first.
+def dense_keys(names: DataFrame, column: str, key: str) -> Dimension:
+    """Number distinct names in order, NULL last.
 
-    Otherwise names are range-partitioned and fixed by a checkpoint, so that both the counts
-    and the numbering see the same partitions; a partition is numbered on its own
-    and shifted by the rows before it.
+    Names are range-partitioned and written once, so that both the counts and the
+    numbering see the same partitions; a partition is numbered on its own and shifted
+    by the rows before it.
     """
-    if few and (numbered := number_few(names, column, key)):
-        return numbered
     order = F.col(column).asc_nulls_last()
-    fixed = cut_lineage(names.repartitionByRange(order)
-                        .withColumn("_part", F.spark_partition_id()))
+    fixed = stored(names.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "names")
     sizes = sorted(fixed.groupBy("_part").count().collect())  # one row per partition
     before = accumulate([0] + [n for _, n in sizes])
     shifts = small_table(fixed.sparkSession, {
@@ -64,4 +37,4 @@ def dense_keys(names: DataFrame, column: str, key: str, few: bool = False) -> Di
                 .withColumn(key, F.row_number().over(
                     Window.partitionBy("_part").orderBy(order)) + F.col("_shift"))
                 .drop("_part", "_shift"))
-    return Dimension(numbered, sum(n for _, n in sizes))
+    return Dimension(stored(numbered, "dimension"), sum(n for _, n in sizes))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import labels, money, periods
 from tallyline.operators.keys import Dimension, dense_keys
-from tallyline.session import settle
+from tallyline.session import stored
 
 
 def dim_date(ledger: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def _members(names: DataFrame, column: str, default: str) -> DataFrame:
 def dim_category(ledger: DataFrame) -> Dimension:
     names = _members(ledger.select(F.col("category").alias("category_name")),
                      "category_name", "Unknown")
-    dim = dense_keys(names, "category_name", "category_id", few=True)
+    dim = dense_keys(names, "category_name", "category_id")
     group = labels.category_group(F.col("category_name")).alias("category_group")
     return Dimension(dim.frame.select("category_id", "category_name", group), dim.rows)
 
@@ -51,7 +51,7 @@ def dim_merchant(ledger: DataFrame) -> Dimension:
     merchants = ledger.filter(labels.is_merchant(F.col("category")))
     names = _members(merchants.select(F.col("category").alias("merchant_name")),
                      "merchant_name", "Other")
-    dim = dense_keys(names, "merchant_name", "merchant_id", few=True)
+    dim = dense_keys(names, "merchant_name", "merchant_id")
     kind = labels.merchant_type(F.col("merchant_name")).alias("merchant_type")
     return Dimension(dim.frame.select("merchant_id", "merchant_name", kind), dim.rows)
 
@@ -67,42 +67,54 @@ class Star:
 
 def build_star(ledger: DataFrame) -> Star:
     """Two dimensions describe the category, whose distinct names are found once."""
-    categories, _ = settle(ledger.select("category").distinct())
+    categories = stored(ledger.select("category").distinct(), "categories")
     return Star(dim_category(categories), dim_account(ledger), dim_merchant(categories))
 
 
+ATTRIBUTES = {"category": "category_group", "account": "account_type", "merchant": "merchant_type"}
+
+
+def keyed(ledger: DataFrame, star: Star, dimensions: tuple[str, ...] = tuple(ATTRIBUTES)) -> DataFrame:
+    """Ledger rows with surrogate key and attribute of each dimension, in one join for
+    each; unmatched and NULL names keep a NULL key.
+
+    The planner broadcasts a stored dimension that is small enough in bytes; else both
+    sides are shuffled and adaptive execution splits skewed keys.
+    """
+    out = ledger
+    for name in dimensions:
+        dim = getattr(star, name).frame
+        source = "account" if name == "account" else "category"
+        out = out.join(dim.select(f"{name}_id", ATTRIBUTES[name], F.col(f"{name}_name").alias(source)), source, "left")
+    return out
+
+
+FACT = ["transaction_id", "transaction_date", "date_key", "category_id", "account_id", "merchant_id",
+        "amount", "transaction_type", "absolute_amount"]
+
+
+def _facts(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({
+        "transaction_id": F.col("id"), "transaction_date": F.col("date"), "date_key": F.col("date"),
+        "transaction_type": labels.transaction_type(F.col("amount")), "absolute_amount": F.abs("amount")})
+
+
 def fact_transactions(ledger: DataFrame, star: Star) -> DataFrame:
-    """Ledger rows with surrogate keys; unmatched and NULL names keep a NULL key.
+    """Ledger rows with surrogate keys.
 
     The date dimension holds every ledger date under itself, so its key needs no
     join. Row order is left to the writer.
     """
-    category = star.category.for_join().select("category_id", F.col("category_name").alias("category"))
-    account = star.account.for_join().select("account_id", F.col("account_name").alias("account"))
-    merchant = star.merchant.for_join().select("merchant_id", F.col("merchant_name").alias("category"))
-    return (ledger.join(category, "category", "left")
-            .join(account, "account", "left")
-            .join(merchant, "category", "left")
-            .select(F.col("id").alias("transaction_id"),
-                    F.col("date").alias("transaction_date"),
-                    F.col("date").alias("date_key"),
-                    "category_id", "account_id", "merchant_id", "amount",
-                    labels.transaction_type(F.col("amount")).alias("transaction_type"),
-                    F.abs("amount").alias("absolute_amount")))
-
-
-def warehouse_transactions(fact: DataFrame, star: Star, size_scale: int = 1) -> DataFrame:
+    return _facts(keyed(ledger, star)).select(*FACT)
+
+
+def warehouse_transactions(ledger: DataFrame, star: Star, size_scale: int = 1) -> DataFrame:
     """Fact rows with the attributes of their dimensions."""
-    return (fact
-            .join(star.category.for_join().select("category_id", "category_group"), "category_id", "left")
-            .join(star.account.for_join().select("account_id", "account_type"), "account_id", "left")
-            .join(star.merchant.for_join().select("merchant_id", "merchant_type"), "merchant_id", "left")
-            .select(*[fact[c] for c in fact.columns],
-                    F.year("date_key").alias("year"),
-                    F.month("date_key").alias("month"),
-                    periods.day_of_week("date_key").alias("day_of_week"),
-                    "category_group", "account_type", "merchant_type",
-                    labels.size_class(F.col("amount"), size_scale).alias("amount_category")))
+    return _facts(keyed(ledger, star)).select(
+        *FACT, F.year("date_key").alias("year"), F.month("date_key").alias("month"),
+        periods.day_of_week("date_key").alias("day_of_week"),
+        "category_group", "account_type", "merchant_type",
+        labels.size_class(F.col("amount"), size_scale).alias("amount_category"))
 
 
 def warehouse(ledger: DataFrame, size_scale: int = 1) -> DataFrame:
@@ -125,14 +137,12 @@ def warehouse(ledger: DataFrame, size_scale: int = 1) -> DataFrame:
         labels.size_class(F.col("amount"), size_scale).alias("amount_category"))
 
 
-def star_query(fact: DataFrame, star: Star) -> DataFrame:
-    """Totals by month, category group and account type, dimensions inner-joined."""
+def star_query(ledger: DataFrame, star: Star) -> DataFrame:
+    """Totals by month, category group and account type; rows without a member of both are left out."""
     amount = F.col("absolute_amount")
     zero = F.lit(0).cast("decimal(12,2)")
-    return (fact
-            .join(star.category.for_join().select("category_id", "category_group"), "category_id")
-            .join(star.account.for_join().select("account_id", "account_type"), "account_id")
-            .filter(F.col("date_key").isNotNull())
+    return (_facts(keyed(ledger, star, ("category", "account")))
+            .filter("category_id IS NOT NULL AND account_id IS NOT NULL AND date_key IS NOT NULL")
             .groupBy(F.year("date_key").alias("year"), F.month("date_key").alias("month"),
                      "category_group", "account_type")
             .agg(F.count(F.lit(1)).alias("transaction_count"),

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,21 +87,21 @@ def first_of_product(parts: list[tuple[DataFrame, list]], rows: int) -> DataFram
     Such an order counts like an odometer: row r of the product takes row
     ``r div (sizes of the later tables)`` of a table, modulo its size. So a table
     gives at most its first ``rows`` rows, and equality joins on row numbers replace
-    the product. Those few rows are fetched once each, which also tells the sizes.
+    the product. Sizes are scalar subqueries over the same few rows.
     """
     spark = parts[0][0].sparkSession
-    heads = [df.orderBy(*order).limit(rows).toArrow() for df, order in parts]
-    total = math.prod(head.num_rows for head in heads)
-    out = spark.range(min(rows, total)).withColumnRenamed("id", "_r")
-    later = 1
-    for head in reversed(heads):
-        size = max(head.num_rows, 1)
-        numbered = spark.createDataFrame(
-            head.append_column("_i", pa.array(range(head.num_rows), pa.int64())))
-        place = F.floor(F.col("_r") / later) % size
-        out = out.withColumn("_i", place).join(F.broadcast(numbered), "_i").drop("_i")
-        later *= size
-    return out.orderBy("_r").drop("_r")
+    heads = [df.orderBy(*order).limit(rows) for df, order in parts]
+    sizes = [head.agg(F.count(F.lit(1))).scalar() for head in heads]
+    out = spark.range(rows).withColumnRenamed("id", "_r")
+    out = out.withColumns({f"_n{k}": size for k, size in enumerate(sizes)})
+    out = out.filter(F.col("_r") < reduce(lambda a, b: a * b, [F.col(f"_n{k}") for k in range(len(sizes))]))
+    later = F.lit(1)
+    for k, (head, (_, order)) in reversed(list(enumerate(zip(heads, parts)))):
+        numbered = head.withColumn("_i", F.row_number().over(Window.orderBy(*order)).cast("bigint") - 1)  # at most ``rows`` rows
+        place = F.floor(F.col("_r") / later) % F.col(f"_n{k}")
+        out = out.withColumn("_i", place).join(numbered, "_i").drop("_i")
+        later = later * F.col(f"_n{k}")
+    return out.orderBy("_r").drop("_r", *[f"_n{k}" for k in range(len(sizes))])
 
 
 def financial_dashboard(daily: DataFrame, category: DataFrame, balance: DataFrame,

@@ -28,13 +28,19 @@ def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
 
 def gold_overview(silver: DataFrame) -> DataFrame:
     """All gold tables side by side: one line per day, category and account."""
-    parts = {"daily_summary": ("date", "total_amount"),
-             "category_summary": ("category", "total_spent"),
-             "account_balance": ("account_id", "current_balance")}
-    gold = gold_tables(silver)
+    return overview(gold_tables(silver))
+
+
+GOLD = {"daily_summary": ("date", "total_amount"),
+        "category_summary": ("category", "total_spent"),
+        "account_balance": ("account_id", "current_balance")}
+
+
+def overview(gold: dict[str, DataFrame]) -> DataFrame:
+    """One line per day, category and account of the given gold tables."""
     lines = [gold[name].select(F.lit(name).alias("gold_table"), F.col(key).cast("string").alias("member"),
                                "transaction_count", F.col(total).alias("total"))
-             for name, (key, total) in parts.items()]
+             for name, (key, total) in GOLD.items()]
     return lines[0].unionByName(lines[1]).unionByName(lines[2])
 
 

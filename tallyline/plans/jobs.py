@@ -35,11 +35,15 @@ def write_daily_report(warehouse: DataFrame, as_of: dt.date, folder: str) -> str
 def refresh_monthly_summary(warehouse: DataFrame, path: str, since: dt.date | None = None) -> None:
     """Store the monthly summary by (year, month).
 
-    With ``since``, only months from that day's month on are computed and replaced.
+    With ``since``, only months from that day's month on are computed and replaced;
+    of these, months without rows go.
     """
-    if since:
-        warehouse = warehouse.filter(F.col("date_key") >= F.lit(periods.month_start(since)))
-    files.write_layer(reports.monthly_financial_summary(warehouse), path, ["year", "month"])
+    if not since:
+        files.write_layer(reports.monthly_financial_summary(warehouse), path, ["year", "month"])
+        return
+    recent = warehouse.filter(F.col("date_key") >= F.lit(periods.month_start(since)))
+    in_range = F.col("year") * 12 + F.col("month") >= since.year * 12 + since.month
+    files.replace_partitions(reports.monthly_financial_summary(recent), path, ["year", "month"], in_range)
 
 
 def read_monthly_summary(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,35 +14,37 @@ MONTHLY = ["year", "month"]
 
 
 def build_star_tables(spark: SparkSession, ledger: DataFrame, out: str) -> dict[str, str]:
-    """Write dimensions, fact and warehouse table and return their paths.
+    """Write dimensions, fact and warehouse table as one new version and return their paths.
 
-    The dimensions are read back before the fact is keyed, so that fact and
-    stored dimensions agree. Large tables are partitioned by month; the date part
-    of the fact is its partition, so reports by period skip the other files.
+    Keys are numbered anew for every version, so fact and dimensions belong together: all
+    tables go to a folder of their own, and the version becomes the current one when all
+    of them are there. Large tables are partitioned by month; the date part of the fact is
+    its partition, so reports by period skip the other files.
     """
+    version = f"{out}/version={uuid.uuid4().hex}"
     built = star.build_star(ledger)
-    paths = {}
-    stored = {}
+    paths = {f"dim_{name}": f"{version}/dim_{name}" for name in ("category", "account", "merchant", "date")}
     for name in ("category", "account", "merchant"):
-        paths[f"dim_{name}"] = f"{out}/dim_{name}"
         files.write_layer(getattr(built, name).frame, paths[f"dim_{name}"])
-        stored[name] = star.Dimension(spark.read.parquet(paths[f"dim_{name}"]), getattr(built, name).rows)
-    keyed = star.Star(**stored)
-    paths["dim_date"] = f"{out}/dim_date"
     files.write_layer(star.dim_date(ledger), paths["dim_date"])
 
     month = {"year": F.year("date_key"), "month": F.month("date_key")}
-    fact = cleaning.stamped(star.fact_transactions(ledger, keyed), "loaded_at")
-    paths["fact_transactions"] = f"{out}/fact_transactions"
+    fact = cleaning.stamped(star.fact_transactions(ledger, built), "loaded_at")
+    paths["fact_transactions"] = f"{version}/fact_transactions"
     files.write_layer(fact.withColumns(month), paths["fact_transactions"], MONTHLY)
 
-    wide = star.warehouse_transactions(
-        spark.read.parquet(paths["fact_transactions"]).drop(*MONTHLY), keyed)
-    paths["warehouse_transactions"] = f"{out}/warehouse_transactions"
+    wide = cleaning.stamped(star.warehouse_transactions(ledger, built), "loaded_at")
+    paths["warehouse_transactions"] = f"{version}/warehouse_transactions"
     files.write_layer(wide, paths["warehouse_transactions"], MONTHLY)
+    files.write_layer(spark.createDataFrame(list(paths.items()), "name STRING, path STRING"), f"{out}/current")
     return paths
 
 
+def star_tables(spark: SparkSession, out: str) -> dict[str, str]:
+    """Paths of the current version of the star tables below ``out``."""
+    return {row.name: row.path for row in spark.read.parquet(f"{out}/current").collect()}
+
+
 def build_marts(spark: SparkSession, raw: DataFrame, out: str) -> dict[str, str]:
     """Write the staging table and the marts over it."""
     paths = {name: f"{out}/{name}" for name in

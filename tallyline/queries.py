@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,12 @@ from pyspark.sql import functions as F
 from tallyline.functions import fraud, labels
 from tallyline.operators import (cleaning, contracts, forecast, hierarchy, quality, reports,
                                  running, star, summaries, windows)
-from tallyline.plans import batch, catalog
+from tallyline.plans import batch, catalog, jobs, warehouse
 from tallyline.schemas import PAYLOAD
-from tallyline.session import small_table
+from tallyline.session import checkpoint_dir, small_table, stored
 from tallyline.sources import files, tables, topics
+from tallyline.sources.lineage import LineageLog
+from tallyline.streaming import jobs as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,8 +60,7 @@ def _spending_query(build: Callable[..., DataFrame], *args, days: int = 30, **kw
 def _with_star(build: Callable[..., DataFrame]) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         ledger = tables.ledger(spark, folder)
-        keyed = star.build_star(ledger)
-        return build(star.fact_transactions(ledger, keyed), keyed)
+        return build(ledger, star.build_star(ledger))
     return query
 
 
@@ -139,12 +141,12 @@ def txn_type(spark: SparkSession, folder: str) -> DataFrame:
         F.abs(amount).cast("double").alias("absolute_amount"))
 
 
-def fact_transactions(fact: DataFrame, keyed: star.Star) -> DataFrame:
-    return summaries.as_double(fact, "amount", "absolute_amount")
+def fact_transactions(ledger: DataFrame, built: star.Star) -> DataFrame:
+    return summaries.as_double(star.fact_transactions(ledger, built), "amount", "absolute_amount")
 
 
-def warehouse_transactions(fact: DataFrame, keyed: star.Star) -> DataFrame:
-    return summaries.as_double(star.warehouse_transactions(fact, keyed, SCALE),
+def warehouse_transactions(ledger: DataFrame, built: star.Star) -> DataFrame:
+    return summaries.as_double(star.warehouse_transactions(ledger, built, SCALE),
                                "amount", "absolute_amount")
 
 
@@ -206,11 +208,110 @@ def fraud_additive(transactions: DataFrame) -> DataFrame:
 
 
 def gold_overview(spark: SparkSession, folder: str) -> DataFrame:
-    silver = cleaning.silver_transactions(tables.raw_ledger(spark, folder))
+    silver = stored(cleaning.silver_transactions(tables.raw_ledger(spark, folder)), "silver")
     return batch.gold_overview(silver)
 
 
+RECENT = "1998-01-01"
+
+
+def pipeline_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch job run over the old rows, then over the recent ones: gold of the latter, from its files."""
+    raw = tables.raw_ledger(spark, folder)
+    out = f"{checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}"
+    batch.run_batch(spark, raw.filter(F.col("date") < RECENT), None, out)
+    paths = batch.run_batch(spark, raw.filter(F.col("date") >= RECENT), None, out)
+    return batch.overview({name: spark.read.parquet(paths[f"gold/{name}"]) for name in batch.GOLD})
+
+
+def star_rebuilt(spark: SparkSession, folder: str) -> DataFrame:
+    """Star tables built twice; names of the second fact through its own dimensions."""
+    ledger = tables.ledger(spark, folder)
+    out = f"{checkpoint_dir(spark)}/star-{uuid.uuid4().hex}"
+    warehouse.build_star_tables(spark, ledger.filter(F.col("date") < F.lit(RECENT).cast("date")), out)
+    warehouse.build_star_tables(spark, ledger.filter(F.col("date") >= F.lit(RECENT).cast("date")), out)
+    stored = {name: spark.read.parquet(path) for name, path in warehouse.star_tables(spark, out).items()}
+    return (stored["fact_transactions"].join(stored["dim_account"], "account_id")
+            .join(stored["dim_category"], "category_id")
+            .select("transaction_id", "account_name", "category_name"))
+
+
+def layer_shapes(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and columns of the layers that the batch job has written."""
+    out = f"{checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}"
+    return batch.layer_shapes(spark, batch.run_batch(spark, tables.raw_ledger(spark, folder), None, out))
+
+
+def lineage_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What the lineage log of a batch run says about each step."""
+    out = f"{checkpoint_dir(spark)}/lake-{uuid.uuid4().hex}"
+    batch.run_batch(spark, tables.raw_ledger(spark, folder), None, out)
+    return LineageLog(spark, f"{out}/lineage").entries().select(
+        F.regexp_extract("destination", "([^/]+/[^/]+)$", 1).alias("layer"), "transformation", "row_count")
+
+
+def monthly_summary_refreshed(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored monthly summary after all months from 1998 on were refreshed without one of them."""
+    wide = star.warehouse(tables.ledger(spark, folder))
+    path = f"{checkpoint_dir(spark)}/summary-{uuid.uuid4().hex}"
+    jobs.refresh_monthly_summary(wide, path)
+    jobs.refresh_monthly_summary(wide.filter("NOT (year = 1998 AND month = 5)"), path, dt.date(1998, 1, 1))
+    return summaries.as_double(jobs.read_monthly_summary(spark, path).select(
+        F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
+        "category_group", "account_type", "transaction_count", "net_amount"), "net_amount")
+
+
+def contract_offenders(spark: SparkSession, folder: str) -> DataFrame:
+    """Every value that the ledger contract does not allow, over the raw ledger."""
+    return contracts.ledger_contract().all_offenders(tables.raw_ledger(spark, folder))
+
+
+def contract_schema_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """What the ledger contract says about the columns of the raw ledger, with its rows."""
+    raw = tables.raw_ledger(spark, folder).drop("account").withColumn("note", F.lit("x"))
+    errors = contracts.ledger_contract().schema_errors(raw)
+    lines = F.explode(F.array(*map(F.lit, errors)))
+    return raw.agg(F.count(F.lit(1)).alias("rows")).select(lines.alias("error"), "rows")
+
+
+def json_decode_dirty(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of which some are no JSON, lack an amount or have an unreadable time: what is left of each."""
+    n = F.col("event_id") % 5
+    events = tables.table(spark, folder, "events").select("event_id", F.when(n == 0, F.lit("no json")).when(
+        n == 1, F.concat(F.lit('{"amount": null, "timestamp": "2024-01-01T00:00:00", "account_id": "'), F.col("user_id"), F.lit('"}'))).when(
+        n == 2, F.concat(F.lit('{"amount": 2.5, "timestamp": "soon", "account_id": "'), F.col("user_id"), F.lit('"}'))).otherwise(
+        F.concat(F.lit('{"amount": 2.5, "timestamp": "2024-01-01T00:00:00", "account_id": "'), F.col("user_id"), F.lit('"}'))).alias("value"))
+    typed = streams.typed(topics.decode(events, keep=["event_id"]))
+    return typed.select("event_id", "account_id", F.col("amount").cast("double").alias("amount"),
+                        F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+def ends_of_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The first and last rows of the ledger by id."""
+    ledger = tables.ledger(spark, folder).select("id", "date", "category", "account")
+    parts = [ledger.orderBy(order).limit(5).withColumn("part", F.lit(name)) for name, order in (("head", F.asc("id")), ("tail", F.desc("id")))]
+    return parts[0].unionByName(parts[1])
+
+
+def named_query(spark: SparkSession, folder: str) -> DataFrame:
+    """A report looked up by name, over views."""
+    found = catalog.Catalog(tables.ledger(spark, folder), AS_OF).run("weekly_patterns")
+    catalog.register_views({"found_patterns": found})
+    return spark.table("found_patterns")
+
+
 QUERIES: dict[str, Query] = {
+    # stored layers and jobs
+    "pipeline_gold": pipeline_gold,
+    "star_rebuilt": star_rebuilt,
+    "layer_shapes": layer_shapes,
+    "lineage_counts": lineage_counts,
+    "monthly_summary_refreshed": monthly_summary_refreshed,
+    "contract_offenders": contract_offenders,
+    "contract_schema_errors": contract_schema_errors,
+    "json_decode_dirty": json_decode_dirty,
+    "ends_of_ledger": ends_of_ledger,
+    "named_query": named_query,
     # sources
     "scan_parquet_sql": scan_parquet_sql,
     "adhoc_sql": adhoc_sql,

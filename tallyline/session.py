@@ -6,13 +6,10 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# As many rows as may pass through the driver to become a literal table.
-FEW_ROWS = 1_000
-
 # Settings a job needs whatever the cluster looks like. Sizes (executor memory,
 # shuffle partitions, broadcast threshold) are left to the cluster.
 COMMON_CONF = {
@@ -20,7 +17,6 @@ COMMON_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Looking up the Python call site of every column expression costs more than
     # planning a report.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -59,12 +55,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably so that every later read sees the same rows."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` computed once, as Parquet in the shared folder.
 
@@ -77,19 +67,11 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settle(df: DataFrame, few: int = FEW_ROWS) -> tuple[DataFrame, int]:
-    """Compute ``df`` once: (its rows fixed, their number).
-
-    Up to ``few`` rows become a literal table; more are checkpointed. The first
-    rows that decide this are fetched with a limit, never more than ``few + 1``.
-    """
-    head = df.limit(few + 1).toArrow()
-    if head.num_rows <= few:
-        rows = head.to_pylist()
-        columns = {name: [row[name] for row in rows] for name in df.columns}
-        return small_table(df.sparkSession, columns, df.schema), head.num_rows
-    fixed = cut_lineage(df)
-    return fixed, fixed.count()
+def stored_counted(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+    """``stored``, and the number of rows, counted while they are written."""
+    seen = Observation()
+    kept = stored(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return kept, int(seen.get["rows"])
 
 
 def small_table(spark: SparkSession, columns: dict[str, list],

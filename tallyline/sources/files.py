@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,7 @@ def parquet_relation(path: str) -> str:
 
 
 def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace a layer, or only the partitions ``df`` has rows for.
+    """Replace a whole layer; partitions that ``df`` has no rows for go.
 
     The rebalance hint lets adaptive execution pick the file count: it joins
     small partitions and splits a month that holds most of the rows.
@@ -35,11 +35,29 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None)
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
         (df.write.mode("overwrite").partitionBy(*partition_by)
-         .option("partitionOverwriteMode", "dynamic").parquet(path))
+         .option("partitionOverwriteMode", "static").parquet(path))
     else:
         df.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], in_range: Column) -> None:
+    """Replace the stored partitions in a range by those of ``df``, which lies within it.
+
+    ``in_range`` is a condition on the partition columns. Partitions in the range that
+    ``df`` has no rows for are removed. The values of the partitions pass the driver.
+    """
+    spark = df.sparkSession
+    (df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").partitionBy(*partition_by)
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
+    stored = spark.read.parquet(path)
+    there = stored.filter(in_range).select(*partition_by).distinct().collect()
+    new = set(map(tuple, df.select(*partition_by).distinct().collect()))
+    for row in there:
+        if tuple(row) not in new:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path, "/".join(f"{c}={row[c]}" for c in partition_by))
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Append a whole set of rows in one job."""
     df.write.mode("append").parquet(path)

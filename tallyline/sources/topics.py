@@ -10,7 +10,7 @@ from tallyline import schemas
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, start: str = "latest",
-               per_trigger: int | None = None) -> DataFrame:
+               per_trigger: int = 100_000) -> DataFrame:
     """Stream of raw messages. ``start`` holds for a query without a checkpoint;
     afterwards offsets come from the checkpoint. ``per_trigger`` bounds a batch."""
     options = {
@@ -18,19 +18,17 @@ def read_topic(spark: SparkSession, servers: str, topic: str, start: str = "late
         "subscribe": topic,
         "startingOffsets": start,
         "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": str(per_trigger),
     }
-    if per_trigger:
-        options["maxOffsetsPerTrigger"] = str(per_trigger)
     return spark.readStream.format("kafka").options(**options).load()
 
 
 def read_folder(spark: SparkSession, path: str, schema: T.StructType,
-                fmt: str = "parquet", files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of files landing in a folder, where no broker is at hand."""
+                fmt: str = "parquet", files_per_trigger: int = 8) -> DataFrame:
+    """Stream of files landing in a folder, where no broker is at hand;
+    ``files_per_trigger`` bounds a batch."""
     reader = spark.readStream.format(fmt).schema(schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path)
+    return reader.option("maxFilesPerTrigger", files_per_trigger).load(path)
 
 
 def decode(messages: DataFrame, schema: T.StructType | str = schemas.STREAM_TRANSACTION,

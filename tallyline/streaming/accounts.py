@@ -26,6 +26,22 @@ def _in_order(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(frames, ignore_index=True).sort_values(_IN_ORDER, kind="stable")
 
 
+_NEEDED = ("account_id", "transaction_id", "amount", "ts")
+
+
+def _complete() -> Column:
+    """Rows that may enter the state: a missing amount or time would spoil it for good."""
+    found = F.lit(True)
+    for name in _NEEDED:
+        found = found & F.col(name).isNotNull()
+    return found
+
+
+def incomplete(transactions: DataFrame) -> DataFrame:
+    """Messages that the stateful queries leave out, for a side output."""
+    return transactions.filter(~_complete())
+
+
 def _cents() -> Column:
     return (F.col("amount") * 100).cast("bigint").alias("cents")
 
@@ -45,7 +61,7 @@ def _fold_balance(opening: int) -> Callable:
 def account_balances(transactions: DataFrame, opening: int = OPENING_BALANCE) -> DataFrame:
     """Balance of the account after every transaction."""
     kinds = dict(transactions.dtypes)
-    return (transactions.select("account_id", "transaction_id", "ts", _cents())
+    return (transactions.filter(_complete()).select("account_id", "transaction_id", "ts", _cents())
             .groupBy("account_id")
             .applyInPandasWithState(
                 _fold_balance(opening),
@@ -78,7 +94,8 @@ def pattern_anomalies(transactions: DataFrame, limit: float = -200, length: int
     """Transactions at which the mean of the last amounts of the same account and
     category falls below ``limit``; the state is at most ``length - 1`` amounts."""
     kinds = dict(transactions.dtypes)
-    return (transactions.select("account_id", "category", "transaction_id", "ts", _cents())
+    return (transactions.filter(_complete() & F.col("category").isNotNull())
+            .select("account_id", "category", "transaction_id", "ts", _cents())
             .groupBy("account_id", "category")
             .applyInPandasWithState(
                 _fold_pattern(limit, length, at_least),

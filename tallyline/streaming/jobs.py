@@ -21,9 +21,10 @@ EVERY = {"fraud": "10 seconds", "balances": "30 seconds", "anomalies": "20 secon
 
 
 def typed(decoded: DataFrame) -> DataFrame:
-    """Decoded messages with exact amounts and an event time beside the text one."""
-    return decoded.withColumns({"amount": F.col("amount").cast(MONEY),
-                                "ts": F.to_timestamp("timestamp")})
+    """Decoded messages with exact amounts and an event time beside the text one; what
+    cannot be read is NULL (``accounts.incomplete`` picks such messages out)."""
+    return decoded.withColumns({"amount": F.col("amount").try_cast(MONEY),
+                                "ts": F.try_to_timestamp("timestamp")})
 
 
 def fraud_scores(transactions: DataFrame,

@@ -92,3 +92,14 @@ def test_payload(spark):
                                schemas.PAYLOAD)
     assert as_set(cleaning.explode_payload(df)) == {
         (day("2024-01-01"), Decimal("2.50"), "Coffee", "a"), (day("2024-01-02"), Decimal("-1.00"), None, "b")}
+
+
+def test_unreadable_values_do_not_stop_a_load(spark):
+    payloads = spark.createDataFrame(
+        [([(1, "2024-13-77", 1.0, "x", "a"), (2, "2024-01-02", 2.0, "y", "b")],)],
+        "transactions ARRAY<STRUCT<id: BIGINT, date: STRING, amount: DOUBLE, description: STRING, account: STRING>>")
+    rows_ = cleaning.explode_payload(payloads)
+    assert rows_.count() == 2 and cleaning.unreadable(rows_, "date").count() == 1
+    raw = spark.createDataFrame([(1, "soon", "5", "c", "a"), (2, "2024-01-01", "five", "c", "a"), (3, "2024-01-01", "5", "c", "a")],
+                                "id BIGINT, date STRING, amount STRING, category STRING, account STRING")
+    assert [r.id for r in cleaning.staged_transactions(raw).collect()] == [3]

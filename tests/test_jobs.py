@@ -144,12 +144,60 @@ def test_stated_schemas_are_those_of_the_files(spark, scale):
         assert tables.table(spark, path, name).dtypes == spark.read.parquet(f"{path}/{name}.parquet").dtypes
 
 
-def test_settle(spark):
-    for few in (5, 100):
-        df, n = session.settle(spark.range(10).withColumn("d", F.lit(Decimal("1.50")).cast("decimal(12,2)")), few)
-        assert n == df.count() == 10 and df.dtypes == [("id", "bigint"), ("d", "decimal(12,2)")]
-    empty, n = session.settle(spark.range(0))
-    assert n == empty.count() == 0
+def test_stored_counted(spark):
+    kept, rows_ = session.stored_counted(spark.range(7), "numbers")
+    assert rows_ == 7 and kept.count() == 7
+    empty, none = session.stored_counted(spark.range(0), "numbers")
+    assert none == 0 and empty.columns == ["id"]
+
+
+def halves(spark, small):
+    raw = tables.raw_ledger(spark, small)
+    return raw.filter("date < '1998-01-01'"), raw.filter("date >= '1998-01-01'")
+
+
+def test_a_second_batch_leaves_nothing_of_the_first(spark, small, tmp_path):
+    old, new = halves(spark, small)
+    out = str(tmp_path / "lake")
+    batch.run_batch(spark, old, None, out)
+    paths = batch.run_batch(spark, new, None, out)
+    silver = spark.read.parquet(paths["silver/transactions"])
+    assert silver.filter("year < 1998").count() == 0
+    gold = spark.read.parquet(paths["gold/daily_summary"])
+    assert gold.agg(F.sum("transaction_count")).first()[0] == new.distinct().count() == silver.count()
+
+
+def test_a_second_star_has_no_foreign_keys_of_the_first(spark, small, tmp_path):
+    ledger_ = tables.ledger(spark, small)
+    old, new = ledger_.filter("date < '1998-01-01'"), ledger_.filter("date >= '1998-01-01'")
+    out = str(tmp_path / "star")
+    warehouse.build_star_tables(spark, old, out)
+    warehouse.build_star_tables(spark, new, out)
+    paths = warehouse.star_tables(spark, out)
+    fact, accounts = spark.read.parquet(paths["fact_transactions"]), spark.read.parquet(paths["dim_account"])
+    assert fact.count() == new.count() and fact.filter("year < 1998").count() == 0
+    named = fact.join(accounts, "account_id").select(F.col("transaction_id").alias("id"), F.col("account_name").alias("account"))
+    assert as_set(named) == as_set(new.select("id", "account"))
+
+
+def test_a_second_summary_has_no_months_of_the_first(spark, small, tmp_path):
+    wide = star.warehouse(tables.ledger(spark, small))
+    path = str(tmp_path / "summary")
+    jobs.refresh_monthly_summary(wide.filter("year < 1998"), path)
+    jobs.refresh_monthly_summary(wide.filter("year >= 1998"), path)
+    stored = jobs.read_monthly_summary(spark, path)
+    assert stored.filter("year < 1998").count() == 0
+    # A month in the refreshed range that has no rows any more goes; older ones stay.
+    jobs.refresh_monthly_summary(wide.filter("year < 2001 OR month <> 6"), path, since=dt.date(2001, 5, 1))
+    stored = jobs.read_monthly_summary(spark, path)
+    assert stored.filter("year = 2001 AND month = 6").count() == 0
+    assert stored.filter("year = 2001 AND month = 5").count() > 0 and stored.filter("year = 1999").count() > 0
+
+
+def test_a_loop_in_a_tree_is_an_error(spark):
+    edges = spark.createDataFrame([(1, "root", None, 0), (2, "a", 1, 1), (3, "b", 2, 2), (2, "a again", 3, 3)], schemas.HIERARCHY)
+    with pytest.raises(Exception, match="own ancestor"):
+        hierarchy.category_tree(edges).count()
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):

@@ -72,13 +72,17 @@ def test_no_query_uses_a_product_or_python_rows(spark, small):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
 
-def test_small_dimensions_are_broadcast_by_their_counted_size(spark, small):
+def test_one_join_for_each_dimension_used(spark, small):
     ledger = tables.ledger(spark, small)
-    keyed = star.build_star(ledger)
-    plan = plan_of(star.fact_transactions(ledger, keyed))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    large = star.Star(*[type(d)(d.frame, 10**9) for d in (keyed.category, keyed.account, keyed.merchant)])
-    assert large.account.for_join() is large.account.frame
+    built = star.build_star(ledger)
+    plan = plan_of(star.warehouse_transactions(ledger, built))
+    assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
+    assert plan_of(star.star_query(ledger, built)).count("BroadcastHashJoin") == 2
+
+
+def test_the_dashboard_reads_its_tables(spark, small):
+    plan = plan_of(QUERIES["financial_dashboard"](spark, small))
+    assert "FileScan parquet" in plan and "LocalTableScan" not in plan
 
 
 def test_booked_keys_are_reduced_before_the_join(spark, small):

@@ -73,12 +73,12 @@ def test_monthly_trends(spark):
 
 def test_star(spark, book):
     book = book.unionByName(ledger(spark, (8, "2024-03-15", -1, None, "Unknown")))
-    keyed = star.build_star(book)
-    categories = rows(keyed.category.frame.orderBy("category_id"), "category_id", "category_name")
+    built = star.build_star(book)
+    categories = rows(built.category.frame.orderBy("category_id"), "category_id", "category_name")
     assert categories == [(1, "Coffee"), (2, "Restaurant"), (3, "Salary"), (4, "Unknown"), (5, None)]
-    assert keyed.account.rows == 5 and keyed.category.rows == 5
-    assert as_set(keyed.merchant.frame, "merchant_name") == {("Coffee",), ("Other",), ("Restaurant",)}
-    fact = star.fact_transactions(book, keyed)
+    assert built.account.rows == 5 and built.category.rows == 5
+    assert as_set(built.merchant.frame, "merchant_name") == {("Coffee",), ("Other",), ("Restaurant",)}
+    fact = star.fact_transactions(book, built)
     assert fact.count() == book.count()
     lost = fact.filter("transaction_id = 8").first()
     assert (lost.category_id, lost.merchant_id, lost.transaction_type) == (None, None, "Expense")
@@ -86,7 +86,7 @@ def test_star(spark, book):
     # Joined and computed attributes agree, except that no key means no attribute.
     shared = ["transaction_id", "year", "month", "day_of_week", "category_group", "account_type",
               "merchant_type", "amount_category"]
-    joined = star.warehouse_transactions(fact, keyed)
+    joined = star.warehouse_transactions(book, built)
     assert as_set(joined, *shared) == as_set(star.warehouse(book), *shared)
 
 

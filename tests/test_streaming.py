@@ -148,3 +148,24 @@ def test_change_events_and_their_consumer(spark, small, tmp_path):
     logged = accounts.change_log(changes, 0)
     jobs.start(logged, "consumer", str(tmp_path / "log"), str(tmp_path / "cp2")).awaitTermination(180)
     assert spark.read.parquet(str(tmp_path / "log")).count() == ledger.count()
+
+
+def test_broken_messages_do_not_stop_the_streams(spark, feed, tmp_path):
+    path, batch = feed
+    good = spark.read.parquet(path)
+    broken = ['{"transaction_id": "x1", "account_id": "1", "amount": null, "timestamp": "2024-01-01T00:00:00"}',
+              '{"transaction_id": "x2", "account_id": "1", "amount": 5, "timestamp": "soon"}', "no json", None]
+    bad = spark.createDataFrame([(None, b) for b in broken], "key STRING, value STRING")
+    mixed = str(tmp_path / "mixed")
+    good.select("key", "value").unionByName(bad).coalesce(1).write.parquet(mixed)
+    stream = stream_of(spark, mixed)
+    out = str(tmp_path / "out")
+    query = jobs.start(accounts.account_balances(stream), "balances_of_mixed", out, str(tmp_path / "checkpoint"))
+    query.awaitTermination(180)
+    assert query.exception() is None
+    got = spark.read.parquet(out)
+    assert as_set(got.select("transaction_id")) == as_set(batch.select("transaction_id"))
+    scored = jobs.start(jobs.fraud_scores(stream), "scores_of_mixed", f"{out}_scores", str(tmp_path / "checkpoint"))
+    scored.awaitTermination(180)
+    assert scored.exception() is None and spark.read.parquet(f"{out}_scores").count() == batch.count() + 4
+    assert accounts.incomplete(jobs.typed(topics.decode(spark.read.parquet(mixed)))).count() == 4

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import labels, money, periods
 from tallyline.operators.keys import Dimension, dense_keys
-from tallyline.session import stored
 
 
 def dim_date(ledger: DataFrame) -> DataFrame:
@@ -31,29 +30,47 @@ def _members(names: DataFrame, column: str, default: str) -> DataFrame:
     return names.unionByName(extra).distinct()
 
 
+def _category_names(ledger: DataFrame) -> DataFrame:
+    return _members(ledger.select(F.col("category").alias("category_name")), "category_name", "Unknown")
+
+
+def _account_names(ledger: DataFrame) -> DataFrame:
+    return _members(ledger.select(F.col("account").alias("account_name")), "account_name", "Unknown")
+
+
+def _merchant_names(ledger: DataFrame) -> DataFrame:
+    merchants = ledger.filter(labels.is_merchant(F.col("category")))
+    return _members(merchants.select(F.col("category").alias("merchant_name")), "merchant_name", "Other")
+
+
+#: Names of each dimension, and the attribute that follows from a name.
+DIMENSIONS = {
+    "category": (_category_names, "category_group", labels.category_group),
+    "account": (_account_names, "account_type", labels.account_type),
+    "merchant": (_merchant_names, "merchant_type", labels.merchant_type),
+}
+
+
+def dimensions(ledger: DataFrame, wanted: tuple[str, ...] = tuple(DIMENSIONS)) -> dict[str, Dimension]:
+    """The wanted dimensions with dense keys, numbered together."""
+    built = dense_keys({name: (DIMENSIONS[name][0](ledger), f"{name}_name", f"{name}_id") for name in wanted})
+    out = {}
+    for name, dim in built.items():
+        _, attribute, label = DIMENSIONS[name]
+        out[name] = Dimension(dim.frame.withColumn(attribute, label(F.col(f"{name}_name"))), dim.rows)
+    return out
+
+
 def dim_category(ledger: DataFrame) -> Dimension:
-    names = _members(ledger.select(F.col("category").alias("category_name")),
-                     "category_name", "Unknown")
-    dim = dense_keys(names, "category_name", "category_id")
-    group = labels.category_group(F.col("category_name")).alias("category_group")
-    return Dimension(dim.frame.select("category_id", "category_name", group), dim.rows)
+    return dimensions(ledger, ("category",))["category"]
 
 
 def dim_account(ledger: DataFrame) -> Dimension:
-    names = _members(ledger.select(F.col("account").alias("account_name")),
-                     "account_name", "Unknown")
-    dim = dense_keys(names, "account_name", "account_id")
-    kind = labels.account_type(F.col("account_name")).alias("account_type")
-    return Dimension(dim.frame.select("account_id", "account_name", kind), dim.rows)
+    return dimensions(ledger, ("account",))["account"]
 
 
 def dim_merchant(ledger: DataFrame) -> Dimension:
-    merchants = ledger.filter(labels.is_merchant(F.col("category")))
-    names = _members(merchants.select(F.col("category").alias("merchant_name")),
-                     "merchant_name", "Other")
-    dim = dense_keys(names, "merchant_name", "merchant_id")
-    kind = labels.merchant_type(F.col("merchant_name")).alias("merchant_type")
-    return Dimension(dim.frame.select("merchant_id", "merchant_name", kind), dim.rows)
+    return dimensions(ledger, ("merchant",))["merchant"]
 
 
 @dataclass(frozen=True)
@@ -66,15 +83,10 @@ class Star:
 
 
 def build_star(ledger: DataFrame) -> Star:
-    """Two dimensions describe the category, whose distinct names are found once."""
-    categories = stored(ledger.select("category").distinct(), "categories")
-    return Star(dim_category(categories), dim_account(ledger), dim_merchant(categories))
-
-
-ATTRIBUTES = {"category": "category_group", "account": "account_type", "merchant": "merchant_type"}
+    return Star(**dimensions(ledger))
 
 
-def keyed(ledger: DataFrame, star: Star, dimensions: tuple[str, ...] = tuple(ATTRIBUTES)) -> DataFrame:
+def keyed(ledger: DataFrame, star: Star, used: tuple[str, ...] = tuple(DIMENSIONS)) -> DataFrame:
     """Ledger rows with surrogate key and attribute of each dimension, in one join for
     each; unmatched and NULL names keep a NULL key.
 
@@ -82,10 +94,10 @@ def keyed(ledger: DataFrame, star: Star, dimensions: tuple[str, ...] = tuple(ATT
     sides are shuffled and adaptive execution splits skewed keys.
     """
     out = ledger
-    for name in dimensions:
+    for name in used:
         dim = getattr(star, name).frame
         source = "account" if name == "account" else "category"
-        out = out.join(dim.select(f"{name}_id", ATTRIBUTES[name], F.col(f"{name}_name").alias(source)), source, "left")
+        out = out.join(dim.select(f"{name}_id", DIMENSIONS[name][1], F.col(f"{name}_name").alias(source)), source, "left")
     return out
 
 

@@ -72,6 +72,7 @@ class DataContract:
     # --- schema, checked on the driver without touching data --------------------
 
     def schema_errors(self, df: DataFrame) -> list[str]:
+        # Wording of the errors, also that of the rules below.
         expected, actual = [c.name for c in self.columns], df.columns
         errors = []
         if missing := sorted(set(expected) - set(actual)):

@@ -91,6 +91,7 @@ def _named_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
 
 
 def completeness(warehouse: DataFrame, as_of: dt.date) -> DataFrame:
+    # The names of the checks.
     return _named_counts(warehouse, {
         "Total transaction count": F.count(F.lit(1)),
         "Transactions today": F.count_if(F.col("date_key") == F.lit(as_of)),
@@ -114,6 +115,7 @@ def accuracy(warehouse: DataFrame, as_of: dt.date) -> DataFrame:
     balances = warehouse.groupBy("account").agg(F.sum("amount").alias("balance"))
     repeated = (warehouse.groupBy("transaction_id", "amount", "date_key", "category")
                 .agg(F.count(F.lit(1)).alias("_n")))
+    # The names of the checks.
     return (_named_counts(balances, {"Negative balance accounts": F.count_if(F.col("balance") < 0)})
             .unionByName(_named_counts(warehouse, {
                 "Future dated transactions": F.count_if(F.col("date_key") > F.lit(as_of)),
@@ -188,7 +190,7 @@ def quality_report(warehouse: DataFrame, as_of: dt.date) -> DataFrame:
         F.struct(F.lit(name).alias("metric_type"),
                  F.round(money.percent(part, whole), 2).alias("score"),
                  F.lit(text).alias("description"))
-        for name, part, whole, text in [
+        for name, part, whole, text in [  # fixed values: metrics and their descriptions
             ("Completeness", F.col("complete"), F.col("rows"), "Percentage of non-null values"),
             ("Accuracy", F.col("valid"), F.col("rows"), "Percentage of valid transactions"),
             ("Consistency", F.size("types"), F.col("accounts"), "Account type consistency")]])

@@ -12,6 +12,9 @@ from tallyline.operators.reports import bounded
 LEDGER_ORDER = Order("date", "id")
 STREAM_ORDER = Order("ts", "transaction_id")
 OPENING_BALANCE = 10_000
+# Texts of alerts.
+FREQUENT_SPENDING = "High frequency large spending in "
+UNUSUAL_AMOUNT = "Amount (%.2f) is unusual (mean: %.2f, std: %.2f)"
 
 _RUNNING = ["running_balance", "cumulative_expenses", "cumulative_income"]
 
@@ -72,8 +75,7 @@ def pattern_anomalies(transactions: DataFrame, limit: float = -200, rows: int =
     mean = money.mean("_sum", "pattern_count")
     return (seen.withColumn("pattern_mean", mean).drop("_sum")
             .filter((F.col("pattern_count") >= at_least) & (F.col("pattern_mean") < limit))
-            .withColumn("anomaly", F.concat(
-                F.lit("High frequency large spending in "), F.col("category"))))
+            .withColumn("anomaly", F.concat(F.lit(FREQUENT_SPENDING), F.col("category"))))
 
 
 def stream_summary(transactions: DataFrame, every: int = 10, opening: int = OPENING_BALANCE,
@@ -154,7 +156,7 @@ def unusual_amounts(ledger: DataFrame, deviations: float = 2) -> DataFrame:
     figures = ledger.agg(F.struct(F.avg(amount).alias("mean"),
                                   F.stddev_pop(amount).alias("std")).alias("s"))
     rows = ledger.withColumn("_s", figures.scalar())
-    reason = F.format_string("Amount (%.2f) is unusual (mean: %.2f, std: %.2f)",
+    reason = F.format_string(UNUSUAL_AMOUNT,
                              amount, F.col("_s.mean"), F.col("_s.std"))
     return (rows.filter(F.abs(amount - F.col("_s.mean")) > deviations * F.col("_s.std"))
             .withColumn("anomaly_reason", reason).drop("_s"))

@@ -13,11 +13,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tallyline.operators.running import OPENING_BALANCE
+from tallyline.operators.running import FREQUENT_SPENDING, OPENING_BALANCE
 
 _IN_ORDER = ["ts", "transaction_id"]
 
@@ -46,10 +47,10 @@ def _cents() -> Column:
     return (F.col("amount") * 100).cast("bigint").alias("cents")
 
 
-def _fold_balance(opening: int) -> Callable:
+def _fold_balance() -> Callable:
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState):
         rows = _in_order(frames)
-        start = state.get[0] if state.exists else opening * 100
+        start = state.get[0] if state.exists else int(rows["opening"].iloc[0])
         after = start + rows["cents"].cumsum()
         state.update((int(after.iloc[-1]),))
         yield pd.DataFrame({
@@ -58,13 +59,15 @@ def _fold_balance(opening: int) -> Callable:
     return fold
 
 
-def account_balances(transactions: DataFrame, opening: int = OPENING_BALANCE) -> DataFrame:
-    """Balance of the account after every transaction."""
+def account_balances(transactions: DataFrame, opening: int | Column = OPENING_BALANCE) -> DataFrame:
+    """Balance of the account after every transaction; ``opening`` is what it begins with."""
     kinds = dict(transactions.dtypes)
-    return (transactions.filter(_complete()).select("account_id", "transaction_id", "ts", _cents())
+    begins = (opening if isinstance(opening, Column) else F.lit(opening)) * 100
+    return (transactions.filter(_complete())
+            .select("account_id", "transaction_id", "ts", _cents(), begins.cast("bigint").alias("opening"))
             .groupBy("account_id")
             .applyInPandasWithState(
-                _fold_balance(opening),
+                _fold_balance(),
                 f"account_id {kinds['account_id']}, transaction_id {kinds['transaction_id']}, "
                 "ts TIMESTAMP, amount DOUBLE, balance DOUBLE",
                 "balance BIGINT", "append", GroupStateTimeout.NoTimeout))
@@ -85,7 +88,7 @@ def _fold_pattern(limit: float, length: int, at_least: int) -> Callable:
             "account_id": key[0], "category": key[1],
             "transaction_id": rows["transaction_id"].to_numpy()[odd], "ts": rows["ts"].to_numpy()[odd],
             "pattern_count": count[odd], "pattern_mean": mean[odd],
-            "anomaly": f"High frequency large spending in {key[1]}"})
+            "anomaly": f"{FREQUENT_SPENDING}{key[1]}"})
     return fold
 
 
@@ -105,13 +108,19 @@ def pattern_anomalies(transactions: DataFrame, limit: float = -200, length: int
                 "recent ARRAY<BIGINT>", "append", GroupStateTimeout.NoTimeout))
 
 
-def balance_changes(inserted: DataFrame) -> DataFrame:
+def balance_changes(inserted: DataFrame, current: DataFrame | None = None) -> DataFrame:
     """Change events of rows inserted into the ledger (id, date, amount, category,
-    account): the new balance of the account, starting from nothing."""
+    account): the new balance of the account, starting from its ``current`` balance
+    (account, balance), or from nothing."""
     rows = inserted.select(
         F.col("account").alias("account_id"), F.col("id").alias("transaction_id"),
         F.col("date").cast("timestamp").alias("ts"), "amount")
-    return account_balances(rows, opening=0).select(
+    opening = F.lit(0)
+    if current is not None:
+        before = current.select(F.col("account").alias("account_id"), F.col("balance").cast("decimal(18,2)").alias("_before"))
+        rows = rows.join(before, "account_id", "left")
+        opening = F.coalesce("_before", F.lit(0))
+    return account_balances(rows, opening).select(
         F.col("account_id").alias("account"), "transaction_id",
         F.date_format("ts", "yyyy-MM-dd").alias("transaction_date"),
         F.col("amount").alias("transaction_amount"), F.col("balance").alias("new_balance"),
@@ -119,7 +128,25 @@ def balance_changes(inserted: DataFrame) -> DataFrame:
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("change_timestamp"))
 
 
-def change_log(changes: DataFrame, batch_id: int) -> DataFrame:
-    """Received change events of one micro-batch as a consumer reports them."""
-    return changes.select(F.lit(batch_id).alias("batch_id"), "account", "new_balance",
-                          "transaction_amount", "change_timestamp")
+def write_numbered(path: str) -> Callable[[DataFrame, int], None]:
+    """Sink of a change consumer: events as it reports them, numbered 1, 2, ... over all
+    micro-batches and restarts. A batch that runs again replaces its own folder and gets
+    the same numbers; the source bounds a batch, whose events are numbered in one task."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        before = 0
+        if batch_id and folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            before = spark.read.parquet(path).filter(F.col("batch_id") < batch_id).agg(F.max("event_number")).first()[0] or 0
+        order = Window.orderBy("change_timestamp", "account", "transaction_id")
+        (batch.select((F.row_number().over(order) + before).cast("bigint").alias("event_number"), "account",
+                      "new_balance", "transaction_amount", "change_timestamp")
+         .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+    return write
+
+
+def start_consumer(changes: DataFrame, name: str, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Read the change table from its start and report every event with its number."""
+    writer = changes.writeStream.queryName(name).option("checkpointLocation", f"{checkpoint}/{name}")
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.foreachBatch(write_numbered(path)).start()

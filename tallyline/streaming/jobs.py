@@ -115,7 +115,9 @@ def start_summary(transactions: DataFrame, path: str, checkpoint: str,
                   once: bool = False) -> StreamingQuery:
     """Append a summary of everything so far after each micro-batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # read twice: for the totals and for the accounts seen first
         summarise(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.unpersist()
     writer = (account_activity(transactions).writeStream.queryName("summary")
               .outputMode("complete").option("checkpointLocation", f"{checkpoint}/summary"))
     trigger = {"availableNow": True} if once else {"processingTime": EVERY["summary"]}

@@ -1,5 +1,8 @@
 """Streaming forms against their batch twins."""
 
+import datetime as dt
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,9 +148,26 @@ def test_change_events_and_their_consumer(spark, small, tmp_path):
 
     # A second query reads the change table from the start.
     changes = topics.read_folder(spark, events, spark.read.parquet(events).schema)
-    logged = accounts.change_log(changes, 0)
-    jobs.start(logged, "consumer", str(tmp_path / "log"), str(tmp_path / "cp2")).awaitTermination(180)
-    assert spark.read.parquet(str(tmp_path / "log")).count() == ledger.count()
+    log = str(tmp_path / "log")
+    accounts.start_consumer(changes, "consumer", log, str(tmp_path / "cp2")).awaitTermination(180)
+    # More rows arrive; the same consumer goes on where it stopped.
+    ledger.limit(10).coalesce(1).write.mode("append").parquet(source)
+    jobs.start(accounts.balance_changes(stream), "changes", events, str(tmp_path / "cp")).awaitTermination(180)
+    accounts.start_consumer(changes, "consumer", log, str(tmp_path / "cp2")).awaitTermination(180)
+    numbers = sorted(r.event_number for r in spark.read.parquet(log).collect())
+    assert numbers == list(range(1, ledger.count() + 11))
+
+
+def test_changes_start_from_current_balances(spark, tmp_path):
+    rows = spark.createDataFrame([(1, dt.date(2024, 1, 1), Decimal("5.00"), "c", "a"), (2, dt.date(2024, 1, 2), Decimal("2.00"), "c", "b")],
+                                 schemas.LEDGER)
+    source = str(tmp_path / "rows")
+    rows.coalesce(1).write.parquet(source)
+    current = spark.createDataFrame([("a", 100.0)], "account STRING, balance DOUBLE")
+    out = str(tmp_path / "out")
+    jobs.start(accounts.balance_changes(topics.read_folder(spark, source, rows.schema), current), "seeded", out,
+               str(tmp_path / "cp")).awaitTermination(180)
+    assert as_set(spark.read.parquet(out).select("account", "new_balance")) == {("a", 105.0), ("b", 2.0)}
 
 
 def test_broken_messages_do_not_stop_the_streams(spark, feed, tmp_path):

@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 @dataclass(frozen=True)
 class LedgerTable:
-    """Where a ledger table lives and how a scan of it is cut into parallel ranges."""
+    """Where a ledger table lives and how a scan of it is cut into parallel ranges.
+
+    The ranges lie between the smallest and largest key, asked from the database where
+    they are not given.
+    """
 
     url: str
     table: str = "public.transactions"
     key: str = "id"
-    lower: int = 0
-    upper: int = 1_000_000_000
+    lower: int | None = None
+    upper: int | None = None
     ranges: int = 64
     fetch_size: int = 10_000
     properties: dict[str, str] = field(default_factory=dict)
 
+    def bounds_options(self) -> dict[str, str]:
+        """The one-row query for the bounds."""
+        query = f"SELECT MIN({self.key}) AS low, MAX({self.key}) AS high FROM {self.table}"
+        return {"url": self.url, "query": query, **self.properties}
+
     def scan_options(self) -> dict[str, str]:
         return {
             "url": self.url,
@@ -35,6 +44,9 @@ class LedgerTable:
 
 def read_ledger_table(spark: SparkSession, source: LedgerTable) -> DataFrame:
     """Parallel range scan; filters and columns are pushed to the database."""
+    if source.lower is None or source.upper is None:
+        row = spark.read.format("jdbc").options(**source.bounds_options()).load().first()
+        source = replace(source, lower=row[0] or 0, upper=max(row[1] or 0, (row[0] or 0) + 1))
     return spark.read.format("jdbc").options(**source.scan_options()).load()
 
 

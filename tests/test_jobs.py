@@ -132,7 +132,7 @@ def test_saved_tables_and_catalog(spark, small):
 
 
 def test_table_scan_options():
-    source = relational.LedgerTable("jdbc:postgresql://host/db", upper=1000, ranges=8, properties={"user": "u"})
+    source = relational.LedgerTable("jdbc:postgresql://host/db", lower=0, upper=1000, ranges=8, properties={"user": "u"})
     options = source.scan_options()
     assert (options["partitionColumn"], options["numPartitions"], options["user"]) == ("id", "8", "u")
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from tallyline.llm.texts import map_text
 
 #: Words kept by a worker; a full cache is set aside and its words are taken back as they occur.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 
 def byte_alphabet() -> list[str]:

@@ -34,7 +34,7 @@ from tallyline.llm.phrases import hashed_words
 from tallyline.llm.texts import SLICE_BYTES, map_text, slices
 
 WIDTHS, FILTERS, DEPTH, EPOCHS = (1, 2, 3), 8, 8, 7
-PER_GROUP, SAMPLE_BYTES, LEAST_DOCUMENTS = 1200, 1 << 15, 4
+PER_GROUP, SAMPLE_BYTES, LEAST_DOCUMENTS = 1000, 1 << 15, 4
 CUT = 0.7
 BUCKETS = np.uint64((1 << 40) - 1)
 
@@ -128,36 +128,40 @@ def fit(rows: list[tuple]) -> Model | float:
     if len(set(labels.tolist())) < 2:
         return float(labels[0]) if len(labels) else 0.0
     parts = in_parts(pa.array([row[3] for row in rows], pa.string()))
-    each = []
-    for part in parts:
+    each, begin = [], 0
+    for part in parts:  # every different word of each document once
         hashes, doc = hashed_words(part)
         order = np.lexsort((hashes & BUCKETS, doc))
-        place, doc = (hashes & BUCKETS)[order], doc[order]
+        place, doc = (hashes & BUCKETS)[order], doc[order].astype(np.int32) + begin
         first = np.ones(len(place), bool)
         first[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
-        each.append(place[first])
-    words, count = np.unique(np.concatenate(each), return_counts=True)
+        each.append((place[first], doc[first]))
+        begin += len(part)
+    place, doc = np.concatenate([e[0] for e in each]), np.concatenate([e[1] for e in each])
+    words, count = np.unique(place, return_counts=True)
     buckets = words[count >= LEAST_DOCUMENTS]
     languages = sorted({row[1] for row in rows})
     spoken = np.zeros((len(buckets) + 1, len(languages)), np.float32)
     model = Model(buckets, Network.new(len(buckets), 2, DEPTH, WIDTHS, FILTERS), spoken, np.zeros(len(languages)))
-    known = [model.known(part) for part in parts]
-    begin = np.cumsum([0, *map(len, parts)])
-    row, doc = np.concatenate([k[0] for k in known]), np.concatenate([k[1] + b for k, b in zip(known, begin)])
+    at = np.searchsorted(buckets, place)
+    at[at == len(buckets)] = 0
+    inside = buckets[at] == place if len(buckets) else np.zeros(len(place), bool)
+    once = at[inside], doc[inside]
     language = np.array([languages.index(r[1]) for r in rows])
-    seen = np.ones((len(buckets), len(languages)))
-    inside = row < len(buckets)
-    np.add.at(seen, (row[inside], language[doc[inside]]), 1)
+    seen = 1.0 + np.bincount(once[0] * len(languages) + language[once[1]], minlength=spoken[:-1].size).reshape(-1, len(languages))
     model.spoken[:-1] = np.log(seen / seen.sum(axis=0))
-    sequences = np.split(row, np.cumsum(np.bincount(doc, minlength=len(rows)))[:-1])
+    sequences = []
+    for part in parts:
+        row, doc = model.known(part)
+        sequences += np.split(row.astype(np.int32), np.cumsum(np.bincount(doc, minlength=len(part)))[:-1])
     held = np.array([k % 5 == 0 for k in range(len(rows))])
     if min(len(set(labels[~held].tolist())), len(set(labels[held].tolist()))) < 2:
         held[:] = False
     weights = (len(labels) / np.bincount(labels))[labels]
     use = np.flatnonzero(~held)
     # One dimension of an embedding begins as the word's log-odds among the documents of the fit.
-    once = np.unique(np.stack([row[inside], doc[inside]]), axis=1)
-    once = once[:, ~held[once[1]]]
+    fitted = ~held[once[1]]
+    once = once[0][fitted], once[1][fitted]
     with_word = [np.bincount(once[0][labels[once[1]] == label], minlength=len(buckets)) for label in (0, 1)]
     share = [np.log((with_word[label] + 0.5) / ((labels[use] == label).sum() + 1)) for label in (0, 1)]
     model.network.embedding[:-1, 0] = (share[1] - share[0]) / 2

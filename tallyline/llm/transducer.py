@@ -34,7 +34,7 @@ from tallyline.llm.texts import map_text
 
 SPACE = "▁"
 #: Entries of the caches of a worker; full words are set aside and taken back as they occur, full states are dropped.
-CACHED_WORDS, CACHED_STATES = 400_000, 200_000
+CACHED_WORDS, CACHED_STATES = 250_000, 200_000
 #: Tokens beyond which a document counts as over the limit.
 TOKEN_LIMIT = 4096
 

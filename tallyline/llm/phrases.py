@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.tables import stored
-from tallyline.llm.texts import bounded_batches, emit_from_text, utf8, word_hashes, word_table, words
+from tallyline.llm.texts import bounded_batches, emit_from_text, map_text, utf8, word_hashes, word_table, words
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -86,29 +86,38 @@ class Phrases:
         return np.take_along_axis(self.terms, order, axis=1), np.where(np.take_along_axis(self.terms, order, axis=1) >= 0, order, -1)
 
 
+def packer(known: np.ndarray):
+    """A function from texts to the packed terms and places of each, and its number of words."""
+    maybe = np.zeros(1 << 20, bool)
+    maybe[(known & np.uint64(0xFFFFF)).astype(np.int64)] = True
+
+    def pack(texts: pa.Array) -> tuple[list[bytes], list[bytes], np.ndarray]:
+        hashes, doc = hashed_words(texts)
+        counts = np.bincount(doc, minlength=len(texts))
+        stops = np.cumsum(counts)
+        at = np.flatnonzero(maybe[(hashes & np.uint64(0xFFFFF)).astype(np.int64)])
+        term = np.searchsorted(known, hashes[at])
+        hit = term < len(known)
+        hit[hit] = known[term[hit]] == hashes[at[hit]]
+        at, term = at[hit], term[hit].astype("<u4")
+        place = (at - (stops - counts)[doc[at]]).astype("<u4")
+        cuts = np.searchsorted(at, stops).tolist()
+        bounds = list(zip([0, *cuts[:-1]], cuts)) if cuts else []
+        return [term[a:b].tobytes() for a, b in bounds], [place[a:b].tobytes() for a, b in bounds], counts
+
+    return pack
+
+
 def postings(docs: DataFrame, vocabulary: np.ndarray, text: str = "text") -> DataFrame:
     """The index: (doc_id, rid, n_words, terms, places) of each row; the last two are packed 32-bit numbers."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def make():
-        known = shared.value
-        maybe = np.zeros(1 << 20, bool)
-        maybe[(known & np.uint64(0xFFFFF)).astype(np.int64)] = True
+        pack = packer(shared.value)
 
         def work(texts, ids, rids):
-            hashes, doc = hashed_words(texts)
-            counts = np.bincount(doc, minlength=len(texts))
-            stops = np.cumsum(counts)
-            at = np.flatnonzero(maybe[(hashes & np.uint64(0xFFFFF)).astype(np.int64)])
-            term = np.searchsorted(known, hashes[at])
-            hit = term < len(known)
-            hit[hit] = known[term[hit]] == hashes[at[hit]]
-            at, term = at[hit], term[hit].astype("<u4")
-            place = (at - (stops - counts)[doc[at]]).astype("<u4")
-            cuts = np.searchsorted(at, stops).tolist()
-            bounds = list(zip([0, *cuts[:-1]], cuts)) if cuts else []
-            return {"doc_id": ids, "rid": rids, "n_words": counts,
-                    "terms": [term[a:b].tobytes() for a, b in bounds], "places": [place[a:b].tobytes() for a, b in bounds]}
+            terms, places, counts = pack(texts)
+            return {"doc_id": ids, "rid": rids, "n_words": counts, "terms": terms, "places": places}
 
         return work
 
@@ -284,7 +293,32 @@ def digest(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``docs`` without the rows that share a phrase with an item."""
-    hit = matches(docs, items, size).where("n_hit > 0").select(F.col("rid").alias("__rid")).distinct()
-    return docs.join(hit, F.xxhash64("doc_id", "text") == F.col("__rid"), "left_anti")
+def clean_documents(docs: DataFrame, items: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the rows that share a phrase with an item.
+
+    The stored index gives the counts that order the terms; the lists of a slice are then
+    searched beside its rows, so no text is shuffled.
+    """
+    columns = [f"`{c}`" for c in docs.columns]
+    for block in blocks(items, block_bytes=block_bytes):
+        phrases = Phrases.of(block, size)
+        counts = term_counts(stored(postings(docs, phrases.vocabulary), "postings"), len(phrases.vocabulary))
+        terms, offsets = phrases.rarest_first(counts)
+        alive = np.all((terms < 0) | (counts[terms] > 0), axis=1) if len(terms) else np.zeros(0, bool)
+        shared = docs.sparkSession.sparkContext.broadcast((phrases.vocabulary, terms[alive], offsets[alive]))
+
+        def make(shared=shared):
+            known, terms, offsets = shared.value
+            pack = packer(known)
+
+            def work(texts):
+                packed, places, sizes = pack(texts)
+                lists = Lists(packed, places, sizes, terms.shape[1])
+                hit = np.zeros(len(texts), bool)
+                hit[np.searchsorted(lists.begins, lists.phrases(terms, offsets)[1], side="right") - 1] = True
+                return [hit]
+
+            return work
+
+        docs = map_text(docs, make, "`__hit` boolean").where("NOT __hit").select(*columns)
+    return docs

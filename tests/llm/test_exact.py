@@ -64,6 +64,8 @@ def test_phrases_in_blocks_of_items(table, items):
 
 def test_clean_documents_keep_their_columns(table, items):
     clean = phrases.clean_documents(table, items)
+    docs.same(docs.pairs(phrases.clean_documents(table, items, block_bytes=400)), docs.pairs(clean))
+    assert phrases.clean_documents(table, items.limit(0)).count() == table.count()
     hit = {r[0] for r in plain.phrase_rows(docs.pairs(table), [tuple(r) for r in items.collect()]) if r[-1] and r[0] is not None}
     assert clean.columns == table.columns
     assert {r.doc_id for r in clean.collect() if r.doc_id is not None} == {r.doc_id for r in table.collect() if r.doc_id is not None} - hit

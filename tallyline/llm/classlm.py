@@ -4,10 +4,14 @@ Tokens are words, A to Z in lower case, and one end after each text. The chance
 token is the chance of its class after the class before it, times the chance of the token
 in its class; both are smoothed by one half.
 
-Classes come from exchange clustering over ``FREQUENT`` most frequent tokens and
-``GROUPS`` groups of all other words, formed by their last bytes and length, so that every
-word, known or not, has a class. Counts of tokens, of token pairs (as members of these
-640 items) and of members of each class are taken over all training texts.
+Every word that training texts repeat has a class of its own. Classes start from exchange
+clustering over ``FREQUENT`` most frequent tokens and ``GROUPS`` groups of all other words,
+formed by their last bytes and length. Then rounds on Spark go over all repeated words: the
+classes of each word's neighbours are counted over all training texts, each word takes the
+class under which these are most likely, and the class sums are taken anew. Rounds end when
+no word moves, when the log likelihood rises by less than ``LEAST_GAIN`` a token, or after
+``EXCHANGES``; the most likely classes are kept. Only words seen once or never keep the
+class of their group. The class of a token stands beside its count.
 
 The counts of all training tokens stay distributed. Texts are dealt into blocks of about
 ``BLOCK_BYTES``; each block asks once for each of its different tokens, the counts are
@@ -23,18 +27,27 @@ or the longest text.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.tables import stored, stored_sum
+from tallyline.llm.tables import let_go, stored, stored_sum
 from tallyline.llm.texts import bounded_batches, emit_from_text, mix, slices, utf8, word_hashes, words
 
 FREQUENT, GROUPS, CLASSES, EXCHANGES = 512, 128, 40, 8
 BLOCK_BYTES = 24 << 20
+#: The same for the blocks of training text that the rounds read.
+ROUND_BYTES = 12 << 20
+#: Rounds go on while the log likelihood rises by so much a token.
+LEAST_GAIN = 1e-3
+#: Words whose neighbours are counted together.
+TALLIED = 1 << 16
 HELD_TOKENS = 1 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -181,60 +194,224 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = EXCHANGES)
 
 @dataclass
 class Model:
-    frequent: np.ndarray       # sorted frequent tokens
-    of: np.ndarray             # class of each item
+    group_of: np.ndarray       # class of each group, for words seen once or never
     step: np.ndarray           # log10 chance of a class after another
     inside: np.ndarray         # log10 of what a class's token chances are divided by
     total: int
     different: int
+    table: DataFrame           # (token, n, class) of all training tokens
+
+    @cached_property
+    def frequent(self) -> np.ndarray:
+        """The repeated tokens, sorted; gathers them, so for small vocabularies only."""
+        return self._repeated[0]
+
+    @cached_property
+    def of(self) -> np.ndarray:
+        """The class of each repeated token and of each group; gathers them as ``frequent`` does."""
+        return np.concatenate([self._repeated[1], self.group_of])
+
+    @cached_property
+    def _repeated(self) -> tuple[np.ndarray, np.ndarray]:
+        rows = self.table.where("n > 1").select("token", "class").toArrow()
+        token = rows.column(0).to_numpy().view(np.uint64)
+        order = np.argsort(token)
+        return token[order], rows.column(1).to_numpy()[order].astype(np.int64)
 
-    def score(self, token: np.ndarray, counts: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(tokens, known tokens, base score, score) of each text, given the training count of each token."""
+    def score(self, token: np.ndarray, counts: np.ndarray, known: np.ndarray, now: np.ndarray, end: int) -> tuple[np.ndarray, ...]:
+        """(tokens, known tokens, base score, score) of each text, given the training count and class of each token and the class of an end."""
         begin = np.cumsum(counts) - counts
-        now = self.of[items(token, self.frequent)]
         before = np.empty_like(now)
         before[1:] = now[:-1]
-        before[begin] = self.of[items(np.array([END]), self.frequent)[0]]
+        before[begin] = end
         seen = np.log10(known + 0.5)
         base = seen - np.log10(self.total + 0.5 * (self.different + 1))
         best = seen - self.inside[now] + self.step[before, now]
         return counts, np.add.reduceat((known > 0).astype(np.int64), begin), np.add.reduceat(base, begin), np.add.reduceat(best, begin)
 
 
+def _blocks(docs: DataFrame, text: str, block_bytes: int) -> DataFrame:
+    """(doc_id, text, block) of each row, dealt into blocks of about so many bytes."""
+    size = docs.agg(F.sum(F.octet_length(text)).alias("n")).head().n or 0
+    blocks = max(1, -(-size // block_bytes))
+    dealt = docs.select(F.col("doc_id"), F.col(text).alias("text"), F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)).cast("int").alias("block"))
+    return dealt.repartition(blocks, "block")
+
+
+def sequences(docs: DataFrame, text: str = "text", block_bytes: int = ROUND_BYTES) -> DataFrame:
+    """(block, ids, token): each block's different tokens, one in a row, and its texts as their places in sorted order, in parts."""
+    bounded_batches(docs.sparkSession)
+
+    def encode(texts: pa.Table) -> pa.Table:
+        runs = [tokens(part.column(0))[0] for batch in texts.select(["text"]).combine_chunks().to_batches() for part in slices(batch, 0)]
+        different = np.unique(np.concatenate([np.unique(run) for run in runs]))
+        block = texts.column("block")[0].as_py()
+        ids = pa.array([np.searchsorted(different, run).astype(np.int32).tobytes() for run in runs], pa.binary())
+        some = pa.table({"block": pa.array([block] * len(ids), pa.int32()), "ids": ids, "token": pa.nulls(len(ids), pa.int64())})
+        size = len(different)
+        return pa.concat_tables([some, pa.table({
+            "block": pa.array(np.full(size, block, np.int32)), "ids": pa.nulls(size, pa.binary()), "token": pa.array(different.view(np.int64))})])
+
+    dealt = _blocks(docs, text, block_bytes).select("text", "block")
+    return dealt.groupBy("block").applyInArrow(encode, "block int, ids binary, token long")
+
+
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The values as one binary for each end."""
+    offsets = np.concatenate([[0], ends]).astype(np.int32) * np.int32(values.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def tallies(runs: DataFrame, table: DataFrame) -> DataFrame:
+    """How often each class follows (codes from 0) and precedes (from ``CLASSES``) each repeated word, a row for each block.
+
+    Rows with a NULL token hold how often one class follows another (``cells`` alone).
+    """
+    none = pa.schema([("token", pa.int64()), ("class", pa.int32()), ("codes", pa.binary()), ("cells", pa.binary())])
+
+    def tally(parts: pa.Table, known: pa.Table) -> pa.Table:
+        if not parts.num_rows:
+            return none.empty_table()
+        token = known.column("token").to_numpy().view(np.uint64)
+        order = np.argsort(token)
+        token, n, of = token[order], known.column("n").to_numpy()[order], known.column("class").to_numpy()[order]
+        end = np.searchsorted(token, END)
+        repeated = np.flatnonzero(n > 1)
+        place = np.full(len(token), -1, np.int64)
+        place[repeated] = np.arange(len(repeated))
+        between = np.zeros(CLASSES * CLASSES, np.int64)
+        keys = []
+        for ids in parts.column("ids"):
+            now = np.frombuffer(ids.as_buffer(), np.int32)
+            before = np.empty_like(now)
+            before[1:] = now[:-1]
+            before[:1] = end
+            between += np.bincount(of[before] * CLASSES + of[now], minlength=len(between))
+            for word, code in ((before, of[now]), (now, of[before] + CLASSES)):
+                key = place[word] * (2 * CLASSES) + code
+                keys.append(key[place[word] >= 0])
+        keys = np.concatenate(keys)
+        made = [pa.table([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([between.tobytes()])], schema=none)]
+        for first in range(0, len(repeated), TALLIED):
+            mine = repeated[first : first + TALLIED]
+            low, high = first * 2 * CLASSES, (first + len(mine)) * 2 * CLASSES
+            total = np.bincount(keys[(keys >= low) & (keys < high)] - low, minlength=high - low)
+            some = np.flatnonzero(total)
+            ends = np.searchsorted(some, (np.arange(len(mine)) + 1) * 2 * CLASSES)
+            made.append(pa.table([
+                pa.array(token[mine].view(np.int64)), pa.array(of[mine].astype(np.int32)),
+                _binary((some % (2 * CLASSES)).astype(np.uint8), ends), _binary(total[some].astype(np.int32), ends)], schema=none))
+        return pa.concat_tables(made)
+
+    answers = runs.where("token IS NOT NULL").select("block", "token").join(table, "token").select("block", "token", "n", "class")
+    parts = runs.where("ids IS NOT NULL").select(F.col("block").alias("at"), "ids")
+    return parts.groupBy("at").cogroup(answers.groupBy("block")).applyInArrow(tally, "token long, class int, codes binary, cells binary")
+
+
+def best_classes(follow: np.ndarray, precede: np.ndarray, old: np.ndarray, between: np.ndarray) -> np.ndarray:
+    """The class of each word under which the classes beside it are most likely, its old one unless another is better."""
+    step = np.log((between + 0.5) / (between.sum(axis=1, keepdims=True) + 0.5 * CLASSES))
+    size = np.log(between.sum(axis=0) + 0.5)
+    gain = follow @ step.T + precede @ step - precede.sum(axis=1, keepdims=True) * size
+    every = np.arange(len(old))
+    new = gain.argmax(axis=1)
+    return np.where(gain[every, new] > gain[every, old] + 1e-6, new, old)
+
+
+def moves(tallied: DataFrame, between: np.ndarray) -> DataFrame:
+    """(token, to) of each repeated word that another class suits better."""
+
+    def give(rows: pa.Table) -> pa.RecordBatch:
+        token, old = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+        begins = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        word = np.cumsum(np.concatenate([[True], token[1:] != token[:-1]])) - 1
+        sizes = pc.binary_length(rows.column(2)).to_numpy()
+        codes = np.frombuffer(b"".join(rows.column(2).to_pylist()), np.uint8)
+        cells = np.frombuffer(b"".join(rows.column(3).to_pylist()), np.int32)
+        sums = np.bincount(np.repeat(word, sizes) * (2 * CLASSES) + codes, cells, len(begins) * 2 * CLASSES).reshape(-1, 2 * CLASSES)
+        old = old[begins]
+        new = best_classes(sums[:, :CLASSES], sums[:, CLASSES:], old, between)
+        moved = new != old
+        return pa.RecordBatch.from_arrays([pa.array(token[begins][moved]), pa.array(new[moved].astype(np.int32))], ["token", "to"])
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < 1 << 13:
+                continue
+            rows = pa.Table.from_batches(held)
+            token = rows.column(0).to_numpy()
+            last = int(np.searchsorted(token, token[-1]))
+            if last:
+                yield give(rows.slice(0, last))
+                held = rows.slice(last).to_batches()
+        if sum(b.num_rows for b in held):
+            yield give(pa.Table.from_batches(held))
+
+    rows = tallied.where("token IS NOT NULL").repartition("token").sortWithinPartitions("token")
+    return rows.mapInArrow(choose, "token long, to int")
+
+
+def likelihood(between: np.ndarray) -> float:
+    """Log likelihood of the training tokens under their class pairs, but for what no class changes."""
+    return float(_weigh(between).sum() - _weigh(between.sum(axis=1)).sum() - _weigh(between.sum(axis=0)).sum())
+
+
+def settle(docs: DataFrame, table: DataFrame, rounds: int = EXCHANGES, text: str = "text",
+           block_bytes: int = ROUND_BYTES) -> tuple[DataFrame, np.ndarray]:
+    """(table (token, n, class) after the rounds, how often one class follows another under it)."""
+    runs = stored(sequences(docs, text, block_bytes), "sequences")
+    let_go(docs.sparkSession)
+    words_ = table.agg(F.sum("n")).head()[0] or 0
+    best = None
+    for k in range(rounds + 1):
+        tallied = tallies(runs, table).persist(StorageLevel.DISK_ONLY)
+        between = np.zeros((CLASSES, CLASSES))
+        for batch in tallied.where("token IS NULL").select("cells").toLocalIterator():
+            between += np.frombuffer(bytes(batch.cells), np.int64).reshape(CLASSES, CLASSES)
+        reached = likelihood(between)
+        gained = best is None or reached > best[0] + LEAST_GAIN * words_
+        if best is None or reached > best[0]:
+            best = reached, table, between
+        if k < rounds and gained:
+            moved = stored(moves(tallied, between), "moves")
+            some = bool(moved.head(1))
+            if some:
+                table = stored(table.join(moved, "token", "left").select("token", "n", F.coalesce("to", "class").alias("class")), "classes")
+        tallied.unpersist(blocking=True)
+        del tallied
+        let_go(docs.sparkSession)
+        if k == rounds or not gained or not some:
+            return best[1], best[2]
+    raise AssertionError
+
+
 def learn(docs: DataFrame, text: str = "text") -> tuple[DataFrame, Model]:
-    """(counts of all tokens as a stored table, the model of bounded size) from training texts."""
+    """(counts and classes of all tokens as a stored table, the model) from training texts."""
     counts, seen = stored_sum(token_counts(docs, text), "counts", total=F.sum("n"), different=F.count("*"))
     top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
-    tokens_, n = top.column(0).to_numpy().view(np.uint64), top.column(1).to_numpy()
-    order = np.argsort(tokens_)
-    frequent, n = tokens_[order], n[order]
-    pairs = pair_counts(docs, frequent, text)
-    of = exchange(pairs)
-    group = F.col("token").bitwiseAND(GROUPS - 1)
-    sizes = counts.groupBy(group.alias("g")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    weight, different = np.zeros(len(of)), np.zeros(len(of))
-    for row in sizes:
-        weight[len(frequent) + row.g] += row.n
-        different[len(frequent) + row.g] += row.v
-    own = len(frequent) + (frequent & GROUP).astype(np.int64)
-    np.subtract.at(weight, own, n)
-    np.subtract.at(different, own, 1)
-    weight[: len(frequent)] = n
-    different[: len(frequent)] = 1
-    inside = np.log10(np.bincount(of, weight, CLASSES) + 0.5 * (np.bincount(of, different, CLASSES) + 1))
-    member = np.eye(CLASSES)[of]
-    between = member.T @ pairs @ member
+    frequent = np.sort(top.column(0).to_numpy().view(np.uint64))
+    of = exchange(pair_counts(docs, frequent, text))
+    group_of = of[len(frequent) :]
+    group = F.array(*map(F.lit, group_of.tolist()))[F.col("token").bitwiseAND(GROUPS - 1).cast("int")]
+    first = counts.sparkSession.createDataFrame(list(zip(frequent.view(np.int64).tolist(), of.tolist())), "token long, first int")
+    own = F.when(F.col("n") > 1, F.col("first"))
+    table = counts.join(F.broadcast(first), "token", "left").select("token", "n", F.coalesce(own, group).cast("int").alias("class"))
+    table, between = settle(docs, stored(table, "classes"), text=text)
+    weight, different = np.zeros(CLASSES), np.zeros(CLASSES)
+    for row in table.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
+        weight[row["class"]], different[row["class"]] = row.n, row.v
+    inside = np.log10(weight + 0.5 * (different + 1))
     step = np.log10((between + 0.5) / (between.sum(axis=1, keepdims=True) + 0.5 * CLASSES))
-    return counts, Model(frequent, of, step, inside, seen["total"] or 0, seen["different"])
+    return table, Model(group_of, step, inside, seen["total"] or 0, seen["different"], table)
 
 
 def score(docs: DataFrame, counts: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of each row of ``docs``."""
     bounded_batches(docs.sparkSession)
-    size = docs.agg(F.sum(F.octet_length(text)).alias("n")).head().n or 0
-    blocks = max(1, -(-size // block_bytes))
-    dealt = docs.select(F.col("doc_id"), F.col(text).alias("text"), F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)).cast("int").alias("block"))
-    dealt = dealt.repartition(blocks, "block")
+    dealt = _blocks(docs, text, block_bytes)
+    group_of, chances = model.group_of, replace(model, table=None)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {}
@@ -255,22 +432,28 @@ def score(docs: DataFrame, counts: DataFrame, model: Model, block_bytes: int = B
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), b, np.int32)), pa.array(some)], ["block", "token"])
 
     asked = dealt.mapInArrow(ask, "block int, token long")
-    answers = asked.join(counts, "token").select("block", "token", "n")
+    answers = asked.join(counts, "token").select("block", "token", "n", "class")
 
     def tell(texts: pa.Table, known: pa.Table) -> pa.Table:
         token = known.column("token").to_numpy().view(np.uint64)
         order = np.argsort(token)
-        token, n = token[order], known.column("n").to_numpy()[order]
+        token, n, of = token[order], known.column("n").to_numpy()[order], known.column("class").to_numpy()[order]
+
+        def look(mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            kind = group_of[(mine & GROUP).astype(np.int64)]
+            if not len(token):
+                return np.zeros(len(mine), np.int64), kind
+            at = np.minimum(np.searchsorted(token, mine), len(token) - 1)
+            same = token[at] == mine
+            return np.where(same, n[at], 0), np.where(same, of[at], kind)
+
+        end = int(look(np.array([END]))[1][0])
         made = []
         for batch in texts.combine_chunks().to_batches():
             for part in slices(batch, 1):
                 mine, sizes = tokens(part.column(1))
-                count = np.zeros(len(mine), np.int64)
-                if len(token):
-                    at = np.minimum(np.searchsorted(token, mine), len(token) - 1)
-                    count = np.where(token[at] == mine, n[at], 0)
                 made.append(pa.RecordBatch.from_arrays(
-                    [part.column(0), *map(pa.array, model.score(mine, sizes, count))],
+                    [part.column(0), *map(pa.array, chances.score(mine, sizes, *look(mine), end))],
                     ["doc_id", "n_tokens", "n_known", "base_score", "score"]))
         return pa.Table.from_batches(made)
 

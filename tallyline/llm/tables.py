@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.session import checkpoint_dir
@@ -28,6 +29,12 @@ def stored_sum(df: DataFrame, name: str, **values) -> tuple[DataFrame, dict]:
     return kept, seen.get
 
 
+def let_go(spark: SparkSession) -> None:
+    """Has the driver collect tables that nothing refers to, so that the shuffles behind them leave the disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of each node of ``edges`` (a, b): the smallest node reachable.
 

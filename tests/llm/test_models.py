@@ -141,6 +141,20 @@ def test_chances_sum_to_one(corpus):
     assert np.allclose(inside + rest, 1) and np.allclose((10**model.step).sum(axis=1), 1)
 
 
+def test_repeated_words_have_classes_of_their_own(spark):
+    rng = random.Random(8)
+    sides = [[f"{a}{b}{c}{side}xy" for a in "bdfgk" for b in "aeiou" for c in "lmnprstvz"] for side in "qw"]
+    sides = [[w + end for w in side for end in "abc"] for side in sides]
+    made = [(k, " ".join(rng.choice(sides[j % 2]) for j in range(60)) + f" once{k}", "en", "s", 0, "", None) for k in range(400)]
+    counts, model = classlm.learn(docs.frame(spark, made))
+    assert (counts.where("n > 1").count(), len(model.frequent)) == (1351, 1351)
+    hashes = [classlm.tokens(pa.array([" ".join(side)]))[0][:-1] for side in sides]
+    classes = [model.of[classlm.items(h, model.frequent)] for h in hashes]
+    shared = np.intersect1d(*classes)
+    assert np.isin(classes[0], shared).mean() < 0.02 and np.isin(classes[1], shared).mean() < 0.02
+    assert {r["class"] for r in counts.where("n = 1").collect()} <= set(model.group_of.tolist())
+
+
 def test_exchange_finds_what_alternates():
     pairs = np.zeros((8, 8), np.int64)
     for a in range(8):

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import anchors, classlm, divergence, language, personal, phrases, speculative, substrings, toxicity, transducer
+from tallyline.llm import anchors, classlm, divergence, language, packing, personal, phrases, speculative, substrings, toxicity, transducer
 from tallyline.llm.texts import documents, remainder
 
 
@@ -63,6 +63,11 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speculative.digest(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
 
 
+def op11_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
+
+
 QUERIES = {
     "op1_byte_language": op1_byte_language,
     "op2_recompression": op2_recompression,
@@ -74,4 +79,5 @@ QUERIES = {
     "op8_divergence": op8_divergence,
     "op9_simhash_anchors": op9_simhash_anchors,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "op11_certified_packing": op11_certified_packing,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import anchors, classlm, divergence, language, packing, personal, phrases, speculative, substrings, toxicity, transducer
+from tallyline.llm import anchors, classlm, divergence, language, packing, personal, phrases, repair, speculative, substrings, toxicity, transducer
 from tallyline.llm.texts import documents, remainder
 
 
@@ -68,6 +68,10 @@ def op11_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
 
 
+def op12_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_byte_language": op1_byte_language,
     "op2_recompression": op2_recompression,
@@ -80,4 +84,5 @@ QUERIES = {
     "op9_simhash_anchors": op9_simhash_anchors,
     "op10_bpe_round_trip": op10_bpe_round_trip,
     "op11_certified_packing": op11_certified_packing,
+    "op12_hirschberg_repair": op12_hirschberg_repair,
 }

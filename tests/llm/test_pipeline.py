@@ -12,7 +12,7 @@ from tests.llm import docs, plain
 
 def test_every_operator_is_registered_once():
     names = entry_module.queries()
-    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 12)] == [1] * 11
+    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 13)] == [1] * 12
     assert "pipeline" in names and set(ORACLE) <= set(QUERIES)
 
 
@@ -20,7 +20,7 @@ def test_every_operator_is_registered_once():
 def test_query_equals_sql(spark, small, name):
     found = QUERIES[name](spark, small).toPandas()
     connection = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
     expected = connection.execute(ORACLE[name]).df()
     assert sorted(found.columns) == sorted(expected.columns)
@@ -78,6 +78,7 @@ def test_run_on_empty_tables(spark, tmp_path):
     docs.frame(spark, []).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{path}/conversations.parquet")
     assert corpus_pipeline.run(spark, path).collect() == []
     for name, query in QUERIES.items():
         assert query(spark, path).collect() == [], name

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyline.llm.collocations import LEAST, SHARE, TOP
 from tallyline.llm.divergence import CHARS_FROM, CHARS_LIMIT, CLASSES, COMMON, WORDS_FROM, WORDS_LIMIT
 
 SPACED_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -95,8 +96,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM far
 """
 
+# A word of a text in lower case and its piece; phrases are lists of neighbouring words of one piece.
+OP13 = rf"""
+WITH pieces AS (
+    SELECT lang, row_number() OVER () AS r, string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps
+    FROM (SELECT coalesce(lang, 'und') AS lang, text FROM documents)),
+lines AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(ps) AS p FROM pieces)),
+grams AS (
+    SELECT lang, k AS size, w[i : i + k - 1] AS phrase
+    FROM lines, unnest(range(1, 6)) AS s(k), unnest(range(1, len(w) - k + 2)) AS u(i) WHERE len(w) >= k),
+f AS (SELECT lang, size, phrase, count(*) AS c FROM grams GROUP BY lang, size, phrase HAVING count(*) >= {LEAST}),
+n AS (SELECT lang, sum(len(w)) AS n FROM lines GROUP BY lang),
+inside AS (
+    SELECT lang, phrase[i : i + k - 1] AS phrase, max(c) AS c
+    FROM f, unnest(range(2, size)) AS s(k), unnest(range(1, size - k + 2)) AS u(i) WHERE size > 2 GROUP BY 1, 2),
+cuts AS (
+    SELECT f.lang, f.phrase, f.c AS a, k, x.c AS l, y.c AS r, CAST(n AS HUGEINT) AS n,
+           (CAST(1000 AS HUGEINT) * f.c * n) // (CAST(x.c AS HUGEINT) * y.c) AS score
+    FROM f JOIN n USING (lang), unnest(range(1, size)) AS s(k)
+    JOIN f AS x ON x.lang = f.lang AND x.phrase = f.phrase[1 : k] JOIN f AS y ON y.lang = f.lang AND y.phrase = f.phrase[k + 1 : size]
+    WHERE f.size > 1),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+    SELECT worst.lang, array_to_string(worst.phrase, ' ') AS phrase, a, l, r, n, score
+    FROM worst LEFT JOIN inside ON inside.lang = worst.lang AND inside.phrase = worst.phrase
+    WHERE inside.c IS NULL OR 100 * inside.c < {SHARE} * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept QUALIFY rank <= {TOP}
+"""
+
 ORACLE: dict[str, str] = {
     "op2_recompression": OP2,
     "op7_positional_index": OP7,
     "op8_divergence": OP8,
+    "op13_trie_collocations": OP13,
 }

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import anchors, classlm, divergence, language, packing, personal, phrases, repair, speculative, substrings, toxicity, transducer
+from tallyline.llm import (anchors, classlm, collocations, divergence, language, packing, personal, phrases, repair, speculative,
+                           substrings, toxicity, transducer)
 from tallyline.llm.texts import documents, remainder
 
 
@@ -72,6 +73,10 @@ def op12_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_byte_language": op1_byte_language,
     "op2_recompression": op2_recompression,
@@ -85,4 +90,5 @@ QUERIES = {
     "op10_bpe_round_trip": op10_bpe_round_trip,
     "op11_certified_packing": op11_certified_packing,
     "op12_hirschberg_repair": op12_hirschberg_repair,
+    "op13_trie_collocations": op13_trie_collocations,
 }

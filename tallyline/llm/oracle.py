@@ -115,7 +115,7 @@ cuts AS (
     SELECT f.lang, f.phrase, f.c AS a, k, x.c AS l, y.c AS r, CAST(n AS HUGEINT) AS n,
            (CAST(1000 AS HUGEINT) * f.c * n) // (CAST(x.c AS HUGEINT) * y.c) AS score
     FROM f JOIN n USING (lang), unnest(range(1, size)) AS s(k)
-    JOIN f AS x ON x.lang = f.lang AND x.phrase = f.phrase[1 : k] JOIN f AS y ON y.lang = f.lang AND y.phrase = f.phrase[k + 1 : size]
+    JOIN f AS x ON x.lang = f.lang AND x.phrase = f.phrase[1 : k] JOIN f AS y ON y.lang = f.lang AND y.phrase = f.phrase[k + 1 : f.size]
     WHERE f.size > 1),
 worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 kept AS (

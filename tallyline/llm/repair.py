@@ -216,8 +216,10 @@ def _faults(rows: DataFrame) -> DataFrame:
         F.coalesce(F.length(conv).cast("string"), F.lit("n")), F.lit(":"), F.coalesce(conv, F.lit("")),
         F.length("role").cast("string"), F.lit(":"), "role", "text"))
     when = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn"))
-    rows = rows.withColumns({"said": F.when(~blank, said), "when": when})
-    first = rows.where("said IS NOT NULL").groupBy("said").agg(F.min("when").alias("first"), F.count("*").alias("times"))
+    # Blank rows repeat nothing; a key of their own spreads them over the tasks of the join.
+    alone = F.concat(F.lit("-"), F.xxhash64("conv_id", "turn", "role", "text").cast("string"))
+    rows = rows.withColumns({"said": F.when(~blank, said).otherwise(alone), "when": when})
+    first = rows.where(~F.startswith("said", F.lit("-"))).groupBy("said").agg(F.min("when").alias("first"), F.count("*").alias("times"))
     first = first.where("times > 1").drop("times")        # seen on several turns
     fault = (F.when(blank, BLANK).when(F.col("when") > F.col("first"), DUPLICATE)
              .when(~F.right(shown, F.lit(1)).isin(".", "!", "?"), CUT_OFF).otherwise(FINE))

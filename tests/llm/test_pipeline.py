@@ -8,6 +8,7 @@ import corpus_pipeline
 from tallyline.llm.oracle import ORACLE
 from tallyline.llm.queries import QUERIES
 from tests.llm import docs, plain
+from tests.llm.test_similar import linked
 
 
 def test_every_operator_is_registered_once():
@@ -47,8 +48,7 @@ def test_stages(spark, folder):
 
     single = steps["near_duplicates"](spark, table, folder).collect()
     rows = docs.pairs(table)
-    prints = [plain.fingerprint(t) for _, t in rows]
-    roots = plain.linked(prints)
+    roots = linked(rows)[1]
     lowest = {}
     for (i, _), root in zip(rows, roots):
         lowest[root] = min(i, lowest.get(root, i)) if i is not None else lowest.get(root, 1 << 60)

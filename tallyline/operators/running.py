@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions import fraud, labels, money
@@ -78,17 +80,40 @@ def pattern_anomalies(transactions: DataFrame, limit: float = -200, rows: int =
             .withColumn("anomaly", F.concat(F.lit(FREQUENT_SPENDING), F.col("category"))))
 
 
+@dataclass(frozen=True)
+class SoFar:
+    """What a stream has come to: totals, and balances of the accounts that came first."""
+
+    transactions: int = 0
+    active_accounts: int = 0
+    fraud_alerts: int = 0
+    first_accounts: tuple = ()
+    balances: tuple = ()
+
+
 def stream_summary(transactions: DataFrame, every: int = 10, opening: int = OPENING_BALANCE,
                    limits: fraud.FraudLimits = fraud.FraudLimits(), sampled: int = 3,
                    rows_per_segment: int | None = None) -> DataFrame:
     """State of the stream after every ``every`` transactions: transactions, accounts
     and fraud alerts so far, and balances of the accounts that came first."""
-    first = transactions.groupBy("account_id").agg(
-        F.min(F.struct("ts", "transaction_id")).alias("_first"))
+    first = first_transactions(transactions)
     early = first.orderBy("_first").limit(sampled).select(  # at most ``sampled`` rows
         "account_id", F.row_number().over(Window.orderBy("_first")).alias("_slot"))
+    return summaries_of(transactions, first, early, SoFar(), every, opening, limits, sampled, rows_per_segment)
+
+
+def first_transactions(transactions: DataFrame) -> DataFrame:
+    """(account_id, _first): time and id of the first transaction of each account."""
+    return transactions.groupBy("account_id").agg(F.min(F.struct("ts", "transaction_id")).alias("_first"))
+
+
+def summaries_of(transactions: DataFrame, new: DataFrame, early: DataFrame, so_far: SoFar, every: int = 10,
+                 opening: int = OPENING_BALANCE, limits: fraud.FraudLimits = fraud.FraudLimits(), sampled: int = 3,
+                 rows_per_segment: int | None = None) -> DataFrame:
+    """Summaries over ``transactions`` that follow on what came ``so_far``; ``new`` are accounts
+    seen for the first time, ``early`` (account_id, _slot) those whose balances are shown."""
     # The opening of an account is a row of its own, in front of the account's first transaction.
-    opened = first.select("account_id", "_first.ts", "_first.transaction_id", F.lit(False).alias("_real"))
+    opened = new.select("account_id", "_first.ts", "_first.transaction_id", F.lit(False).alias("_real"))
     rows = (transactions.withColumn("_real", F.lit(True)).unionByName(opened, allowMissingColumns=True)
             .join(F.broadcast(early), "account_id", "left"))
     slots = range(1, sampled + 1)
@@ -100,11 +125,16 @@ def stream_summary(transactions: DataFrame, every: int = 10, opening: int = OPEN
          "active_accounts": F.when(real, zero).otherwise(F.lit(1).cast("bigint")),
          "fraud_alerts": F.when(alert, 1).otherwise(0).cast("bigint"),
          **{f"balance_{i}": F.when(F.col("_slot") == i, F.col("amount")) for i in slots}}, rows_per_segment)
-    sums = sums.filter("_real")
-    return sums.filter(F.col("transactions") % every == 0).select(
-        "transactions", "active_accounts", "fraud_alerts",
-        *[money.double(F.col(f"balance_{i}") + F.lit(opening)).alias(f"balance_{i}")
-          for i in slots])
+
+    def balance(slot: int) -> Column:
+        here = F.col(f"balance_{slot}")
+        if slot <= len(so_far.balances):
+            return F.coalesce(here, F.lit(0)) + F.lit(so_far.balances[slot - 1])
+        return here + F.lit(opening)
+
+    counts = [(F.col(n) + F.lit(getattr(so_far, n))).cast("bigint").alias(n) for n in ("transactions", "active_accounts", "fraud_alerts")]
+    return sums.filter("_real").select(*counts, *[money.double(balance(i)).alias(f"balance_{i}") for i in slots]).filter(
+        F.col("transactions") % every == 0)
 
 
 def final_stream_summary(transactions: DataFrame, alerts: int = 3,
@@ -121,16 +151,37 @@ def final_stream_summary(transactions: DataFrame, alerts: int = 3,
     }
 
 
-def balance_changes(ledger: DataFrame, rows_per_segment: int | None = None) -> DataFrame:
-    """Change events: every inserted row with the balance of its account after it."""
-    sums = running_sums(ledger, ["account"], LEDGER_ORDER, {"new_balance": F.col("amount")},
+def changed_amounts(changes: DataFrame) -> DataFrame:
+    """(id, account, ts, amount, change_type): what each change adds to the balance of an account.
+
+    Plain ledger rows are inserts at their date. With ``change_type`` (INSERT, UPDATE, DELETE)
+    come ``changed_at`` and the row before it (old_amount, old_account); an update that moves
+    a row between accounts is two lines.
+    """
+    if "change_type" not in changes.columns:
+        return changes.select("id", "account", F.col("date").cast("timestamp").alias("ts"), "amount", F.lit("INSERT").alias("change_type"))
+    kind, amount, old = F.col("change_type"), F.col("amount"), F.col("old_amount")
+
+    def line(account: Column, value: Column) -> Column:
+        return F.struct(account.alias("account"), value.cast("decimal(12,2)").alias("amount"))
+
+    lines = (F.when(kind == "INSERT", F.array(line(F.col("account"), amount)))
+             .when(kind == "DELETE", F.array(line(F.col("old_account"), -old)))
+             .when(F.col("account") == F.col("old_account"), F.array(line(F.col("account"), amount - old)))
+             .otherwise(F.array(line(F.col("old_account"), -old), line(F.col("account"), amount))))
+    return changes.select("id", F.col("changed_at").alias("ts"), "change_type", F.explode(lines).alias("l")).select(
+        "id", "l.account", "ts", "l.amount", "change_type")
+
+
+def balance_changes(changes: DataFrame, rows_per_segment: int | None = None) -> DataFrame:
+    """Change events: every change of the ledger with the balance of its account after it."""
+    sums = running_sums(changed_amounts(changes), ["account"], Order("ts", "id"), {"new_balance": F.col("amount")},
                         rows_per_segment)
     return sums.select(
         "account", F.col("id").alias("transaction_id"),
-        F.date_format("date", "yyyy-MM-dd").alias("transaction_date"),
+        F.date_format("ts", "yyyy-MM-dd").alias("transaction_date"),
         money.double("amount").alias("transaction_amount"),
-        money.double("new_balance").alias("new_balance"),
-        F.lit("INSERT").alias("change_type"))
+        money.double("new_balance").alias("new_balance"), "change_type")
 
 
 def fraud_by_first_match(transactions: DataFrame,

@@ -839,6 +839,24 @@ ORACLE: dict[str, str] = {
     "monthly_summary_refreshed": f"""WITH {WAREHOUSE}
         SELECT year, month, category_group, account_type, transaction_count, net_amount
         FROM (SELECT {SUMMARY_COLUMNS} FROM wh WHERE NOT (year = 1998 AND month = 5) {BY_GROUP}) s""",
+    "summary_after_append": f"WITH {WAREHOUSE} SELECT {SUMMARY_COLUMNS} FROM wh {BY_GROUP}",
+    "expenses_answered_by_view": f"""WITH {WAREHOUSE}
+        SELECT year, month, category_group, {_sum('amount', 'total')}
+        FROM wh WHERE year = 2000 AND amount < 0 GROUP BY year, month, category_group""",
+    "cdc_changes": f"""WITH {LEDGER},
+        lines AS (
+            SELECT id, account, CAST(date AS TIMESTAMP) AS ts, amount, 'INSERT' AS change_type FROM txn
+            UNION ALL
+            SELECT id, account, CAST(date AS TIMESTAMP) + INTERVAL 1 DAY, CAST(-amount * 2 AS DECIMAL(12,2)), 'UPDATE' FROM txn WHERE status = 'P'
+            UNION ALL
+            SELECT id, account, CAST(date AS TIMESTAMP) + INTERVAL 1 DAY, CAST(-amount AS DECIMAL(12,2)), 'UPDATE' FROM txn WHERE status = 'O' AND id % 5 = 0
+            UNION ALL
+            SELECT id, 'Savings_0', CAST(date AS TIMESTAMP) + INTERVAL 1 DAY, amount, 'UPDATE' FROM txn WHERE status = 'O' AND id % 5 = 0
+            UNION ALL
+            SELECT id, account, CAST(date AS TIMESTAMP) + INTERVAL 2 DAY, CAST(-amount AS DECIMAL(12,2)), 'DELETE' FROM txn WHERE status = 'F' AND id % 7 = 0)
+        SELECT account, id AS transaction_id, strftime(ts, '%Y-%m-%d') AS transaction_date, CAST(amount AS DOUBLE) AS transaction_amount,
+               CAST(SUM(amount) OVER (PARTITION BY account ORDER BY ts, id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS new_balance, change_type
+        FROM lines""",
     "contract_offenders": f"""WITH {RAW}
         SELECT 'category' AS column_name, category AS value, COUNT(*) AS rows FROM delivered
         WHERE category IS NULL OR category NOT IN ('Salary', 'Shopping', 'Transport', 'Restaurant', 'Coffee',

@@ -9,6 +9,7 @@ from tallyline.operators import cleaning, contracts, summaries
 from tallyline.schemas import MONEY
 from tallyline.sources import files
 from tallyline.sources.lineage import LineageLog
+from tallyline.sources.versions import Versions
 
 
 def as_ledger(silver: DataFrame) -> DataFrame:
@@ -46,13 +47,16 @@ def overview(gold: dict[str, DataFrame]) -> DataFrame:
 
 def run_batch(spark: SparkSession, raw_transactions: DataFrame, raw_news: DataFrame | None,
               out: str) -> dict[str, str]:
-    """Write all layers below ``out`` and return their paths.
+    """Write all layers as a new version below ``out`` and return their paths.
 
     Each layer is read back from its files, so a lost executor costs the work of
-    one layer at most.
+    one layer at most. The version becomes the current one (``layers``) when all its
+    layers are there and the contract holds; a run that stops before leaves the last one.
     """
     log = LineageLog(spark, f"{out}/lineage")
-    paths = {name: f"{out}/{name}" for name in
+    versions = Versions(spark, out)
+    folder = versions.begin()
+    paths = {name: f"{folder}/{name}" for name in
              ("bronze/transactions", "silver/transactions")}
     log.write_step(raw_transactions, paths["bronze/transactions"], "source", "raw ingestion")
     bronze = spark.read.parquet(paths["bronze/transactions"])
@@ -65,15 +69,22 @@ def run_batch(spark: SparkSession, raw_transactions: DataFrame, raw_news: DataFr
     contracts.silver_contract().enforce(silver)
 
     if raw_news is not None:
-        paths["silver/news"] = f"{out}/silver/news"
+        paths["silver/news"] = f"{folder}/silver/news"
         log.write_step(cleaning.silver_news(raw_news), paths["silver/news"], "news", "clean and type")
 
     for name, gold in gold_tables(silver).items():
-        paths[f"gold/{name}"] = f"{out}/gold/{name}"
+        paths[f"gold/{name}"] = f"{folder}/gold/{name}"
         log.write_step(gold, paths[f"gold/{name}"], paths["silver/transactions"], "aggregate")
+    versions.commit(paths)
+    versions.retain()
     return paths
 
 
+def layers(spark: SparkSession, out: str) -> dict[str, str]:
+    """Paths of the layers of the last batch that came to its end."""
+    return Versions(spark, out).current().paths
+
+
 def layer_shapes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Rows and columns of every stored layer."""
     lines = None

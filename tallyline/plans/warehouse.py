@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators import cleaning, star, summaries
 from tallyline.sources import files
+from tallyline.sources.versions import Versions
 
 MONTHLY = ["year", "month"]
 
 
-def build_star_tables(spark: SparkSession, ledger: DataFrame, out: str) -> dict[str, str]:
+def build_star_tables(spark: SparkSession, ledger: DataFrame, out: str, keep: int = 2) -> dict[str, str]:
     """Write dimensions, fact and warehouse table as one new version and return their paths.
 
     Keys are numbered anew for every version, so fact and dimensions belong together: all
@@ -21,7 +20,8 @@ def build_star_tables(spark: SparkSession, ledger: DataFrame, out: str) -> dict[
     of them are there. Large tables are partitioned by month; the date part of the fact is
     its partition, so reports by period skip the other files.
     """
-    version = f"{out}/version={uuid.uuid4().hex}"
+    versions = Versions(spark, out)
+    version = versions.begin()
     built = star.build_star(ledger)
     paths = {f"dim_{name}": f"{version}/dim_{name}" for name in ("category", "account", "merchant", "date")}
     for name in ("category", "account", "merchant"):
@@ -36,18 +36,21 @@ def build_star_tables(spark: SparkSession, ledger: DataFrame, out: str) -> dict[
     wide = cleaning.stamped(star.warehouse_transactions(ledger, built), "loaded_at")
     paths["warehouse_transactions"] = f"{version}/warehouse_transactions"
     files.write_layer(wide, paths["warehouse_transactions"], MONTHLY)
-    files.write_layer(spark.createDataFrame(list(paths.items()), "name STRING, path STRING"), f"{out}/current")
+    versions.commit(paths)
+    versions.retain(keep)
     return paths
 
 
 def star_tables(spark: SparkSession, out: str) -> dict[str, str]:
     """Paths of the current version of the star tables below ``out``."""
-    return {row.name: row.path for row in spark.read.parquet(f"{out}/current").collect()}
+    return Versions(spark, out).current().paths
 
 
 def build_marts(spark: SparkSession, raw: DataFrame, out: str) -> dict[str, str]:
-    """Write the staging table and the marts over it."""
-    paths = {name: f"{out}/{name}" for name in
+    """Write the staging table and the marts over it as one new version."""
+    versions = Versions(spark, out)
+    folder = versions.begin()
+    paths = {name: f"{folder}/{name}" for name in
              ("stg_transactions", "financial_summary", "monthly_trends")}
     files.write_layer(cleaning.stamped(cleaning.staged_transactions(raw), "loaded_at"),
                       paths["stg_transactions"])
@@ -55,4 +58,6 @@ def build_marts(spark: SparkSession, raw: DataFrame, out: str) -> dict[str, str]
     files.write_layer(cleaning.stamped(summaries.financial_summary_mart(staged), "generated_at"),
                       paths["financial_summary"])
     files.write_layer(summaries.monthly_trends(staged), paths["monthly_trends"])
+    versions.commit(paths)
+    versions.retain()
     return paths

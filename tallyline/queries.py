@@ -13,6 +13,7 @@ from tallyline.functions import fraud, labels
 from tallyline.operators import (cleaning, contracts, forecast, hierarchy, quality, reports,
                                  running, star, summaries, windows)
 from tallyline.plans import batch, catalog, jobs, warehouse
+from tallyline.plans.views import answer
 from tallyline.schemas import PAYLOAD
 from tallyline.session import checkpoint_dir, small_table, stored
 from tallyline.sources import files, tables, topics
@@ -261,6 +262,32 @@ def monthly_summary_refreshed(spark: SparkSession, folder: str) -> DataFrame:
         "category_group", "account_type", "transaction_count", "net_amount"), "net_amount")
 
 
+def _appended_summary(spark: SparkSession, wide: DataFrame) -> str:
+    """The monthly summary of the old rows, then brought up to date by two batches, one of them sent twice."""
+    path = f"{checkpoint_dir(spark)}/summary-{uuid.uuid4().hex}"
+    recent, last = F.lit(RECENT).cast("date"), F.lit("2000-06-15").cast("date")
+    jobs.refresh_monthly_summary(wide.filter(F.col("date_key") < recent), path)
+    batches = {"a": wide.filter((F.col("date_key") >= recent) & (F.col("date_key") < last)), "b": wide.filter(F.col("date_key") >= last)}
+    for name in ("a", "b", "a"):
+        jobs.append_to_monthly_summary(batches[name], path, name)
+    return path
+
+
+def summary_after_append(spark: SparkSession, folder: str) -> DataFrame:
+    """The monthly summary after appended rows alone were aggregated and merged."""
+    path = _appended_summary(spark, star.warehouse(tables.ledger(spark, folder)))
+    return summaries.as_double(jobs.read_monthly_summary(spark, path).withColumns(
+        {c: F.col(c).cast("int") for c in ("year", "month")}), "net_amount", "total_expenses", "total_income")
+
+
+def expenses_answered_by_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Expenses of a year, which the stored summary covers."""
+    wide = star.warehouse(tables.ledger(spark, folder))
+    view = jobs.monthly_view(spark, _appended_summary(spark, wide))
+    return summaries.as_double(answer(jobs.expenses_of(YEAR), wide, [view]).withColumns(
+        {c: F.col(c).cast("int") for c in ("year", "month")}), "total")
+
+
 def contract_offenders(spark: SparkSession, folder: str) -> DataFrame:
     """Every value that the ledger contract does not allow, over the raw ledger."""
     return contracts.ledger_contract().all_offenders(tables.raw_ledger(spark, folder))
@@ -307,6 +334,8 @@ QUERIES: dict[str, Query] = {
     "layer_shapes": layer_shapes,
     "lineage_counts": lineage_counts,
     "monthly_summary_refreshed": monthly_summary_refreshed,
+    "summary_after_append": summary_after_append,
+    "expenses_answered_by_view": expenses_answered_by_view,
     "contract_offenders": contract_offenders,
     "contract_schema_errors": contract_schema_errors,
     "json_decode_dirty": json_decode_dirty,
@@ -422,4 +451,5 @@ QUERIES: dict[str, Query] = {
         "transaction_id", "account_id", "category", "pattern_count", "pattern_mean", "anomaly")),
     "stream_summary": _stream_query(running.stream_summary, limits=STREAM_LIMITS),
     "cdc_balances": _ledger_query(running.balance_changes),
+    "cdc_changes": lambda s, d: running.balance_changes(tables.ledger_changes(s, d)),
 }

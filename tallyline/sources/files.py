@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline import schemas
+from tallyline.sources.versions import Versions
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -40,24 +41,6 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None)
         df.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: list[str], in_range: Column) -> None:
-    """Replace the stored partitions in a range by those of ``df``, which lies within it.
-
-    ``in_range`` is a condition on the partition columns. Partitions in the range that
-    ``df`` has no rows for are removed. The values of the partitions pass the driver.
-    """
-    spark = df.sparkSession
-    (df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").partitionBy(*partition_by)
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
-    stored = spark.read.parquet(path)
-    there = stored.filter(in_range).select(*partition_by).distinct().collect()
-    new = set(map(tuple, df.select(*partition_by).distinct().collect()))
-    for row in there:
-        if tuple(row) not in new:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path, "/".join(f"{c}={row[c]}" for c in partition_by))
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def append_rows(df: DataFrame, path: str) -> None:
     """Append a whole set of rows in one job."""
     df.write.mode("append").parquet(path)
@@ -87,5 +70,16 @@ def read_or_empty(spark: SparkSession, table: str, schema: T.StructType) -> Data
 
 
 def save_table(df: DataFrame, table: str) -> None:
-    """Refresh a managed table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    """Refresh a table: the rows are written as a new version, which the catalog then points to."""
+    spark = df.sparkSession
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/versions_of_{table.replace('.', '_')}"
+    versions = Versions(spark, root)
+    folder = versions.begin()
+    write_layer(df, folder)
+    versions.commit({table: folder})
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=folder, source="parquet", schema=df.schema)
+    versions.retain()

@@ -55,7 +55,7 @@ def ledger(spark: SparkSession, folder: str) -> DataFrame:
     return _as_ledger(table(spark, folder, "orders"))
 
 
-def _as_ledger(orders: DataFrame) -> DataFrame:
+def _as_ledger(orders: DataFrame, *more: str) -> DataFrame:
     category = _by_value("o_orderpriority", {
         "1-URGENT": "Salary", "2-HIGH": "Restaurant", "3-MEDIUM": "Electronics",
         "4-NOT SPECIFIED": "Transport"}, "Coffee")
@@ -64,7 +64,7 @@ def _as_ledger(orders: DataFrame) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("date"),
         _signed_price().cast(MONEY).alias("amount"),
         category.alias("category"),
-        _account().alias("account"))
+        _account().alias("account"), *more)
 
 
 def raw_ledger(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,6 +123,24 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("ts"))
 
 
+def ledger_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as a log of changes: all are inserted; a day later pending ones turn their sign and
+    every fifth open one moves to another account; two days later every seventh finished one is deleted."""
+    rows = _as_ledger(table(spark, folder, "orders"), "o_orderstatus")
+    day = F.col("date").cast("timestamp")
+
+    def change(df: DataFrame, kind: str, days: int, amount: Column, account: Column, old: Column, before: Column) -> DataFrame:
+        return df.select("id", "date", amount.cast(MONEY).alias("amount"), "category", account.alias("account"),
+                         F.lit(kind).alias("change_type"), (day + F.expr(f"INTERVAL {days} DAYS")).alias("changed_at"),
+                         old.cast(MONEY).alias("old_amount"), before.alias("old_account"))
+
+    amount, account, none, nobody = F.col("amount"), F.col("account"), F.lit(None).cast(MONEY), F.lit(None).cast("string")
+    return (change(rows, "INSERT", 0, amount, account, none, nobody)
+            .unionByName(change(rows.filter("o_orderstatus = 'P'"), "UPDATE", 1, -amount, account, amount, account))
+            .unionByName(change(rows.filter("o_orderstatus = 'O' AND id % 5 = 0"), "UPDATE", 1, amount, F.lit("Savings_0"), amount, account))
+            .unionByName(change(rows.filter("o_orderstatus = 'F' AND id % 7 = 0"), "DELETE", 2, none, nobody, amount, account)))
+
+
 def news(spark: SparkSession, folder: str) -> DataFrame:
     """Events as headlines whose time is text with or without fractions of a
     second, or unreadable for errors."""

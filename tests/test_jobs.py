@@ -48,8 +48,9 @@ def test_batch_job(spark, small, tmp_path):
     counted = {r.destination: r.row_count for r in log.collect()}
     assert counted[paths["silver/transactions"]] == 1500
     # Running again replaces the layers.
-    batch.run_batch(spark, tables.raw_ledger(spark, small), None, out)
-    assert spark.read.parquet(paths["silver/transactions"]).count() == 1500
+    again = batch.run_batch(spark, tables.raw_ledger(spark, small), None, out)
+    assert batch.layers(spark, out) == again
+    assert spark.read.parquet(again["silver/transactions"]).count() == 1500
 
 
 def test_star_tables_and_marts(spark, small, tmp_path):

@@ -110,18 +110,28 @@ def require_complete(checks: DataFrame) -> None:
 def accuracy(warehouse: DataFrame, as_of: dt.date) -> DataFrame:
     """Negative balances, future dates, zero amounts and repeated transactions.
 
-    Three groupings of different keys, each combined map-side.
+    One scan: each row stands in two groupings, by account and by all that makes a
+    transaction, both combined map-side; the counts of single rows ride on the first.
     """
-    balances = warehouse.groupBy("account").agg(F.sum("amount").alias("balance"))
-    repeated = (warehouse.groupBy("transaction_id", "amount", "date_key", "category")
-                .agg(F.count(F.lit(1)).alias("_n")))
+    value, repeated = F.col("amount"), ["transaction_id", "amount", "date_key", "category"]
+    none = {c: F.lit(None).cast(warehouse.schema[c].dataType) for c in (*repeated, "account")}
+
+    def line(by_account: bool) -> Column:
+        keys = [(F.col(c) if (c == "account") == by_account else none[c]).alias(f"k_{c}") for c in ("account", *repeated)]
+        measures = ([value, F.col("date_key") > F.lit(as_of), value == 0] if by_account
+                    else [F.lit(None).cast(warehouse.schema["amount"].dataType), F.lit(False), F.lit(False)])
+        return F.struct(F.lit(by_account).alias("by_account"), *keys, measures[0].alias("value"),
+                        measures[1].alias("future"), measures[2].alias("zero"))
+
+    lines = warehouse.select(F.inline(F.array(line(True), line(False))))
+    groups = lines.groupBy("by_account", *[f"k_{c}" for c in ("account", *repeated)]).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("balance"), F.count_if("future").alias("future"), F.count_if("zero").alias("zero"))
     # The names of the checks.
-    return (_named_counts(balances, {"Negative balance accounts": F.count_if(F.col("balance") < 0)})
-            .unionByName(_named_counts(warehouse, {
-                "Future dated transactions": F.count_if(F.col("date_key") > F.lit(as_of)),
-                "Zero amount transactions": F.count_if(F.col("amount") == 0)}))
-            .unionByName(_named_counts(repeated, {
-                "Duplicate transactions": F.count_if(F.col("_n") > 1)})))
+    return _named_counts(groups, {
+        "Negative balance accounts": F.count_if(F.col("by_account") & (F.col("balance") < 0)),
+        "Future dated transactions": F.coalesce(F.sum("future"), F.lit(0)),
+        "Zero amount transactions": F.coalesce(F.sum("zero"), F.lit(0)),
+        "Duplicate transactions": F.count_if(~F.col("by_account") & (F.col("n") > 1))})
 
 
 def freshness(warehouse: DataFrame, as_of: dt.date) -> DataFrame:

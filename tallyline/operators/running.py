@@ -72,7 +72,7 @@ def pattern_anomalies(transactions: DataFrame, limit: float = -200, rows: int =
     """Transactions at which the mean of the last ``rows`` amounts of the same
     account and category falls below ``limit``."""
     seen = trailing(transactions, ["account_id", "category"], STREAM_ORDER, rows,
-                    {"pattern_count": F.count(F.lit(1)), "_sum": F.sum("amount")},
+                    {"pattern_count": F.lit(1).cast("bigint"), "_sum": F.col("amount")},
                     rows_per_segment)
     mean = money.mean("_sum", "pattern_count")
     return (seen.withColumn("pattern_mean", mean).drop("_sum")

@@ -67,6 +67,13 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_sums(df: DataFrame, name: str, **sums) -> tuple[DataFrame, dict]:
+    """``stored``, and aggregates that are taken while its rows are written."""
+    seen = Observation()
+    kept = stored(df.observe(seen, *[value.alias(key) for key, value in sums.items()]), name)
+    return kept, seen.get
+
+
 def stored_counted(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
     """``stored``, and the number of rows, counted while they are written."""
     seen = Observation()

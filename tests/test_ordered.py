@@ -58,7 +58,7 @@ def test_running_sums(spark, keyed, size):
 def test_trailing(spark, size):
     data = hot_data(2000)
     got = trailing(frame(spark, data), ["k"], ORDER, 10,
-                   {"n": F.count(F.lit(1)), "s": F.sum("v")}, size)
+                   {"n": F.lit(1).cast("bigint"), "s": F.col("v")}, size)
     expected, seen = {}, {}
     for k, d, i, v in in_order(data):
         last = seen.setdefault(k, [])
@@ -91,10 +91,35 @@ def test_ties_are_split_whatever_they_are(spark, kind):
     assert [int(r.n) for r in sums.orderBy("ts", "id").collect()] == list(range(1, 1501))
 
 
-def test_default_segments_follow_the_session(spark, small):
+def test_segments_follow_the_bytes_of_the_input(spark, small, monkeypatch):
+    from tallyline.operators import ordered
     from tallyline.sources import tables
-    cut = segmented(tables.ledger(spark, small), [], Order("date", "id"))
-    assert cut.select(SEGMENT).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ledger = tables.ledger(spark, small)
+    size = ordered._input_bytes(ledger)
+    assert size == ordered._input_bytes(ledger.filter("amount < 0").select("id")) and size > 10_000
+    monkeypatch.setattr(ordered, "SEGMENT_BYTES", size // 6 + 1)
+    cut = segmented(ledger, [], Order("date", "id"))
+    assert cut.select(SEGMENT).distinct().count() == 6
+    monkeypatch.setattr(ordered, "SEGMENT_BYTES", 10 * size)
+    assert segmented(ledger, [], Order("date", "id")).select(SEGMENT).distinct().count() == 1
+
+
+@pytest.mark.parametrize("build", [
+    lambda t: running.account_running_balance(t, rows_per_segment=100),
+    lambda t: running.pattern_anomalies(t, rows_per_segment=100)])
+def test_rows_are_not_shuffled_after_they_are_cut(spark, small, build):
+    from tallyline.sources import tables
+    plan = build(tables.transactions(spark, small))._jdf.queryExecution().executedPlan().toString()
+    rows = plan.split("BroadcastExchange")[0]
+    assert "Exchange" not in rows and "Bucketed: true" in rows and "Window" in rows
+
+
+def test_trailing_sums_reach_over_several_small_segments(spark):
+    data = [("k" if n != 17 else "j", dt.date(2024, 1, 1) + dt.timedelta(n), n, Decimal(n)) for n in range(60)]
+    got = trailing(frame(spark, data), ["k"], ORDER, 10, {"n": F.lit(1).cast("bigint"), "s": F.col("v")}, 2)
+    ids = [n for n in range(60) if n != 17]
+    expected = {n: (min(k + 1, 10), sum(ids[max(0, k - 9) : k + 1])) for k, n in enumerate(ids)} | {17: (1, 17)}
+    assert {r.id: (r.n, int(r.s)) for r in got.collect()} == expected
 
 
 def test_segments_follow_the_order(spark):

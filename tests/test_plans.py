@@ -60,8 +60,8 @@ def test_reports_need_one_shuffle_of_the_ledger(spark, small):
 def test_running_balances_leave_no_single_task_with_the_ledger(spark, small, build):
     plan = plan_of(build(tables.ledger(spark, small)))
     # One row per segment may meet in one task, ledger rows may not.
-    final = plan.split("Union")[0]
-    assert "Exchange hashpartitioning" in final and "SinglePartition" not in final
+    rows = plan.split("BroadcastExchange")[0]
+    assert "Bucketed: true" in rows and "Exchange" not in rows
 
 
 def test_no_query_uses_a_product_or_python_rows(spark, small):

@@ -14,7 +14,8 @@ per language; a NULL language is ``und``.
    than by joining phrases with each other, which is quadratic around a common word; those
    that all tasks together meet less than ``LEAST`` times are left out.
 3. All candidates form one more double-array trie. All positions walk it level by level,
-   the phrases they end in are counted by ``bincount``, and the tasks' counts are summed.
+   the phrases they end in are counted by ``bincount``, and the tasks' counts are summed
+   as arrays.
 4. Scores, containment and ranks are joins and aggregates over the counted phrases.
 
 A trie holds at most ``TRIE_PHRASES``, a table of words at most ``TABLE_WORDS``; more are
@@ -22,8 +23,8 @@ spread over several by hash, each walked in a pass of its own over the numbered
 what is broadcast stays bounded (for several tries only the first k - 1 words are asked
 for in step 2, which leaves more candidates and the same results). A text stays in one row.
 
-Words are found by 64-bit hashes; the counts by number are compared with those by word,
-and another hash is drawn should they differ. NULL and empty texts have no words. Repeated
+Words are found by 64-bit hashes; as many must be found as were counted, else another
+hash is drawn. NULL and empty texts have no words. Repeated
 rows count as often as they stand; equal scores and counts are ordered by phrase; extra
 columns change nothing; an empty table gives no rows. Memory is bounded by a batch, the
 longest text, a trie, or the different words or pairs held before they are sent.
@@ -35,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +49,8 @@ UNKNOWN = "und"
 TRIE_PHRASES, TABLE_WORDS = 1 << 20, 1 << 21
 #: Different words, and candidates met, that a task holds before it sends them.
 HELD_WORDS, HELD_MET = 400_000, 1 << 21
+#: Phrases whose counts travel in one row, and tasks whose rows are added up together.
+BLOCK, SUMMED = 4096, 64
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -219,7 +223,10 @@ def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
 
 
 def _lookup(rows: list, first: int, seed: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """For each language the sorted hashes of its words and their numbers, which run on from ``first``."""
+    """For each language the sorted hashes of its words and their numbers, which run on from ``first``.
+
+    Of words with one hash all but one are left without a number.
+    """
     out: dict[str, list] = {}
     for k, (lang, word) in enumerate(rows):
         out.setdefault(lang, []).append((word, first + k))
@@ -227,15 +234,19 @@ def _lookup(rows: list, first: int, seed: int) -> dict[str, tuple[np.ndarray, np
     for lang, some in out.items():
         data, offsets = utf8(pa.array([word for word, _ in some]))
         hashes = mix(word_hashes(data, offsets[:-1], offsets[1:]) + np.uint64(seed))
-        order = np.argsort(hashes)
-        made[lang] = hashes[order], np.array([number for _, number in some], np.int32)[order]
+        hashes, order = np.unique(hashes, return_index=True)
+        made[lang] = hashes, np.array([number for _, number in some], np.int32)[order]
     return made
 
 
-def _numbered(docs: DataFrame, tables: list[tuple[list, int]], seed: int, text: str, lang: str) -> DataFrame:
-    """(ids): the numbers of each text's words, 0 between pieces, for words without one, and at the end."""
+def _numbered(docs: DataFrame, tables: list[tuple[list, int, int]], seed: int, text: str, lang: str) -> DataFrame | None:
+    """(ids): the numbers of each text's words, 0 between pieces, for words without one, and at the end.
+
+    ``tables`` has words, the first number, and how often all of them occur; None if that
+    differs from what is found, as then some hash stands for two words.
+    """
     rows = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
-    for k, (some, first) in enumerate(tables):
+    for k, (some, first, expected) in enumerate(tables):
         last = k == len(tables) - 1
         shared = rows.sparkSession.sparkContext.broadcast(_lookup(some, first, seed))
 
@@ -249,14 +260,14 @@ def _numbered(docs: DataFrame, tables: list[tuple[list, int]], seed: int, text:
                 for j, name in enumerate(names):
                     if name in lookup:
                         mine = np.flatnonzero(of == j) if len(names) > 1 else slice(None)
-                        known, number = lookup[name]
-                        at = np.minimum(np.searchsorted(known, hashes[mine]), len(known) - 1)
-                        found[mine] = np.where(known[at] == hashes[mine], number[at], 0)
+                        listed, number = lookup[name]
+                        at = np.minimum(np.searchsorted(listed, hashes[mine]), len(listed) - 1)
+                        found[mine] = np.where(listed[at] == hashes[mine], number[at], 0)
+                known = np.bincount(doc[found > 0], minlength=len(texts))
                 if again:
                     found = np.where(found > 0, found, before.flatten().to_numpy())
-                sizes = np.bincount(doc, minlength=len(texts))
                 if not last:
-                    return {"lang": langs, "text": texts, "ids": _lists(found, sizes)}
+                    return {"known": known, "lang": langs, "text": texts, "ids": _lists(found, np.bincount(doc, minlength=len(texts)))}
                 # A 0 before each piece, and one for each run of them.
                 wide = np.zeros(len(found) + int(cut.sum()) + 1, np.int32)
                 place = np.arange(len(found)) + np.cumsum(cut)
@@ -264,14 +275,15 @@ def _numbered(docs: DataFrame, tables: list[tuple[list, int]], seed: int, text:
                 owner = np.concatenate([np.repeat(doc, 1 + cut), [len(texts)]])
                 keep = wide > 0
                 keep[1:] |= wide[:-1] > 0
-                return {"ids": _closed(wide[keep], owner[keep], len(texts))}
+                return {"known": known, "ids": _closed(wide[keep], owner[keep], len(texts))}
 
             return work
 
-        fields = "ids array<int>" if last else "lang string, text string, ids array<int>"
-        rows = emit_from_text(rows, make, fields, ["lang", "ids"] if k else ["lang"])
-        if not last:
-            rows = stored(rows, "numbering")
+        fields = "known long, ids array<int>" if last else "known long, lang string, text string, ids array<int>"
+        rows, seen = stored_sum(emit_from_text(rows, make, fields, ["lang", "ids"] if k else ["lang"]), "numbered", known=F.sum("known"))
+        if (seen["known"] or 0) != expected:
+            return None
+        rows = rows.drop("known")
     return rows.where("size(ids) > 2")
 
 
@@ -355,7 +367,11 @@ def _met(numbered: DataFrame, depth: int, trie: Trie | None, both: bool) -> Data
 
 
 def _counted(numbered: DataFrame, trie: Trie, count: int) -> DataFrame:
-    """(parent, n): how often each phrase of the trie occurs."""
+    """(parent, n): how often each phrase of the trie occurs.
+
+    A task's counts leave it as one row for each block of phrases; blocks of ``SUMMED``
+    tasks are added up as arrays, and only those sums are rows of their own.
+    """
     shared = numbered.sparkSession.sparkContext.broadcast(trie)
 
     def make():
@@ -373,11 +389,25 @@ def _counted(numbered: DataFrame, trie: Trie, count: int) -> DataFrame:
 
         def finish():
             found = np.flatnonzero(sums[1:])
-            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(sums[1:][found])], ["parent", "n"])
+            blocks, starts = np.unique(found // BLOCK, return_index=True)
+            ends = pa.array(np.append(starts, len(found)), pa.int32())
+            group = np.full(len(blocks), TaskContext.get().partitionId() // SUMMED)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(blocks), pa.array(group), pa.ListArray.from_arrays(ends, pa.array(found)), pa.ListArray.from_arrays(ends, pa.array(sums[1:][found]))],
+                ["block", "tasks", "parents", "counts"])
 
         return work, finish
 
-    return _walk(numbered, make, "parent long, n long").groupBy("parent").agg(F.sum("n").alias("n"))
+    def add(table: pa.Table) -> pa.Table:
+        parents, counts = (table.column(name).combine_chunks().flatten().to_numpy() for name in ("parents", "counts"))
+        first = parents.min()
+        total = np.zeros(BLOCK, np.int64)
+        np.add.at(total, parents - first, counts)
+        found = np.flatnonzero(total)
+        return pa.table({"parent": pa.array(found + first), "n": pa.array(total[found])})
+
+    tallied = _walk(numbered, make, "block long, tasks long, parents array<long>, counts array<long>")
+    return tallied.groupBy("block", "tasks").applyInArrow(add, "parent long, n long").groupBy("parent").agg(F.sum("n").alias("n"))
 
 
 def _collected(phrases: DataFrame, words: int) -> tuple[Trie, DataFrame, int]:
@@ -405,7 +435,7 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: s
         for part in _chunk(frequent, table_words, "lang", "word"):
             some = part.orderBy("lang", "word").toArrow()
             number = pa.array(np.arange(first, first + len(some)), pa.int32())
-            tables.append(([*zip(some.column("lang").to_pylist(), some.column("word").to_pylist())], first))
+            tables.append(([*zip(some.column("lang").to_pylist(), some.column("word").to_pylist())], first, sum(some.column("n").to_pylist())))
             index.append(stored(spark.createDataFrame(some.append_column("number", number).select(["number", "lang", "word", "n"])), "numbers"))
             first += len(some)
         words_ = first - 1
@@ -415,9 +445,8 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: s
         listed = index[0]
         for part in index[1:]:
             listed = listed.unionByName(part)
-        numbered, seen = stored_sum(_numbered(docs, tables, seed, text, lang), "numbered", rows=F.count("*"))
-        del tables
-        if _agree(numbered, listed):
+        numbered = _numbered(docs, tables, seed, text, lang)
+        if numbered is not None:
             break
     else:
         raise RuntimeError("words share hashes under every seed")
@@ -451,29 +480,6 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: s
     return listed, totals, out.where(F.col("n") >= least)
 
 
-def _agree(numbered: DataFrame, listed: DataFrame) -> bool:
-    """Whether no rarer word was taken for a listed one in the texts that remain: counts by number never exceed those by word."""
-
-    def make():
-        sums: list[np.ndarray] = [np.zeros(1, np.int64)]
-
-        def work(ids):
-            found = np.bincount(ids)
-            if len(found) > len(sums[0]):
-                sums[0] = np.concatenate([sums[0], np.zeros(len(found) - len(sums[0]), np.int64)])
-            sums[0][: len(found)] += found
-            return None
-
-        def finish():
-            some = np.flatnonzero(sums[0][1:]) + 1
-            return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(sums[0][some])], ["number", "m"])
-
-        return work, finish
-
-    by_number = _walk(numbered, make, "number int, m long").groupBy("number").agg(F.sum("m").alias("m"))
-    return by_number.join(listed, "number").where("m > n").isEmpty()
-
-
 def _big(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("decimal(20,0)")
 

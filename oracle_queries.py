@@ -238,6 +238,35 @@ fitted AS (
     FROM spent GROUP BY category)"""
 
 
+# Models of spending by three features (0: spending of the period before, 1: number of its expenses, 2: period),
+# from count, means and covariances: the normal equations of scaled features, solved by a triangular factor.
+MODELS = PERIODS.replace("ABS(SUM(amount)) AS spent\n    FROM txn", "ABS(SUM(amount)) AS spent, COUNT(*) AS n\n    FROM txn") + """,
+usable AS (
+    SELECT * FROM (
+        SELECT category, CAST(spent AS DOUBLE) AS y, CAST(period AS DOUBLE) AS x2,
+               CAST(LAG(spent) OVER w AS DOUBLE) AS x0, CAST(LAG(n) OVER w AS DOUBLE) AS x1
+        FROM spent WINDOW w AS (PARTITION BY category ORDER BY period)) f
+    WHERE x0 IS NOT NULL),
+moments AS (
+    SELECT category, COUNT(*) AS rows, AVG(y) AS my, VAR_POP(y) AS vy, AVG(x0) AS m0, AVG(x1) AS m1, AVG(x2) AS m2,
+           STDDEV_POP(x0) AS s0, STDDEV_POP(x1) AS s1, STDDEV_POP(x2) AS s2,
+           COVAR_POP(x1, x0) AS c10, COVAR_POP(x2, x0) AS c20, COVAR_POP(x2, x1) AS c21,
+           COVAR_POP(x0, y) AS y0, COVAR_POP(x1, y) AS y1, COVAR_POP(x2, y) AS y2
+    FROM usable GROUP BY category HAVING COUNT(*) > 1),
+factor AS (
+    SELECT *, c10 / (s1 * s0) AS l10, c20 / (s2 * s0) AS l20, SQRT(1 - (c10 / (s1 * s0)) ** 2) AS l11 FROM moments),
+factor2 AS (SELECT *, (c21 / (s2 * s1) - l20 * l10) / l11 AS l21 FROM factor),
+factor3 AS (SELECT *, SQRT(1 - l20 * l20 - l21 * l21) AS l22, y0 / s0 AS z0, (y1 / s1 - l10 * y0 / s0) / l11 AS z1 FROM factor2),
+solved AS (SELECT *, (y2 / s2 - l20 * z0 - l21 * z1) / l22 AS z2 FROM factor3),
+back2 AS (SELECT *, z2 / l22 AS b2 FROM solved),
+back1 AS (SELECT *, (z1 - l21 * b2) / l11 AS b1 FROM back2),
+back0 AS (SELECT *, z0 - l10 * b1 - l20 * b2 AS b0 FROM back1),
+models AS (
+    SELECT category, rows, b0 / s0 AS w0, b1 / s1 AS w1, b2 / s2 AS w2,
+           my - b0 / s0 * m0 - b1 / s1 * m1 - b2 / s2 * m2 AS intercept, (z0 * z0 + z1 * z1 + z2 * z2) / vy AS r2
+    FROM back0)"""
+
+
 def _sliding(width: int, step: int) -> str:
     """Start of every window of ``width`` minutes, sliding by ``step``, that holds ts."""
     return (f"UNNEST(generate_series(0, {width // step - 1})) AS shift_, "
@@ -723,6 +752,18 @@ ORACLE: dict[str, str] = {
                           THEN LEAST(0.95, 0.7 + last_spent / 1000 * 0.25) ELSE 0.6 END) AS DOUBLE)
                    AS confidence
         FROM fitted WHERE last_spent IS NOT NULL""",
+    "spend_multi_fit": f"""WITH {MODELS}
+        SELECT category, rows, ROUND(w0, 4) AS w_previous_spent, ROUND(w1, 4) AS w_previous_count, ROUND(w2, 4) AS w_period,
+               ROUND(intercept, 1) AS intercept, ROUND(r2, 6) AS r2 FROM models""",
+    "predict_multi": f"""WITH {MODELS},
+        latest AS (SELECT category, CAST(spent AS DOUBLE) AS spent, CAST(n AS DOUBLE) AS n FROM spent WHERE period = 0)
+        SELECT '2001-08' AS month,
+               ROUND(CASE WHEN intercept IS NULL THEN spent
+                          ELSE LEAST(GREATEST(intercept + w0 * spent + w1 * n + w2, spent * 0.5::DOUBLE), spent * 1.5::DOUBLE) END, 1)
+                   AS predicted_amount,
+               category,
+               CASE WHEN intercept IS NULL THEN 0.6::DOUBLE ELSE CAST(LEAST(0.95, 0.7 + spent / 1000 * 0.25) AS DOUBLE) END AS confidence
+        FROM latest LEFT JOIN models USING (category)""",
     "predict_fallback": f"""WITH {SPENDING}
         SELECT '2001-07' AS month,
                current + CASE WHEN change <> 0 THEN change / 2 ELSE current * 0.1::DOUBLE END

@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions import money, periods
+from tallyline.operators import regression
 
 
 def spending_per_period(ledger: DataFrame, as_of: dt.date, days: int, count: int) -> DataFrame:
@@ -102,40 +99,42 @@ def feature_rows(ledger: DataFrame, as_of: dt.date, days: int = 30, count: int =
         money.double(F.lag("n").over(before)).alias("previous_count"))
 
 
-def fit_models(rows: DataFrame, categories: list[str]) -> dict[str, PipelineModel]:
-    """A scaled linear model for each of a few named categories; categories without
-    two usable rows are left out."""
-    pipeline = Pipeline(stages=[
-        VectorAssembler(inputCols=FEATURES, outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True),
-        LinearRegression(labelCol="spent", predictionCol="predicted_amount", solver="normal",
-                         regParam=1e-9)])
-    usable = rows.filter(F.col("category").isin(*categories)).na.drop(subset=FEATURES)
-    enough = {r.category for r in usable.groupBy("category").count().filter("count > 1").collect()}
-    return {c: pipeline.fit(usable.filter(F.col("category") == c)) for c in categories if c in enough}
+def fit_models(rows: DataFrame) -> DataFrame:
+    """A linear model of each category's spending: its weights, intercept and R²; in one aggregate
+    for all categories. Categories without two usable rows are left out."""
+    return regression.fit(rows, ["category"], FEATURES, "spent")
 
 
-def model_quality(models: dict[str, PipelineModel]) -> dict[str, float]:
-    """R² of every model on its training rows."""
-    return {name: model.stages[-1].summary.r2 for name, model in models.items()}
+def predict_with_models(models: DataFrame, latest: DataFrame, as_of: dt.date) -> DataFrame:
+    """Next period per category from (category, spent, n, period) of the last one.
 
-
-def predict_with_models(models: dict[str, PipelineModel], latest: DataFrame,
-                        as_of: dt.date) -> DataFrame:
-    """Next period per category from (category, spent, n, period) of the last one,
-    kept within half and one and a half of it; without a model the same again."""
+    The model's answer is kept within half and one and a half of the last spending. Without
+    a model the same again is expected, with confidence 0.6; with one that cannot answer,
+    as an input is missing, with 0.5.
+    """
     inputs = latest.select(
-        "category", F.col("spent").alias("previous_spent"),
+        "category", money.double("spent").alias("previous_spent"),
         money.double("n").alias("previous_count"), (F.col("period") + 1.0).alias("period"))
-    parts = [inputs.filter(~F.col("category").isin(*models) if models else F.lit(True))
-             .select("category", "previous_spent", F.col("previous_spent").alias("predicted_amount"),
-                     F.lit(0.6).alias("confidence"))]
-    last = F.col("previous_spent")
-    for name, model in models.items():
-        parts.append(model.transform(inputs.filter(F.col("category") == name)).select(
-            "category", "previous_spent",
-            money.clamp(F.col("predicted_amount"), last * 0.5, last * 1.5).alias("predicted_amount"),
-            F.least(F.lit(0.95), F.lit(0.7) + last / 1000 * 0.25).alias("confidence")))
+    last, answer = F.col("previous_spent"), regression.apply(FEATURES)
+    modelled, finite = F.col("intercept").isNotNull(), answer.isNotNull() & ~F.isnan(answer)
+    both = inputs.join(models, "category", "left")
     month = (as_of + dt.timedelta(days=30)).strftime("%Y-%m")
-    return reduce(DataFrame.unionByName, parts).select(
-        F.lit(month).alias("month"), "predicted_amount", "category", "confidence")
+    return both.select(
+        F.lit(month).alias("month"),
+        F.when(modelled & finite, money.clamp(answer, last * 0.5, last * 1.5)).otherwise(last).alias("predicted_amount"),
+        "category",
+        F.when(~modelled, 0.6).when(finite, F.least(F.lit(0.95), F.lit(0.7) + last / 1000 * 0.25)).otherwise(0.5).alias("confidence"))
+
+
+def spend_multi_fit(ledger: DataFrame, as_of: dt.date, days: int = 30, count: int = 12) -> DataFrame:
+    """The models of all categories, rounded."""
+    models = fit_models(feature_rows(ledger, as_of, days, count))
+    return models.select("category", "rows", *[F.round(f"w_{f}", 4).alias(f"w_{f}") for f in FEATURES],
+                         F.round("intercept", 1).alias("intercept"), F.round("r2", 6).alias("r2"))
+
+
+def predict_multi(ledger: DataFrame, as_of: dt.date, days: int = 30, count: int = 12) -> DataFrame:
+    """Next period's spending of each category that spent in the last one, by its model."""
+    latest = spending_per_period(ledger, as_of, days, count).filter("period = 0")
+    models = fit_models(feature_rows(ledger, as_of, days, count))
+    return predict_with_models(models, latest, as_of).withColumn("predicted_amount", F.round("predicted_amount", 1))

@@ -435,6 +435,8 @@ QUERIES: dict[str, Query] = {
     # forecasts and unusual amounts
     "spend_trend_fit": _ledger_query(forecast.spend_trend_fit, AS_OF),
     "predict_spending": _ledger_query(forecast.predict_spending, AS_OF),
+    "spend_multi_fit": _ledger_query(forecast.spend_multi_fit, AS_OF),
+    "predict_multi": _ledger_query(forecast.predict_multi, AS_OF),
     "predict_fallback": _spending_query(forecast.predict_fallback, AS_OF),
     "zscore_anomalies": lambda s, d: summaries.as_double(
         running.unusual_amounts(tables.ledger(s, d)), "amount"),

@@ -228,15 +228,49 @@ def test_models_with_several_features(spark):
     rows_.append(("B", 0.0, 5.0, 4.0, 1.0))
     data = spark.createDataFrame(
         rows_, "category STRING, period DOUBLE, spent DOUBLE, previous_spent DOUBLE, previous_count DOUBLE")
-    models = forecast.fit_models(data, ["A", "B", "absent"])
-    assert set(models) == {"A"}  # one row is no model
-    assert forecast.model_quality(models)["A"] == pytest.approx(1, abs=1e-6)
+    models = forecast.fit_models(data)
+    assert [r.category for r in models.collect()] == ["A"]  # one row is no model
+    found = models.first()
+    assert found.r2 == pytest.approx(1) and found.rows == 12
+    assert (found.w_previous_spent, found.w_previous_count, found.w_period, found.intercept) == pytest.approx((0.5, 2, 3, 20))
     latest = spark.createDataFrame([("A", 60.0, 4, 0.0), ("B", 5.0, 1, 0.0)],
                                    "category STRING, spent DOUBLE, n INT, period DOUBLE")
     got = {r.category: r for r in forecast.predict_with_models(models, latest, AS_OF).collect()}
-    assert got["A"].predicted_amount == pytest.approx(20 + 30 + 8 + 3, rel=1e-4)
+    assert got["A"].predicted_amount == pytest.approx(20 + 30 + 8 + 3)
     assert got["A"].confidence == pytest.approx(0.7 + 0.06 * 0.25)
     assert (got["B"].predicted_amount, got["B"].confidence) == (5.0, 0.6)
+    unknown = spark.createDataFrame([("A", 60.0, None, 0.0)], latest.schema)
+    row = forecast.predict_with_models(models, unknown, AS_OF).first()
+    assert (row.predicted_amount, row.confidence) == (60.0, 0.5)
+
+
+@pytest.mark.parametrize("kind", ["free", "constant feature", "mixed feature", "two rows"])
+def test_regression_equals_a_library_s(spark, kind):
+    import numpy as np
+    from tallyline.operators import regression
+    rng = np.random.default_rng(3)
+    data, expected = [], {}
+    for group in range(5):
+        n = 2 if kind == "two rows" else 40
+        x = rng.normal(1e6, 1e5, (n, 3)) * [1, 1e-5, 1e-6]
+        if kind == "constant feature":
+            x[:, 1] = 7
+        if kind == "mixed feature":
+            x[:, 2] = 2 * x[:, 0] - 3 * x[:, 1] + 5
+        y = x @ rng.normal(0, 1, 3) + rng.normal(0, 3, n) + 11
+        scaled = (x - x.mean(0)) / np.where(x.std(0) > 0, x.std(0), 1)
+        fitted = scaled @ np.linalg.lstsq(scaled, y - y.mean(), rcond=1e-6)[0] + y.mean()
+        expected[group] = (fitted, 1 - ((y - fitted) ** 2).sum() / ((y - y.mean()) ** 2).sum())
+        data += [(group, k, *map(float, x[k]), float(y[k])) for k in range(n)]
+    data += [(0, 99, None, 1.0, 1.0, 1.0), (0, 98, 1.0, 1.0, 1.0, None), (9, 0, 1.0, 1.0, 1.0, 1.0)]
+    rows_ = spark.createDataFrame(data, "g INT, k INT, a DOUBLE, b DOUBLE, c DOUBLE, y DOUBLE")
+    models = regression.fit(rows_, ["g"], ["a", "b", "c"], "y")
+    got = rows_.join(models, "g").na.drop().withColumn("p", regression.apply(["a", "b", "c"])).orderBy("g", "k").collect()
+    for group, (fitted, r2) in expected.items():
+        mine = [r for r in got if r.g == group]
+        assert [r.p for r in mine] == pytest.approx(fitted.tolist(), rel=1e-7)
+        assert mine[0].r2 == pytest.approx(r2, abs=1e-6)
+    assert {r.g for r in got} == set(expected)
 
 
 def test_feature_rows(book):

@@ -898,6 +898,36 @@ ORACLE: dict[str, str] = {
         SELECT account, id AS transaction_id, strftime(ts, '%Y-%m-%d') AS transaction_date, CAST(amount AS DOUBLE) AS transaction_amount,
                CAST(SUM(amount) OVER (PARTITION BY account ORDER BY ts, id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS new_balance, change_type
         FROM lines""",
+    "csv_scan": f"WITH {LEDGER} SELECT id, date, CAST(amount AS DOUBLE) AS amount, category, account FROM txn",
+    "csv_report": f"WITH {WAREHOUSE} SELECT {SUMMARY_COLUMNS} FROM wh WHERE {JUNE} {BY_GROUP}",
+    "statement_loaded": f"""WITH {LEDGER},
+        booked AS (SELECT date, amount, category, account FROM txn WHERE status <> 'O'),
+        added AS (SELECT DISTINCT date, amount, category, account FROM txn WHERE status <> 'F'
+                  EXCEPT SELECT * FROM booked),
+        everything AS (SELECT * FROM booked UNION ALL SELECT * FROM added)
+        SELECT account, COUNT(*) AS transactions, {_sum('amount', 'balance')} FROM everything GROUP BY account""",
+    "catalog_stats": """
+        SELECT 'stats_of_orders' AS object_name, 'table' AS kind, COUNT(*) AS row_count FROM orders
+        UNION ALL SELECT 'stats_of_events', 'table', COUNT(*) FROM events
+        UNION ALL SELECT 'stats_of_view', 'view', NULL FROM (SELECT COUNT(*) FROM orders) o""",
+    "dashboard_lines": f"""WITH {LEDGER},
+        head AS (SELECT CAST(SUM(amount) AS DOUBLE) AS balance,
+                        CAST(SUM(CASE WHEN here THEN {INCOME} ELSE 0 END) AS DOUBLE) AS income,
+                        ABS(CAST(SUM(CASE WHEN here THEN {EXPENSE} ELSE 0 END) AS DOUBLE)) AS expenses,
+                        COUNT(*) AS n, COUNT(DISTINCT category) AS categories
+                 FROM (SELECT *, date >= DATE '2001-07-01' AND date < DATE '2001-08-01' AS here FROM txn) t),
+        months AS (SELECT strftime(date, '%Y-%m') AS month, SUM({EXPENSE}) AS expenses FROM txn GROUP BY 1 ORDER BY 1 DESC LIMIT 12)
+        SELECT 'headline' AS section, 'total_balance' AS name, balance AS value FROM head
+        UNION ALL SELECT 'headline', 'monthly_income', income FROM head
+        UNION ALL SELECT 'headline', 'monthly_expenses', expenses FROM head
+        UNION ALL SELECT 'headline', 'savings_rate', CASE WHEN income > 0 THEN (income - expenses) / income * 100.0 ELSE 0.0 END FROM head
+        UNION ALL SELECT 'data_points', 'total_transactions', CAST(n AS DOUBLE) FROM head
+        UNION ALL SELECT 'data_points', 'categories_count', CAST(categories AS DOUBLE) FROM head
+        UNION ALL SELECT * FROM (SELECT 'category', category, CAST(SUM(amount) AS DOUBLE) FROM txn GROUP BY category
+                                 ORDER BY ABS(SUM(amount)) DESC, category LIMIT 10) c
+        UNION ALL SELECT 'weekly_pattern', CAST(EXTRACT(DOW FROM date) AS VARCHAR), CAST(SUM(amount) AS DOUBLE) FROM txn
+                  GROUP BY EXTRACT(DOW FROM date)
+        UNION ALL SELECT 'spending_trend', month, CAST(expenses AS DOUBLE) FROM months""",
     "contract_offenders": f"""WITH {RAW}
         SELECT 'category' AS column_name, category AS value, COUNT(*) AS rows FROM delivered
         WHERE category IS NULL OR category NOT IN ('Salary', 'Shopping', 'Transport', 'Restaurant', 'Coffee',
@@ -917,4 +947,5 @@ ORACLE: dict[str, str] = {
         UNION ALL
         (SELECT id, date, category, account, 'tail' FROM txn ORDER BY id DESC LIMIT 5)""",
 }
+ORACLE["contract_from_file"] = ORACLE["contract_report"]
 ORACLE["named_query"] = ORACLE["weekly_patterns"]

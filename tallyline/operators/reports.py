@@ -313,6 +313,27 @@ def full_summary(ledger: DataFrame, as_of: dt.date, top: int = 10) -> dict[str,
     }
 
 
+def dashboard_lines(ledger: DataFrame, as_of: dt.date, top: int = 10) -> DataFrame:
+    """The whole dashboard answer as lines (section, name, value): headline figures, data points,
+    largest categories, weekly pattern and monthly trend."""
+    parts = full_summary(ledger, as_of, top)
+    row = parts["headline"]
+
+    def lines(section: str, *names: str) -> DataFrame:
+        made = F.array(*[F.struct(F.lit(section).alias("section"), F.lit(n).alias("name"), money.double(n).alias("value")) for n in names])
+        return row.select(F.inline(made))
+
+    largest = row.select(F.explode("category_breakdown").alias("c")).select(
+        F.lit("category").alias("section"), F.col("c.category").alias("name"), F.col("c.total_amount").alias("value"))
+    weekly = parts["weekly_patterns"].select(
+        F.lit("weekly_pattern").alias("section"), F.col("day_of_week").cast("string").alias("name"), F.col("total_amount").alias("value"))
+    trend = parts["spending_trends"].select(
+        F.lit("spending_trend").alias("section"), F.format_string("%04d-%02d", "year", "month").alias("name"), F.col("expenses").alias("value"))
+    return (lines("headline", "total_balance", "monthly_income", "monthly_expenses", "savings_rate")
+            .unionByName(lines("data_points", "total_transactions", "categories_count"))
+            .unionByName(largest).unionByName(weekly).unionByName(trend))
+
+
 def top_categories(ledger: DataFrame, as_of: dt.date, days: int = 30, rows: int = 5) -> DataFrame:
     """Categories with the largest spending of the last days."""
     spent = (ledger.filter(periods.trailing_days("date", as_of, days) & (F.col("amount") < 0))

@@ -14,7 +14,7 @@ from tallyline.operators import (cleaning, contracts, forecast, hierarchy, quali
                                  running, star, summaries, windows)
 from tallyline.plans import batch, catalog, jobs, warehouse
 from tallyline.plans.views import answer
-from tallyline.schemas import PAYLOAD
+from tallyline.schemas import LEDGER, PAYLOAD
 from tallyline.session import checkpoint_dir, small_table, stored
 from tallyline.sources import files, tables, topics
 from tallyline.sources.lineage import LineageLog
@@ -288,6 +288,48 @@ def expenses_answered_by_view(spark: SparkSession, folder: str) -> DataFrame:
         {c: F.col(c).cast("int") for c in ("year", "month")}), "total")
 
 
+def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger written as CSV with a header and scanned again with its schema."""
+    path = f"{checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    tables.ledger(spark, folder).write.option("header", True).csv(path)
+    return summaries.as_double(files.read_csv(spark, path, LEDGER), "amount")
+
+
+def csv_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The monthly report file, read back as its readers would."""
+    report = reports.monthly_report(star.warehouse(tables.ledger(spark, folder)), AS_OF)
+    path = files.write_report(report, f"{checkpoint_dir(spark)}/reports-{uuid.uuid4().hex}", f"monthly_report_{AS_OF:%Y%m%d}")
+    return files.read_csv(spark, path, report.schema)
+
+
+def statement_loaded(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger after a statement was appended and then sent again: rows and sum of each account."""
+    booked, incoming = tables.booked_and_incoming(spark, folder)
+    path = f"{checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    files.write_layer(booked.drop("id"), path)
+    for _ in range(2):
+        batch.load_statement(spark, incoming, path)
+    return summaries.as_double(spark.read.parquet(path).groupBy("account").agg(
+        F.count(F.lit(1)).alias("transactions"), F.sum("amount").alias("balance")), "balance")
+
+
+def contract_from_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of a contract that was stored as JSON and read again."""
+    path = f"{checkpoint_dir(spark)}/contract-{uuid.uuid4().hex}"
+    contract = contracts.ledger_contract(-400_000, 400_000)
+    spark.createDataFrame([(contract.to_json(),)], "value STRING").coalesce(1).write.text(path, lineSep="\x00")
+    text = spark.read.text(path, wholetext=True).first().value.rstrip("\x00")
+    return contracts.DataContract.from_json(text).report(tables.ledger(spark, folder))
+
+
+def catalog_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics of session objects: stored tables with their rows, a view without."""
+    for name in ("orders", "events"):
+        files.save_table(tables.table(spark, folder, name), f"stats_of_{name}")
+    catalog.register_views({"stats_of_view": tables.ledger(spark, folder)})
+    return catalog.catalog_stats(spark).filter("object_name LIKE 'stats_of_%'")
+
+
 def contract_offenders(spark: SparkSession, folder: str) -> DataFrame:
     """Every value that the ledger contract does not allow, over the raw ledger."""
     return contracts.ledger_contract().all_offenders(tables.raw_ledger(spark, folder))
@@ -336,6 +378,11 @@ QUERIES: dict[str, Query] = {
     "monthly_summary_refreshed": monthly_summary_refreshed,
     "summary_after_append": summary_after_append,
     "expenses_answered_by_view": expenses_answered_by_view,
+    "csv_scan": csv_scan,
+    "csv_report": csv_report,
+    "statement_loaded": statement_loaded,
+    "contract_from_file": contract_from_file,
+    "catalog_stats": catalog_stats,
     "contract_offenders": contract_offenders,
     "contract_schema_errors": contract_schema_errors,
     "json_decode_dirty": json_decode_dirty,
@@ -408,6 +455,7 @@ QUERIES: dict[str, Query] = {
     "current_month_detailed": _ledger_query(reports.current_month_detailed, AS_OF),
     "spending_trends": _ledger_query(reports.spending_trends),
     "financial_summary": financial_summary,
+    "dashboard_lines": _ledger_query(reports.dashboard_lines, AS_OF),
     "top_categories": _ledger_query(reports.top_categories, AS_OF),
     "spending_by_category": _ledger_query(reports.spending_by_category, AS_OF),
     "spending_totals": _spending_query(reports.spending_totals),

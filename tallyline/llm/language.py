@@ -5,10 +5,11 @@ padded. The network (see ``convnet``) runs over many windows at once; a text's
 probabilities are the mean over its windows, weighted by their bytes.
 
 The network is fitted on the driver to a bounded sample of labelled rows: for each
-language about ``PER_LANGUAGE`` documents, chosen by a hash of their id, and of each
-``PLACES`` windows spread over the whole text.
+language ``PER_LANGUAGE`` documents, or all it has, those with the smallest hash of id and
+text, and of each ``PLACES`` windows spread over the whole text. A row repeated any number
+of times is one.
 
-NULL texts and texts without a letter are ``und`` with score 0. With no labelled row, or
+NULL texts and texts without a letter (Unicode category L) are ``und`` with score 0. With no labelled row, or
 only one language, that language or ``und`` is all there is to say. Ties go to the
 language that sorts first. Rows are independent: repeated rows and extra columns change
 nothing. Memory is bounded by a slice or the longest text.
@@ -16,14 +17,14 @@ nothing. Memory is bounded by a slice or the longest text.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.convnet import Network, softmax, train
+from tallyline.llm.tables import bounded_sample, hash63
 from tallyline.llm.texts import map_text, utf8
 
 WINDOW = 256
@@ -35,20 +36,18 @@ PAD = 256
 TOGETHER = 128
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def sample(docs: DataFrame, allowed: Column, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
-    """(language, stretch of text) of a bounded sample of the allowed labelled rows, to the driver."""
+    """(language, stretch of text) of a bounded sample of the allowed labelled rows, to the driver.
+
+    Each language gives ``per_language`` documents, or all it has; rows that repeat id and text are one.
+    """
     labelled = docs.where(allowed & F.col("lang").isNotNull() & (F.length("text") > 0))
-    sizes = {row.lang: row.n for row in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    million = 1_000_000
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1, per_language / n) * million))]) if sizes else None
-    if share is None:
-        return []
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(million)) < share[F.col("lang")])
     places = [F.substr("text", (F.length("text") * k / PLACES).cast("int") + 1, F.lit(WINDOW)) for k in range(PLACES)]
-    cut = chosen.select("lang", F.explode(F.array_distinct(F.array(*places))).alias("text")).orderBy("lang", "text")
+    rows = labelled.select("lang", hash63("doc_id", "text").alias("__hash"), F.array_distinct(F.array(*places)).alias("texts"))
+    cut = bounded_sample(rows, ["lang"], per_language).select("lang", F.explode("texts").alias("text")).orderBy("lang", "text")
     return [(row.lang, row.text) for row in cut.toLocalIterator()]
 
 

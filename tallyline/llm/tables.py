@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.session import checkpoint_dir
@@ -29,6 +29,40 @@ def stored_sum(df: DataFrame, name: str, **values) -> tuple[DataFrame, dict]:
     return kept, seen.get
 
 
+#: How many times the wanted rows a hash threshold lets through before they are counted out.
+MARGIN = 2
+
+
+def threshold(wanted: int, rows: int) -> int:
+    """The 63-bit hash below which about ``MARGIN`` times the wanted of so many rows lie, however many there are."""
+    top = (1 << 63) - 1
+    return top if MARGIN * wanted >= rows else max(1, top * MARGIN * wanted // rows)
+
+
+def hash63(*columns) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*columns), 1)
+
+
+def bounded_sample(rows: DataFrame, groups: list[str], wanted: int) -> DataFrame:
+    """The ``wanted`` rows of each group that have the smallest hashes, from ``rows`` (groups, __hash, more).
+
+    Rows with one hash, which repeat each other, are one. Exact at every size: a threshold
+    lets a little more than the wanted through, so only these are sorted.
+    """
+    sizes = rows.groupBy(*groups).agg(F.approx_count_distinct("__hash").alias("n")).collect()   # one row for each group
+    limit = F
+    for row in sizes:
+        same = F.lit(True)
+        for name in groups:
+            same = same & F.col(name).eqNullSafe(F.lit(row[name]))
+        limit = limit.when(same, F.lit(threshold(wanted, row["n"])))
+    if not sizes:
+        return rows.limit(0)
+    few = rows.where(F.col("__hash") <= limit.otherwise(F.lit(0).cast("long"))).dropDuplicates([*groups, "__hash"])
+    place = F.row_number().over(Window.partitionBy(*groups).orderBy("__hash"))
+    return few.withColumn("__place", place).where(F.col("__place") <= wanted).drop("__place")
+
+
 def let_go(spark: SparkSession) -> None:
     """Has the driver collect tables that nothing refers to, so that the shuffles behind them leave the disks."""
     gc.collect()

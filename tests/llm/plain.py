@@ -132,3 +132,18 @@ def linked(prints, threshold=4):
             a, b = sorted((root(k), root(int(j))))
             parent[b] = a
     return [root(k) for k in range(len(prints))]
+
+
+def convolved(network, ids):
+    """Class probabilities of one row of symbols: each filter at each place, the largest response, the softmax."""
+    deep = [network.embedding[i].astype(float) for i in ids]
+    nothing = np.zeros(network.embedding.shape[1])
+    hidden = []
+    for filters, bias in zip(network.filters, network.bias):
+        width, _, count = filters.shape
+        for f in range(count):
+            best = max(sum(float((deep[p + k] if p + k < len(deep) else nothing) @ filters[k, :, f]) for k in range(width)) for p in range(len(deep)))
+            hidden.append(max(best + float(bias[f]), 0.0))
+    logits = np.array(hidden) @ network.head.astype(float) + network.shift.astype(float)
+    parts = np.exp(logits - logits.max())
+    return parts / parts.sum()

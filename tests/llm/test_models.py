@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.llm import classlm, language, toxicity
+from tallyline.llm import classlm, language, tables, toxicity
 from tallyline.llm.texts import remainder, utf8, words
 from tests.llm import docs, plain
 
@@ -72,6 +72,44 @@ def test_language_of_awkward_rows(table, corpus, spark):
     assert language.sample(docs.frame(spark, []), F.lit(True)) == []
 
 
+def test_letters_are_those_of_unicode(spark):
+    texts = ["½ ² 123", "Ⅷ ① ٣ _", "é", "漢", "½ a"]
+    rows = [(k, t, None, None, None, None, None) for k, t in enumerate(texts)]
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs.frame(spark, rows), None, ["en"]).collect()}
+    assert [got[k] for k in range(5)] == ["und", "und", "en", "en", "en"]
+
+
+def test_thresholds_at_every_size():
+    for n in (1, 600, 10**4, 6 * 10**8, 10**10, 10**15):
+        share = min(1, tables.threshold(600, n) / (1 << 63))
+        assert min(n, 600) <= share * n <= max(n if n < 1300 else 1300, 1)
+
+
+def test_samples_are_exact_and_bounded_whatever_repeats(spark):
+    hot = spark.range(20_000).selectExpr("cast(7 as long) doc_id", "'the same text of one id' text", "'en' lang")
+    rest = spark.range(900).selectExpr("id doc_id", "concat('text ', id, ' of many') text", "if(id % 3 = 0, 'de', 'en') lang")
+    found = language.sample(hot.unionByName(rest), F.lit(True), per_language=50)
+    whole = lambda some, lang: {t for la, t in some if la == lang and t.startswith(("text ", "the same"))}
+    assert [len(whole(found, lang)) for lang in ("de", "en")] == [50, 50]
+    few = language.sample(rest.limit(30), F.lit(True), per_language=50)
+    assert sum(len(whole(few, lang)) for lang in ("de", "en")) == 30
+    # What is chosen does not depend on partitions.
+    assert found == language.sample(rest.repartition(7).unionByName(hot), F.lit(True), per_language=50)
+
+
+def test_language_network_by_plain_sums(corpus, spark):
+    """Convolution, pooling and softmax of single windows, written out."""
+    network, languages = language.fit(language.sample(corpus, F.lit(True)))
+    texts = ["The stone and the river of the cloud", "Der Fluss und das Haus", "x" * 700 + " la maison de la rue", "é!"]
+    for text, chances in zip(texts, language.Reader(network)(pa.array(texts))):
+        data = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+        total = np.zeros(len(languages))
+        for start in range(0, len(data), language.WINDOW):
+            window = data[start : start + language.WINDOW]
+            total += plain.convolved(network, list(window) + [language.PAD] * (language.WINDOW - len(window))) * len(window)
+        assert chances == pytest.approx(total / len(data), abs=1e-4)
+
+
 def test_a_long_text_is_read_to_its_end(corpus):
     network, languages = language.fit(language.sample(corpus, F.lit(True)))
     rng = random.Random(9)

@@ -10,8 +10,9 @@ texts of the language that pass the base rules. The distance is the square root
 Jensen-Shannon divergence (base 2, so 0 to 1). A text fails if a distance exceeds its
 limit; a histogram counts only from a least length on, as few words scatter by chance.
 
-A text without a language, or of one with no list of common words, is compared with the
-language that has most of its words in its list. Languages without reference fail nothing.
+A text without a language is compared with the language that has most of its words in its
+list. A language without a list of common words has its own reference of characters, and no
+test of words. Languages without reference fail nothing.
 NULL and empty texts have no words and fail the base rules. Every text is handled within
 its row, whatever its length; repeated rows and extra columns change nothing. What is
 joined is one row for each language.
@@ -84,7 +85,7 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = docs.select("doc_id", F.col("lang").alias("lang"), body.alias("text"),
                        F.array_remove(F.split(body, SPACE + "+"), "").alias("words"))
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    speech = F.when(F.col("lang").isin(list(COMMON)), F.col("lang")).otherwise(closest_language(F.col("words")))
+    speech = F.coalesce("lang", closest_language(F.col("words")))
 
     def counts(listed: Column) -> Column:
         some = F.filter(F.transform("words", F.lower), lambda w: F.array_contains(listed, w))

@@ -67,9 +67,9 @@ win AS (SELECT r, p, array_to_string(w[p : p + 4], ' ') AS k FROM d, unnest(rang
 twice AS (SELECT r, p FROM win QUALIFY count(*) OVER (PARTITION BY r, k) > 1),
 again AS (SELECT r, count(DISTINCT q) AS n FROM twice, unnest(range(p, p + 5)) AS u(q) GROUP BY r),
 guess AS (SELECT r, max({{'n': len(list_filter(w, lambda x: list_contains(listed, lower(x)))), 'name': language}}).name AS language
-          FROM d, lists WHERE lang IS NULL OR lang NOT IN (SELECT language FROM lists) GROUP BY r),
+          FROM d, lists WHERE lang IS NULL GROUP BY r),
 counted AS (
-    SELECT d.r, doc_id, coalesce(guess.language, lang) AS language, w, len(w) AS n_words, length(t) AS chars,
+    SELECT d.r, doc_id, coalesce(lang, guess.language) AS language, w, len(w) AS n_words, length(t) AS chars,
            coalesce(length(array_to_string(w, '')), 0) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) AS n_symbols,
            list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
            coalesce(again.n, 0) AS n_repeat_words, {_CLASS_COUNTS}
@@ -77,9 +77,9 @@ counted AS (
 binned AS (
     SELECT c.*, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
            [{_CLASS_LIST}, chars - word_chars, word_chars - ({_CLASS_SUM})] AS char_bins,
-           list_transform(listed, lambda x: len(list_filter(w, lambda y: lower(y) = x))) AS common
-    FROM counted c JOIN lists USING (language)),
-bins AS (SELECT *, list_append(common, n_words - list_sum(common)) AS word_bins FROM binned),
+           list_transform(coalesce(listed, []), lambda x: len(list_filter(w, lambda y: lower(y) = x))) AS common
+    FROM counted c LEFT JOIN lists USING (language)),
+bins AS (SELECT *, list_append(common, n_words - coalesce(list_sum(common), 0)) AS word_bins FROM binned),
 sums AS (
     SELECT language, list(s ORDER BY k) FILTER (kind = 'char') AS char_ref, list(s ORDER BY k) FILTER (kind = 'word') AS word_ref
     FROM (SELECT language, kind, k, sum(x) AS s FROM (

@@ -241,3 +241,15 @@ def test_quality_verdict(spark):
     assert all(got[k].kept for k in range(30)) and not got[90].kept and not got[91].kept
     assert got[92].char_distance is None and got[92].word_distance is None
     assert 0 <= got[0].char_distance < got[90].char_distance <= 1
+
+
+def test_quality_of_languages_without_a_list(spark):
+    rng = random.Random(4)
+    speak = {"fr": ["de", "la", "et", "les", "maison", "chat", "sur", "dans", "rue"], "pl": ["jest", "się", "nie", "dom", "kot", "ulica", "że", "być"],
+             "ru": ["дом", "кот", "улица", "река", "и", "не", "быть", "что"]}
+    prose = lambda lang: " ".join(rng.choice(speak[lang]) + rng.choice(["", "", rng.choice(speak[lang])]) for _ in range(150))
+    rows = [(lang, prose(lang)) for lang, n in (("fr", 40), ("pl", 20), ("ru", 10)) for _ in range(n)]
+    rows += [("ru", "x7 #$% " * 150)] + [(None, prose("fr"))]
+    table = spark.createDataFrame([(k, text, lang) for k, (lang, text) in enumerate(rows)], "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.kept for r in divergence.judge(table).collect()}
+    assert all(kept[k] for k in range(70)) and not kept[70] and kept[71]

@@ -11,9 +11,10 @@ language gets the threshold that separates its labels best, and the score is mov
 the log-odds scale so that this threshold reads ``CUT``. A text's language is guessed
 from its words by their frequencies in the sample's languages.
 
-The network is fitted on the driver to a bounded sample of labelled rows: about
-``PER_GROUP`` documents of each label and language, chosen by a hash of their id, of at
-most ``SAMPLE_BYTES`` bytes each. Whole texts are scored, whatever their length.
+The network is fitted on the driver to a bounded sample of labelled rows:
+``PER_GROUP`` documents of each label and language, or all there are, those with the
+smallest hash of id and text, of at most ``SAMPLE_BYTES`` bytes each. A row repeated any
+number of times is one. Whole texts are scored, whatever their length.
 
 NULL and empty texts get the score of a text without known words. With no labelled row,
 or one label only, every score is 0, or that label. Rows are independent: repeated rows,
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.convnet import Network, softmax, train
 from tallyline.llm.phrases import hashed_words
+from tallyline.llm.tables import bounded_sample, hash63, stored
 from tallyline.llm.texts import SLICE_BYTES, map_text, slices
 
 WIDTHS, FILTERS, DEPTH, EPOCHS = (1, 2, 3), 8, 8, 7
@@ -40,21 +42,20 @@ BUCKETS = np.uint64((1 << 40) - 1)
 
 
 def sample(docs: DataFrame, labels: DataFrame, allowed: Column, per_group: int = PER_GROUP) -> list[tuple]:
-    """(id, language, label, text) of a bounded sample of the allowed labelled rows, to the driver."""
+    """(id, language, label, text) of a bounded sample of the allowed labelled rows, to the driver.
+
+    Each label and language give ``per_group`` documents, or all they have; rows that repeat id
+    and text are one. Only ids and hashes are sorted; the texts of those chosen are read after.
+    """
     known = labels.where("toxic IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("__toxic"))
     rows = docs.where(allowed & (F.octet_length("text") <= SAMPLE_BYTES)).select(
-        "doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "text")
-    ids = rows.select("doc_id", "lang").join(known, F.col("doc_id") == F.col("__id"))
-    sizes = {(r.lang, r["__toxic"]): r.n for r in ids.groupBy("lang", "__toxic").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
-        return []
-    million = 1_000_000
-    share = F.create_map(*[x for (lang, toxic), n in sizes.items()
-                           for x in (F.lit(f"{toxic} {lang}"), F.lit(int(min(1, per_group / n) * million)))])
-    group = F.concat_ws(" ", F.col("__toxic").cast("string"), "lang")
-    chosen = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(million)) < share[group]).select("doc_id", "__toxic").distinct()
-    out = rows.join(chosen.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"))
-    return sorted((r.doc_id, r.lang, int(r["__toxic"] > 0), r.text) for r in out.select("doc_id", "lang", "__toxic", "text").toLocalIterator())
+        "doc_id", F.coalesce("lang", F.lit("")).alias("lang"), hash63("doc_id", "text").alias("__hash"), "text")
+    ids = rows.select("doc_id", "lang", "__hash").join(known, F.col("doc_id") == F.col("__id")).drop("__id")
+    chosen = stored(bounded_sample(ids, ["lang", "__toxic"], per_group).select("doc_id", "__hash", "__toxic"), "chosen")
+    texts = rows.join(chosen.select(F.col("doc_id").alias("__id"), F.col("__hash").alias("__h"), "__toxic"),
+                      (F.col("doc_id") == F.col("__id")) & (F.col("__hash") == F.col("__h")))
+    texts = texts.dropDuplicates(["doc_id", "lang", "__hash"])
+    return sorted((r.doc_id, r.lang, int(r["__toxic"] > 0), r.text) for r in texts.select("doc_id", "lang", "__toxic", "text").toLocalIterator())
 
 
 @dataclass

@@ -97,6 +97,31 @@ def test_samples_are_exact_and_bounded_whatever_repeats(spark):
     assert found == language.sample(rest.repartition(7).unionByName(hot), F.lit(True), per_language=50)
 
 
+def test_toxicity_sample_of_one_repeated_id(spark):
+    hot = spark.range(20_000).selectExpr("cast(7 as long) doc_id", "'the same text of one id' text", "'en' lang")
+    rest = spark.range(1000, 2200).selectExpr("id doc_id", "concat('text ', id) text", "if(id % 3 = 0, null, 'en') lang")
+    marks = spark.range(0, 2200).selectExpr("id doc_id", "cast(id % 2 as int) toxic")
+    found = toxicity.sample(hot.unionByName(rest), marks, F.lit(True), per_group=40)
+    groups = {(lang, toxic): sum(f[1:3] == (lang, toxic) for f in found) for lang in ("", "en") for toxic in (0, 1)}
+    assert set(groups.values()) == {40} and sum(f[0] == 7 for f in found) <= 1
+    assert found == toxicity.sample(rest.repartition(5).unionByName(hot), marks, F.lit(True), per_group=40)
+
+
+def test_toxicity_network_by_plain_sums(corpus):
+    """The score of a text from its known words, convolution, pooling, softmax and the language's move, written out."""
+    labels = corpus.select("doc_id", "toxic")
+    model = toxicity.fit(toxicity.sample(corpus, labels, F.lit(True)))
+    none = len(model.buckets)
+    for row in corpus.orderBy("doc_id").limit(6).collect():
+        words = [int(h) & int(toxicity.BUCKETS) for h in toxicity.hashed_words(pa.array([row.text]))[0]]
+        places = {int(b): k for k, b in enumerate(model.buckets)}
+        ids = [places.get(w, none) for w in words] or [none]
+        chance = plain.convolved(model.network, ids)
+        language_ = model.spoken[ids].sum(axis=0).argmax()
+        odds = np.log(chance[1] + 1e-9) - np.log(chance[0] + 1e-9) + model.moves[language_]
+        assert model.score(pa.array([row.text]))[0] == pytest.approx(1 / (1 + np.exp(-odds)), abs=1e-3)
+
+
 def test_language_network_by_plain_sums(corpus, spark):
     """Convolution, pooling and softmax of single windows, written out."""
     network, languages = language.fit(language.sample(corpus, F.lit(True)))

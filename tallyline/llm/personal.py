@@ -90,6 +90,10 @@ def right_octets(text: str) -> bool:
     return all(len(part.lstrip("0")) <= 3 and int(part[-4:]) <= 255 for part in text.split("."))
 
 
+def cover(taken: bytearray, start: int, end: int) -> None:
+    taken[start:end] = b"\x01" * (end - start)
+
+
 def numbers(text: str) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[str, int, int]]]:
     """Base spans of the three kinds of numbers, and candidates that fail them."""
     base, more = {"ip": [], "card": [], "phone": []}, []
@@ -97,12 +101,12 @@ def numbers(text: str) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[str
         part, at = run.group(), run.start()
         if len(part) < 7:
             continue
-        taken = []
+        taken = bytearray(len(part))          # 1 where a base span lies
         if part.count(".") >= 3:
             for m in IP.finditer(part):
                 if right_octets(m.group()):
                     base["ip"].append((at + m.start(), at + m.end()))
-                    taken.append(m.span())
+                    cover(taken, *m.span())
                 else:
                     more.append(("ip", at + m.start(), at + m.end()))
         if len(part) >= 12:
@@ -110,7 +114,7 @@ def numbers(text: str) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[str
                 digits = re.sub("[^0-9]", "", m.group()) if m.end() - m.start() <= 64 else ""
                 if 13 <= len(digits) <= 19 and luhn(digits):
                     base["card"].append((at + m.start(), at + m.end()))
-                    taken.append(m.span())
+                    cover(taken, *m.span())
                 elif 12 <= len(digits) <= 19:
                     more.append(("card", at + m.start(), at + m.end()))
         if "+" in part:
@@ -118,10 +122,10 @@ def numbers(text: str) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[str
                 digits = sum(c.isdigit() for c in m.group())
                 if 9 <= digits <= 15:
                     base["phone"].append((at + m.start(), at + m.end()))
-                    taken.append(m.span())
+                    cover(taken, *m.span())
         for m in LOOSE_PHONE.finditer(part):
             digits = sum(c.isdigit() for c in m.group())
-            if 7 <= digits <= 15 and all(m.end() <= a or b <= m.start() for a, b in taken):
+            if 7 <= digits <= 15 and taken.find(1, *m.span()) < 0:
                 more.append(("phone", at + m.start(), at + m.end()))
     return base, more
 
@@ -216,6 +220,7 @@ class Classifier:
 
     weights: dict[str, np.ndarray] = field(default_factory=dict)
     tables: dict[str, np.ndarray] = field(default_factory=dict)
+    known: dict[tuple[str, int], float] = field(default_factory=dict)   # chances asked for before
 
     def chance(self, kind: str, codes: np.ndarray) -> np.ndarray:
         if kind not in self.weights:
@@ -226,10 +231,22 @@ class Classifier:
         """(base spans, all spans by kind and start)."""
         base, voted = candidates(text)
         out = [(kind, a, b) for kind in KINDS for a, b in base[kind]]
-        more = [(float(self.chance(kind, np.array([code]))[0]), a, b, kind) for kind, a, b, code, fixed in voted if not fixed]
-        for chance, a, b, kind in sorted(more, key=lambda m: (-m[0], m[1])):
-            if chance >= CUT and all(b <= x or y <= a for _, x, y in out):
-                out.append((kind, a, b))
+        more = []
+        for kind, a, b, code, fixed in voted:
+            if not fixed:
+                chance = self.known.get((kind, code))
+                if chance is None:
+                    chance = self.known[kind, code] = float(self.chance(kind, np.array([code]))[0])
+                if chance >= CUT:
+                    more.append((chance, a, b, kind))
+        if more:
+            taken = bytearray(len(text or ""))
+            for _, a, b in out:
+                cover(taken, a, b)
+            for _, a, b, kind in sorted(more, key=lambda m: (-m[0], m[1])):
+                if taken.find(1, a, b) < 0:
+                    out.append((kind, a, b))
+                    cover(taken, a, b)
         return base, sorted(out, key=lambda s: (KINDS.index(s[0]), s[1]))
 
 

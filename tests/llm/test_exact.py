@@ -253,3 +253,17 @@ def test_quality_of_languages_without_a_list(spark):
     table = spark.createDataFrame([(k, text, lang) for k, (lang, text) in enumerate(rows)], "doc_id long, text string, lang string")
     kept = {r.doc_id: r.kept for r in divergence.judge(table).collect()}
     assert all(kept[k] for k in range(70)) and not kept[70] and kept[71]
+
+
+def test_personal_data_of_very_long_runs(spark):
+    import time
+    line = "10.0.0.1 555-123-4567 "
+    learned = personal.Classifier({kind: np.concatenate([[9.0], np.zeros(personal.LABELERS * 2 + personal.SIZES - 1)]) for kind in personal.KINDS})
+    took = {}
+    for n in (5_000, 40_000):
+        start = time.perf_counter()
+        base, spans = learned.spans(line * n)
+        took[n] = time.perf_counter() - start
+        assert len(base["ip"]) == n and len(spans) >= n
+        assert all(a[2] <= b[1] for a, b in zip(sorted(spans, key=lambda s: s[1]), sorted(spans, key=lambda s: s[1])[1:]))
+    assert took[40_000] < 30 * took[5_000]

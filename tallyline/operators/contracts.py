@@ -132,20 +132,23 @@ class DataContract:
                                                  F.col(name).cast("string").alias("value"), "rows") for name in listed]
         return reduce(DataFrame.unionByName, parts, empty)
 
-    def validate(self, df: DataFrame) -> ContractResult:
-        """Check schema and rules in one aggregate. ``all_offenders`` lists the values."""
+    def metrics(self, df: DataFrame) -> list[Column]:
+        """Row count and broken rows of every rule, as aggregates that may ride on another pass."""
+        return [F.count(F.lit(1)).alias("rows"), *[F.count_if(r.broken).alias(f"rule_{k}") for k, r in enumerate(self.rules(df))]]
+
+    def result(self, df: DataFrame, counts: dict[str, int]) -> ContractResult:
+        """What the ``metrics`` of ``df`` say about it."""
         errors = self.schema_errors(df)
-        rules = self.rules(df)
-        counts = df.agg(F.count(F.lit(1)), *[F.count_if(r.broken) for r in rules]).first()
-        for rule, broken in zip(rules, counts[1:]):
-            if not broken:
-                continue
-            text = rule.message
-            if rule.name == "allowed_values":
-                text += f" in {broken} rows"
-            errors.append(text)
+        for k, rule in enumerate(self.rules(df)):
+            broken = counts[f"rule_{k}"]
+            if broken:
+                errors.append(f"{rule.message} in {broken} rows" if rule.name == "allowed_values" else rule.message)
         return ContractResult(self.contract_name, dt.datetime.now(dt.timezone.utc).isoformat(),
-                              not errors, errors, counts[0])
+                              not errors, errors, counts["rows"])
+
+    def validate(self, df: DataFrame) -> ContractResult:
+        """Check schema and rules in one aggregate. ``all_offenders`` lists the values."""
+        return self.result(df, df.agg(*self.metrics(df)).first().asDict())
 
     def enforce(self, df: DataFrame) -> DataFrame:
         """Pass valid data on, or stop the run."""

@@ -127,9 +127,85 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM kept QUALIFY rank <= {TOP}
 """
 
+
+
+def _least(*ways: str) -> str:
+    """The cheapest way, of equals that with the least edits; ways that are NULL do not count."""
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _more(way: str, cost: str, edit: str, line: str | None, when: str = "true") -> str:
+    """A way with one more edit, and one more line of text unless it is None."""
+    text = f"{way}.t" if line is None else f"{way}.t || CASE WHEN {way}.t = '' THEN '' ELSE chr(10) END || {line}"
+    return f"CASE WHEN {way} IS NOT NULL AND {when} THEN {{'c': {way}.c + {cost}, 'k': {way}.k || '{edit}', 't': {text}}} END"
+
+
+# Ways to have written nothing (e), up to a system message (s), a user (u), an assistant (a), before and after inserts.
+_INSERTED_U = _least("u", *(_more(x, "3", "I", "'user:'") for x in "esa"))
+_INSERTED_A = _least("a", _more("v", "3", "I", "'assistant:'"))
+_KEPT = "role || ':' || text"
+_STAYS = "fault NOT IN ('blank', 'duplicate')"
+_EXTRA = "CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END"
+
+
+def _row(to: str, own: str | None, before: str, name: str | None) -> str:
+    """Ways to stand in a state after a row: it is deleted, kept if its initial is ``own``, or given the role ``name``."""
+    ways = [_more(to, "4", "D", None)]
+    if own:
+        ways += [_more(x, f"0 + {_EXTRA}", "K", _KEPT, f"{_STAYS} AND starts_with(role, '{own}')") for x in before]
+    if name:
+        ways += [_more(x, f"3 + {_EXTRA}", "R", f"'{name}:' || text", _STAYS) for x in before]
+    return _least(*ways)
+
+
+_NO_WAY = "CAST(NULL AS STRUCT(c BIGINT, k VARCHAR, t VARCHAR))"
+
+OP12 = rf"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+coded AS (
+    SELECT *, xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(key, ''),
+                  lambda b: [CAST(ord(b) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+              lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 20 AS code
+    FROM keyed),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN code = 1 THEN '' WHEN code = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+    FROM coded, unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copies(n) WHERE code <> 0),
+groups AS (SELECT conv_id, row_number() OVER () AS g FROM (SELECT DISTINCT conv_id FROM conversations) d),
+placed AS (
+    SELECT g, turn, role, text, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS i
+    FROM damaged JOIN groups ON damaged.conv_id IS NOT DISTINCT FROM groups.conv_id),
+lines AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+                   WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 THEN 'duplicate'
+                   WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE 'fine' END AS fault,
+           lag(role) OVER (PARTITION BY g ORDER BY i) AS earlier
+    FROM placed),
+ways AS (
+    SELECT g, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'k': '', 't': ''}} AS e, {_NO_WAY} AS s, {_NO_WAY} AS u, {_NO_WAY} AS a FROM groups
+    UNION ALL
+    SELECT g, i, {_row("e", None, "", None)}, {_row("s", "s", "e", None)}, {_row("v", "u", "esb", "user")}, {_row("b", "a", "v", "assistant")}
+    FROM (SELECT *, {_INSERTED_A} AS b
+          FROM (SELECT lines.g, lines.i, role, text, fault, e, s, u, a, {_INSERTED_U} AS v
+                FROM ways JOIN lines ON lines.g = ways.g AND lines.i = ways.i + 1) x) y),
+ends AS (SELECT g, {_least("e", "b")} AS best
+         FROM (SELECT *, {_INSERTED_A} AS b FROM (SELECT *, {_INSERTED_U} AS v FROM ways QUALIFY i = max(i) OVER (PARTITION BY g)) x) y),
+sums AS (
+    SELECT g, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (i > 1 AND left(earlier, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM lines GROUP BY g)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.k AS audit, sha256(best.t) AS repaired_sha256
+FROM groups JOIN ends USING (g) LEFT JOIN sums USING (g)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_recompression": OP2,
     "op7_positional_index": OP7,
     "op8_divergence": OP8,
+    "op12_hirschberg_repair": OP12,
     "op13_trie_collocations": OP13,
 }

@@ -66,7 +66,11 @@ def segmented(df: DataFrame, keys: list[str], order: Order, rows_per_segment: in
     The number of segments follows from the bytes of the input (where these are not known,
     it is that of the shuffle partitions), or from ``rows_per_segment`` and one count.
     """
-    spark, parts = df.sparkSession, _segments(df, rows_per_segment)
+    return _cut(df, keys, order, _segments(df, rows_per_segment))
+
+
+def _cut(df: DataFrame, keys: list[str], order: Order, parts: int) -> DataFrame:
+    spark = df.sparkSession
     along = [*[F.col(k).asc_nulls_first() for k in keys], *order.columns()]
     cut = df.repartitionByRange(parts, *along).withColumn(SEGMENT, F.spark_partition_id())
     name = f"segments_{uuid.uuid4().hex}"
@@ -100,11 +104,13 @@ def _opened(table: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
     return openings.select(F.col(SEGMENT).alias(f"_of_{_AT}"), *[F.col(c).alias(f"_of_{c}") for c in (*keys, *sums)])
 
 
-def _scanned(table: DataFrame, keys: list[str], order: Order, sums: list[str]) -> DataFrame:
-    """``table`` with its ``sums`` replaced by running ones."""
+def _scanned(table: DataFrame, keys: list[str], order: Order, sums: list[str], parts: int) -> DataFrame:
+    """``table`` with its ``sums`` replaced by running ones; one segment alone has nothing before it."""
     window = (Window.partitionBy(*keys, SEGMENT).orderBy(*order.columns())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = table.select(*[c for c in table.columns if c not in sums], *[F.sum(n).over(window).alias(n) for n in sums])
+    if parts == 1:
+        return local
     opened = F.broadcast(_opened(table, keys, sums))
     joined = local.join(opened, F.col(SEGMENT) == F.col(f"_of_{_AT}"), "left")
     # A sum without values is NULL until there is one.
@@ -122,7 +128,8 @@ def running_sums(df: DataFrame, keys: list[str], order: Order, sums: dict[str, C
     """
     values = df.select(*df.columns, *[v.alias(f"_sum_{n}") for n, v in sums.items()])
     names = [f"_sum_{n}" for n in sums]
-    scanned = _scanned(segmented(values, keys, order, rows_per_segment), keys, order, names)
+    parts = _segments(values, rows_per_segment)
+    scanned = _scanned(_cut(values, keys, order, parts), keys, order, names, parts)
     return scanned.select(*[c for c in df.columns if c not in sums], *[F.col(f"_sum_{n}").alias(n) for n in sums])
 
 
@@ -137,8 +144,18 @@ def trailing(df: DataFrame, keys: list[str], order: Order, rows: int, sums: dict
     at = "_number"
     values = df.select(*df.columns, F.lit(1).cast("bigint").alias(at), *[F.coalesce(v, F.lit(0)).alias(f"_sum_{n}") for n, v in sums.items()])
     names = [f"_sum_{n}" for n in sums]
-    table = segmented(values, keys, order, rows_per_segment)
-    scanned = _scanned(table, keys, order, [at, *names])
+    parts = _segments(values, rows_per_segment)
+    table = _cut(values, keys, order, parts)
+    scanned = _scanned(table, keys, order, [at, *names], parts)
+    wanted = F.col(at) - rows
+    window = Window.partitionBy(*keys, SEGMENT).orderBy(*order.columns())
+
+    def difference(joined: DataFrame, earlier) -> DataFrame:
+        return joined.select(*[c for c in df.columns if c not in sums],
+                             *[(F.col(f"_sum_{n}") - earlier(f"_sum_{n}")).cast(scanned.schema[f"_sum_{n}"].dataType).alias(n) for n in sums])
+
+    if parts == 1:
+        return difference(scanned, lambda name: F.coalesce(F.lag(name, rows).over(window), F.lit(0)))
     # The last rows of each segment's last key, at most ``rows`` of them.
     back = Window.partitionBy(SEGMENT).orderBy(*[F.col(k).desc_nulls_last() for k in keys], F.desc(at))
     tails = scanned.select(*keys, SEGMENT, at, *names).withColumn("_place", F.row_number().over(back)).filter(F.col("_place") <= rows)
@@ -153,8 +170,6 @@ def trailing(df: DataFrame, keys: list[str], order: Order, rows: int, sums: dict
         same = same & known[key].eqNullSafe(firsts[f"_of_{key}"])
     carried = firsts.join(known, same).select(firsts["_to"].alias(f"_of_{_AT}"), *[f"_of_{k}" for k in keys], "_rows")
     joined = scanned.join(F.broadcast(carried), F.col(SEGMENT) == F.col(f"_of_{_AT}"), "left")
-    window = Window.partitionBy(*keys, SEGMENT).orderBy(*order.columns())
-    wanted = F.col(at) - rows
 
     def earlier(name: str) -> Column:
         """The running sum ``rows`` rows before, 0 where the key is not as old."""
@@ -162,5 +177,4 @@ def trailing(df: DataFrame, keys: list[str], order: Order, rows: int, sums: dict
         there = F.filter("_rows", lambda row: row[at] == wanted)
         return F.when(wanted <= 0, F.lit(0)).when(here.isNotNull(), here).otherwise(F.get(there, F.lit(0))[name])
 
-    return joined.select(*[c for c in df.columns if c not in sums],
-                         *[(F.col(f"_sum_{n}") - earlier(f"_sum_{n}")).cast(scanned.schema[f"_sum_{n}"].dataType).alias(n) for n in sums])
+    return difference(joined, earlier)

@@ -63,6 +63,15 @@ def bounded_sample(rows: DataFrame, groups: list[str], wanted: int) -> DataFrame
     return few.withColumn("__place", place).where(F.col("__place") <= wanted).drop("__place")
 
 
+#: Ids that are sent to every task instead of dealing the rows they are looked up for.
+SENT_IDS = 1 << 20
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """``ids``, a stored table of one number a row, as a broadcast up to ``SENT_IDS`` rows, and as it is beyond them."""
+    return F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+
+
 def let_go(spark: SparkSession) -> None:
     """Has the driver collect tables that nothing refers to, so that the shuffles behind them leave the disks."""
     gc.collect()

@@ -48,7 +48,9 @@ UNKNOWN = "und"
 #: Phrases in one trie, words in one table of numbers.
 TRIE_PHRASES, TABLE_WORDS = 1 << 20, 1 << 21
 #: Different words, and candidates met, that a task holds before it sends them.
-HELD_WORDS, HELD_MET = 400_000, 1 << 21
+HELD_WORDS, HELD_MET = 400_000, 1 << 20
+#: Positions that walk a trie at once, and rows that a task sends at once.
+WALKED, SENT = 1 << 18, 1 << 16
 #: Phrases whose counts travel in one row, and tasks whose rows are added up together.
 BLOCK, SUMMED = 4096, 64
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -184,11 +186,17 @@ def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
         totals: dict[str, int] = {}
 
         def table():
-            rows = [(name, word, int(n)) for name, (_, _, counts, some) in held.items() for word, n in zip(some, counts)]
-            rows += [(name, None, n) for name, n in totals.items()]
+            if not totals:
+                return None
+            found = {"lang": [], "word": [], "n": np.concatenate([*(x[2] for x in held.values()), list(totals.values())])}
+            for name, (_, _, _, some) in held.items():
+                found["lang"] += [name] * len(some)
+                found["word"] += some
+            found["lang"] += totals
+            found["word"] += [None] * len(totals)
             held.clear()
             totals.clear()
-            return dict(zip(("lang", "word", "n"), map(list, zip(*rows)))) if rows else None
+            return found
 
         def work(texts, langs):
             data, starts, ends, doc, hashes, _ = _tokens(texts, 0)
@@ -308,16 +316,18 @@ def _walk(numbered: DataFrame, make, fields: str) -> DataFrame:
     """Rows that ``make()(numbers)`` gives for each batch of numbered texts, and at its end."""
     bounded_batches(numbered.sparkSession)
 
+    def sent(made: pa.RecordBatch | None) -> Iterator[pa.RecordBatch]:
+        if made is not None:
+            for start in range(0, made.num_rows, SENT):
+                yield made.slice(start, SENT)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work, finish = make()
         for batch in batches:
-            values = batch.column(0).flatten().to_numpy()
-            made = work(np.concatenate([values, np.zeros(LONGEST, np.int32)]))
-            if made is not None:
-                yield made
-        made = finish()
-        if made is not None:
-            yield made
+            values = np.concatenate([batch.column(0).flatten().to_numpy(), np.zeros(LONGEST, np.int32)])
+            for start in range(0, len(values) - LONGEST, WALKED):
+                yield from sent(work(values[start : start + WALKED + LONGEST]))
+        yield from sent(finish())
 
     return numbered.mapInArrow(run, fields)
 
@@ -384,7 +394,8 @@ def _counted(numbered: DataFrame, trie: Trie, count: int) -> DataFrame:
             for k in range(1, LONGEST):
                 nodes = trie.step(nodes, ids[at + k])
                 at, nodes = at[nodes > 0], nodes[nodes > 0]
-                sums[:] += np.bincount(trie.phrase[nodes] + 1, minlength=count + 1)
+                found, n = np.unique(trie.phrase[nodes], return_counts=True)
+                sums[found + 1] += n
             return None
 
         def finish():

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyline.llm import collocations
@@ -118,3 +119,20 @@ def test_products_beyond_64_bits(spark):
 def test_empty(spark):
     assert found(collocations.collocations(frame(spark, []))) == []
     assert found(collocations.collocations(frame(spark, [(None, None), ("a b", "en")]))) == []
+
+
+def test_a_long_text_walks_in_bounded_parts(spark):
+    size = 2 * collocations.WALKED + 3
+    numbered = spark.range(0, 1, 1, 1).selectExpr(f"transform(sequence(1, {size}), x -> cast(x AS int)) AS ids")
+
+    def make():
+        def work(ids):
+            end = len(ids) - collocations.LONGEST
+            return pa.RecordBatch.from_arrays([pa.array([end]), pa.array([int(ids[0])]), pa.array([int(ids[end])])], ["positions", "first", "after"])
+
+        return work, lambda: pa.RecordBatch.from_arrays([pa.array(np.full(3 * collocations.SENT + 1, -1))] * 3, ["positions", "first", "after"])
+
+    rows = collocations._walk(numbered, make, "positions long, first long, after long")
+    step = collocations.WALKED
+    assert [tuple(r) for r in rows.where("positions > 0").collect()] == [(step, 1, step + 1), (step, step + 1, 2 * step + 1), (3, 2 * step + 1, 0)]
+    assert rows.where("positions < 0").count() == 3 * collocations.SENT + 1

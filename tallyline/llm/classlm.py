@@ -33,11 +33,10 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.tables import let_go, stored, stored_sum
+from tallyline.llm.tables import let_go, place, stored, stored_sum
 from tallyline.llm.texts import bounded_batches, emit_from_text, mix, slices, utf8, word_hashes, words
 
 FREQUENT, GROUPS, CLASSES, EXCHANGES = 512, 128, 40, 8
@@ -360,13 +359,20 @@ def likelihood(between: np.ndarray) -> float:
 
 def settle(docs: DataFrame, table: DataFrame, rounds: int = EXCHANGES, text: str = "text",
            block_bytes: int = ROUND_BYTES) -> tuple[DataFrame, np.ndarray]:
-    """(table (token, n, class) after the rounds, how often one class follows another under it)."""
+    """(table (token, n, class) after the rounds, how often one class follows another under it).
+
+    What a round counts is stored in the place of the round before, and the shuffles behind it
+    leave the disks before it is read; of the classes the last two tables are kept.
+    """
+    spark = docs.sparkSession
+    counted, kept = place(spark, "tallies"), [place(spark, "classes"), place(spark, "classes")]
     runs = stored(sequences(docs, text, block_bytes), "sequences")
     let_go(docs.sparkSession)
     words_ = table.agg(F.sum("n")).head()[0] or 0
     best = None
     for k in range(rounds + 1):
-        tallied = tallies(runs, table).persist(StorageLevel.DISK_ONLY)
+        tallied = stored(tallies(runs, table), path=counted)
+        let_go(spark)
         between = np.zeros((CLASSES, CLASSES))
         for batch in tallied.where("token IS NULL").select("cells").toLocalIterator():
             between += np.frombuffer(bytes(batch.cells), np.int64).reshape(CLASSES, CLASSES)
@@ -378,10 +384,8 @@ def settle(docs: DataFrame, table: DataFrame, rounds: int = EXCHANGES, text: str
             moved = stored(moves(tallied, between), "moves")
             some = bool(moved.head(1))
             if some:
-                table = stored(table.join(moved, "token", "left").select("token", "n", F.coalesce("to", "class").alias("class")), "classes")
-        tallied.unpersist(blocking=True)
-        del tallied
-        let_go(docs.sparkSession)
+                table = stored(table.join(moved, "token", "left").select("token", "n", F.coalesce("to", "class").alias("class")), path=kept[k % 2])
+        let_go(spark)
         if k == rounds or not gained or not some:
             return best[1], best[2]
     raise AssertionError

@@ -226,3 +226,19 @@ def test_exchange_finds_what_alternates():
                 pairs[a, b] = 50 + a + b
     of = classlm.exchange(pairs, classes=2)
     assert len({of[k] for k in (0, 2, 4, 6)}) == 1 and len({of[k] for k in (1, 3, 5, 7)}) == 1 and of[0] != of[1]
+
+
+def test_rounds_hold_no_shuffles_of_what_was_counted(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(k, " ".join(f"w{rng.randint(0, 30)}{'ab'[j % 2]}" for j in range(40)), "en", "s", None, "x", None) for k in range(80)]
+    held, places, move = [], [], classlm.moves
+
+    def moves(tallied, between):
+        held.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        places.append({name.rsplit("/", 2)[-2] for name in tallied.inputFiles()})
+        return move(tallied, between)
+
+    monkeypatch.setattr(classlm, "moves", moves)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    assert classlm.scores(docs.frame(spark, rows), F.lit(True)).count() == 80
+    assert held and set(held) == {before} and len(set().union(*places)) == 1

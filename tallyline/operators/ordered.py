@@ -52,7 +52,8 @@ def _input_bytes(df: DataFrame) -> int | None:
     return None if any(size > 1 << 60 for size in sizes) else sum(sizes)
 
 
-def _segments(df: DataFrame, rows_per_segment: int | None) -> int:
+def segments(df: DataFrame, rows_per_segment: int | None = None) -> int:
+    """In how many parts ``df`` is dealt out."""
     if rows_per_segment is not None:
         return max(1, -(-df.count() // rows_per_segment))
     size = _input_bytes(df)
@@ -66,7 +67,7 @@ def segmented(df: DataFrame, keys: list[str], order: Order, rows_per_segment: in
     The number of segments follows from the bytes of the input (where these are not known,
     it is that of the shuffle partitions), or from ``rows_per_segment`` and one count.
     """
-    return _cut(df, keys, order, _segments(df, rows_per_segment))
+    return _cut(df, keys, order, segments(df, rows_per_segment))
 
 
 def _cut(df: DataFrame, keys: list[str], order: Order, parts: int) -> DataFrame:
@@ -128,7 +129,7 @@ def running_sums(df: DataFrame, keys: list[str], order: Order, sums: dict[str, C
     """
     values = df.select(*df.columns, *[v.alias(f"_sum_{n}") for n, v in sums.items()])
     names = [f"_sum_{n}" for n in sums]
-    parts = _segments(values, rows_per_segment)
+    parts = segments(values, rows_per_segment)
     scanned = _scanned(_cut(values, keys, order, parts), keys, order, names, parts)
     return scanned.select(*[c for c in df.columns if c not in sums], *[F.col(f"_sum_{n}").alias(n) for n in sums])
 
@@ -144,7 +145,7 @@ def trailing(df: DataFrame, keys: list[str], order: Order, rows: int, sums: dict
     at = "_number"
     values = df.select(*df.columns, F.lit(1).cast("bigint").alias(at), *[F.coalesce(v, F.lit(0)).alias(f"_sum_{n}") for n, v in sums.items()])
     names = [f"_sum_{n}" for n in sums]
-    parts = _segments(values, rows_per_segment)
+    parts = segments(values, rows_per_segment)
     table = _cut(values, keys, order, parts)
     scanned = _scanned(table, keys, order, [at, *names], parts)
     wanted = F.col(at) - rows

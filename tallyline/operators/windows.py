@@ -4,7 +4,8 @@ In a batch, rows are first summed up by panes, which are as wide as a window's s
 window is then the sum of the panes it covers. So a row enters one group, not one for each
 window over it, and only panes are spread over windows: a pane travels once to the stretch
 of time it lies in, and once more if windows of the stretch before reach into it, and the
-windows of a stretch are put together where its panes are. A stream keeps its windows as
+windows of a stretch are put together where its panes are, in as many parts as the bytes
+of the input and the windows over a row ask for, so a task holds about as much at every size. A stream keeps its windows as
 state, so there each row enters them at once.
 """
 
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions import money
+from tallyline.operators.ordered import segments
 
 OPENING_BALANCE = 10_000
 #: Panes in one stretch of time.
@@ -32,7 +34,7 @@ def _windows(transactions: DataFrame, width: int, step: int, keys: list[str], su
              .agg(*[F.sum(v).alias(n) for n, v in sums.items()]))
     own = F.floor(F.col("_pane") / STRETCH)
     reached = F.when(F.pmod(F.col("_pane"), F.lit(STRETCH)) < count - 1, F.array(own, own - 1)).otherwise(F.array(own))
-    spread = panes.withColumn("_stretch", F.explode(reached)).repartition(*keys, "_stretch")
+    spread = panes.withColumn("_stretch", F.explode(reached)).repartition(count * segments(transactions), *keys, "_stretch")
     # Windows that begin in the stretch: those of the pane itself and of the panes before it.
     start = F.explode(F.filter(F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: F.col("_pane") - k),
                                lambda p: F.floor(p / STRETCH) == F.col("_stretch")))

@@ -174,3 +174,15 @@ def test_running_operators_do_not_depend_on_the_segments(spark, small):
         split = build(df, rows_per_segment=90).orderBy(key).collect()
         whole = build(df, rows_per_segment=10**9).orderBy(key).collect()
         assert split == whole != []
+
+
+def test_windows_and_segments_follow_the_bytes_of_the_input(spark, monkeypatch, small):
+    from tallyline.operators import ordered, windows
+    from tallyline.sources import tables
+
+    rows = tables.transactions(spark, small)
+    expected = sorted(map(tuple, windows.balance_windows(rows).collect()), key=str)
+    monkeypatch.setattr(ordered, "SEGMENT_BYTES", max(1, ordered._input_bytes(rows) // 3))
+    dealt = windows.balance_windows(rows)
+    assert dealt.rdd.getNumPartitions() >= 15 and ordered.segments(rows) >= 3
+    assert sorted(map(tuple, dealt.collect()), key=str) == expected

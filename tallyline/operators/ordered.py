@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tallyline.session import checkpoint_dir
 
 #: Bytes of input for one segment.
-SEGMENT_BYTES = 32 << 20
+SEGMENT_BYTES = 8 << 20
 #: Buckets of one stored table, as many as Spark allows.
 MOST_SEGMENTS = 100_000
 

@@ -16,7 +16,8 @@ class of their group. The class of a token stands beside its count.
 The counts of all training tokens stay distributed. Texts are dealt into blocks of about
 ``BLOCK_BYTES``; each block asks once for each of its different tokens, the counts are
 joined to these requests, and the answers come back to the block. What moves for a block
-is bounded by the block, and a frequent word is asked for once per block.
+is bounded by the block, and a frequent word is asked for once per block. In the rounds the
+words of a block move together, one row for each bucket of hashes.
 
 NULL and empty texts are an end alone. Rows with a NULL id are scored, but nothing is
 learned from them. With no training text every count is 0. Repeated rows and extra
@@ -47,6 +48,8 @@ ROUND_BYTES = 12 << 20
 LEAST_GAIN = 1e-3
 #: Words whose neighbours are counted together.
 TALLIED = 1 << 16
+#: Repeated words of one bucket, of which there are so many that each holds about as many.
+BUCKET_WORDS = 1 << 13
 HELD_TOKENS = 1 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -237,8 +240,29 @@ def _blocks(docs: DataFrame, text: str, block_bytes: int) -> DataFrame:
     return dealt.repartition(blocks, "block")
 
 
-def sequences(docs: DataFrame, text: str = "text", block_bytes: int = ROUND_BYTES) -> DataFrame:
-    """(block, ids, token): each block's different tokens, one in a row, and its texts as their places in sorted order, in parts."""
+def buckets(token: np.ndarray, bits: int) -> np.ndarray:
+    """The bucket of each token: its first bits."""
+    return (token >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(token), np.int32)
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values end."""
+    return np.flatnonzero(np.concatenate([values[1:] != values[:-1], [True]])) + 1 if len(values) else np.zeros(0, np.int64)
+
+
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The values as one binary for each end."""
+    offsets = np.concatenate([[0], ends]).astype(np.int32) * np.int32(values.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _values(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The values of all binaries in order."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def sequences(docs: DataFrame, bits: int = 0, text: str = "text", block_bytes: int = ROUND_BYTES) -> DataFrame:
+    """(block, ids, bucket, token): each block's different tokens, sorted, a row for each bucket, and its texts as their places in that order, in parts."""
     bounded_batches(docs.sparkSession)
 
     def encode(texts: pa.Table) -> pa.Table:
@@ -246,42 +270,62 @@ def sequences(docs: DataFrame, text: str = "text", block_bytes: int = ROUND_BYTE
         different = np.unique(np.concatenate([np.unique(run) for run in runs]))
         block = texts.column("block")[0].as_py()
         ids = pa.array([np.searchsorted(different, run).astype(np.int32).tobytes() for run in runs], pa.binary())
-        some = pa.table({"block": pa.array([block] * len(ids), pa.int32()), "ids": ids, "token": pa.nulls(len(ids), pa.int64())})
-        size = len(different)
-        return pa.concat_tables([some, pa.table({
-            "block": pa.array(np.full(size, block, np.int32)), "ids": pa.nulls(size, pa.binary()), "token": pa.array(different.view(np.int64))})])
+        own = buckets(different, bits)
+        ends = _runs(own)
+        schema = pa.schema([("block", pa.int32()), ("ids", pa.binary()), ("bucket", pa.int32()), ("token", pa.binary())])
+        count, size = len(ids), len(ends)
+        return pa.concat_tables([
+            pa.table([pa.array([block] * count, pa.int32()), ids, pa.nulls(count, pa.int32()), pa.nulls(count, pa.binary())], schema=schema),
+            pa.table([pa.array([block] * size, pa.int32()), pa.nulls(size, pa.binary()), pa.array(own[ends - 1]), _binary(different, ends)], schema=schema)])
 
     dealt = _blocks(docs, text, block_bytes).select("text", "block")
-    return dealt.groupBy("block").applyInArrow(encode, "block int, ids binary, token long")
+    return dealt.groupBy("block").applyInArrow(encode, "block int, ids binary, bucket int, token binary")
 
 
-def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The values as one binary for each end."""
-    offsets = np.concatenate([[0], ends]).astype(np.int32) * np.int32(values.itemsize)
-    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+#: Added to the class of a repeated word.
+REPEATED = 128
+
+
+def answers(runs: DataFrame, table: DataFrame, bits: int) -> DataFrame:
+    """(of, at, known): the classes of the tokens of each block and bucket, a byte each."""
+
+    def look(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        token = rows.column("token").to_numpy().view(np.uint64)
+        order = np.argsort(token)
+        token = token[order]
+        kind = (rows.column("class").to_numpy() + REPEATED * (rows.column("n").to_numpy() > 1)).astype(np.uint8)[order]
+        known = [kind[np.searchsorted(token, np.frombuffer(mine.as_buffer(), np.uint64))].tobytes() for mine in asked.column("token")]
+        return pa.table({"of": asked.column("block"), "at": asked.column("bucket"), "known": pa.array(known, pa.binary())})
+
+    place = F.shiftrightunsigned("token", 64 - bits).cast("int") if bits else F.lit(0)
+    asked = runs.where("token IS NOT NULL").select("block", "bucket", "token")
+    words_ = table.select(place.alias("place"), "token", "n", "class")
+    return asked.groupBy("bucket").cogroup(words_.groupBy("place")).applyInArrow(look, "of int, at int, known binary")
 
 
-def tallies(runs: DataFrame, table: DataFrame) -> DataFrame:
-    """How often each class follows (codes from 0) and precedes (from ``CLASSES``) each repeated word, a row for each block.
+def tallies(runs: DataFrame, table: DataFrame, bits: int = 0) -> DataFrame:
+    """How often each class follows (codes from 0) and precedes (from ``CLASSES``) each repeated word, a row for each block and bucket.
 
-    Rows with a NULL token hold how often one class follows another (``cells`` alone).
+    A row holds its words, their classes, how many codes each has, the codes and how often
+    they are. Rows with a NULL bucket hold how often one class follows another (``cells`` alone).
     """
-    none = pa.schema([("token", pa.int64()), ("class", pa.int32()), ("codes", pa.binary()), ("cells", pa.binary())])
+    none = pa.schema([("bucket", pa.int32()), *((name, pa.binary()) for name in ("token", "class", "sizes", "codes", "cells"))])
 
-    def tally(parts: pa.Table, known: pa.Table) -> pa.Table:
-        if not parts.num_rows:
+    def tally(parts: pa.Table, found: pa.Table) -> pa.Table:
+        ids = parts.column("ids").drop_null()
+        if not len(ids):
             return none.empty_table()
-        token = known.column("token").to_numpy().view(np.uint64)
-        order = np.argsort(token)
-        token, n, of = token[order], known.column("n").to_numpy()[order], known.column("class").to_numpy()[order]
+        mine = parts.filter(pc.is_valid(parts.column("token"))).sort_by("bucket")
+        token = _values(mine.column("token"), np.uint64)
+        kind = _values(found.sort_by("at").column("known"), np.uint8)
+        of, repeated = kind.astype(np.int64) % REPEATED, np.flatnonzero(kind >= REPEATED)
         end = np.searchsorted(token, END)
-        repeated = np.flatnonzero(n > 1)
         place = np.full(len(token), -1, np.int64)
         place[repeated] = np.arange(len(repeated))
         between = np.zeros(CLASSES * CLASSES, np.int64)
         keys = []
-        for ids in parts.column("ids"):
-            now = np.frombuffer(ids.as_buffer(), np.int32)
+        for run in ids:
+            now = np.frombuffer(run.as_buffer(), np.int32)
             before = np.empty_like(now)
             before[1:] = now[:-1]
             before[:1] = end
@@ -290,21 +334,23 @@ def tallies(runs: DataFrame, table: DataFrame) -> DataFrame:
                 key = place[word] * (2 * CLASSES) + code
                 keys.append(key[place[word] >= 0])
         keys = np.concatenate(keys)
-        made = [pa.table([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([between.tobytes()])], schema=none)]
+        made = [pa.table([pa.nulls(1, pa.int32()), *(pa.nulls(1, pa.binary()) for _ in range(4)), pa.array([between.tobytes()])], schema=none)]
         for first in range(0, len(repeated), TALLIED):
             mine = repeated[first : first + TALLIED]
             low, high = first * 2 * CLASSES, (first + len(mine)) * 2 * CLASSES
             total = np.bincount(keys[(keys >= low) & (keys < high)] - low, minlength=high - low)
             some = np.flatnonzero(total)
-            ends = np.searchsorted(some, (np.arange(len(mine)) + 1) * 2 * CLASSES)
+            after = np.searchsorted(some, (np.arange(len(mine)) + 1) * 2 * CLASSES)
+            own = buckets(token[mine], bits)
+            ends = _runs(own)
             made.append(pa.table([
-                pa.array(token[mine].view(np.int64)), pa.array(of[mine].astype(np.int32)),
-                _binary((some % (2 * CLASSES)).astype(np.uint8), ends), _binary(total[some].astype(np.int32), ends)], schema=none))
+                pa.array(own[ends - 1]), _binary(token[mine], ends), _binary(of[mine].astype(np.uint8), ends),
+                _binary(np.diff(after, prepend=0).astype(np.uint8), ends),
+                _binary((some % (2 * CLASSES)).astype(np.uint8), after[ends - 1]), _binary(total[some].astype(np.int32), after[ends - 1])], schema=none))
         return pa.concat_tables(made)
 
-    answers = runs.where("token IS NOT NULL").select("block", "token").join(table, "token").select("block", "token", "n", "class")
-    parts = runs.where("ids IS NOT NULL").select(F.col("block").alias("at"), "ids")
-    return parts.groupBy("at").cogroup(answers.groupBy("block")).applyInArrow(tally, "token long, class int, codes binary, cells binary")
+    fields = "bucket int, token binary, class binary, sizes binary, codes binary, cells binary"
+    return runs.groupBy("block").cogroup(answers(runs, table, bits).groupBy("of")).applyInArrow(tally, fields)
 
 
 def best_classes(follow: np.ndarray, precede: np.ndarray, old: np.ndarray, between: np.ndarray) -> np.ndarray:
@@ -320,36 +366,16 @@ def best_classes(follow: np.ndarray, precede: np.ndarray, old: np.ndarray, betwe
 def moves(tallied: DataFrame, between: np.ndarray) -> DataFrame:
     """(token, to) of each repeated word that another class suits better."""
 
-    def give(rows: pa.Table) -> pa.RecordBatch:
-        token, old = rows.column(0).to_numpy(), rows.column(1).to_numpy()
-        begins = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        word = np.cumsum(np.concatenate([[True], token[1:] != token[:-1]])) - 1
-        sizes = pc.binary_length(rows.column(2)).to_numpy()
-        codes = np.frombuffer(b"".join(rows.column(2).to_pylist()), np.uint8)
-        cells = np.frombuffer(b"".join(rows.column(3).to_pylist()), np.int32)
-        sums = np.bincount(np.repeat(word, sizes) * (2 * CLASSES) + codes, cells, len(begins) * 2 * CLASSES).reshape(-1, 2 * CLASSES)
-        old = old[begins]
+    def choose(rows: pa.Table) -> pa.Table:
+        token, first, word = np.unique(_values(rows.column("token"), np.uint64), return_index=True, return_inverse=True)
+        old = _values(rows.column("class"), np.uint8)[first].astype(np.int64)
+        sizes, codes, cells = (_values(rows.column(name), kind) for name, kind in (("sizes", np.uint8), ("codes", np.uint8), ("cells", np.int32)))
+        sums = np.bincount(np.repeat(word, sizes) * (2 * CLASSES) + codes, cells, len(token) * 2 * CLASSES).reshape(-1, 2 * CLASSES)
         new = best_classes(sums[:, :CLASSES], sums[:, CLASSES:], old, between)
         moved = new != old
-        return pa.RecordBatch.from_arrays([pa.array(token[begins][moved]), pa.array(new[moved].astype(np.int32))], ["token", "to"])
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) < 1 << 13:
-                continue
-            rows = pa.Table.from_batches(held)
-            token = rows.column(0).to_numpy()
-            last = int(np.searchsorted(token, token[-1]))
-            if last:
-                yield give(rows.slice(0, last))
-                held = rows.slice(last).to_batches()
-        if sum(b.num_rows for b in held):
-            yield give(pa.Table.from_batches(held))
+        return pa.table({"token": pa.array(token[moved].view(np.int64)), "to": pa.array(new[moved].astype(np.int32))})
 
-    rows = tallied.where("token IS NOT NULL").repartition("token").sortWithinPartitions("token")
-    return rows.mapInArrow(choose, "token long, to int")
+    return tallied.where("bucket IS NOT NULL").groupBy("bucket").applyInArrow(choose, "token long, to int")
 
 
 def likelihood(between: np.ndarray) -> float:
@@ -366,15 +392,16 @@ def settle(docs: DataFrame, table: DataFrame, rounds: int = EXCHANGES, text: str
     """
     spark = docs.sparkSession
     counted, kept = place(spark, "tallies"), [place(spark, "classes"), place(spark, "classes")]
-    runs = stored(sequences(docs, text, block_bytes), "sequences")
+    words_, repeated = table.agg(F.sum("n"), F.count_if(F.col("n") > 1)).head()
+    words_, bits = words_ or 0, max(0, -(-repeated // BUCKET_WORDS) - 1).bit_length()
+    runs = stored(sequences(docs, bits, text, block_bytes), "sequences")
     let_go(docs.sparkSession)
-    words_ = table.agg(F.sum("n")).head()[0] or 0
     best = None
     for k in range(rounds + 1):
-        tallied = stored(tallies(runs, table), path=counted)
+        tallied = stored(tallies(runs, table, bits), path=counted)
         let_go(spark)
         between = np.zeros((CLASSES, CLASSES))
-        for batch in tallied.where("token IS NULL").select("cells").toLocalIterator():
+        for batch in tallied.where("bucket IS NULL").select("cells").toLocalIterator():
             between += np.frombuffer(bytes(batch.cells), np.int64).reshape(CLASSES, CLASSES)
         reached = likelihood(between)
         gained = best is None or reached > best[0] + LEAST_GAIN * words_

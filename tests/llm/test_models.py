@@ -242,3 +242,21 @@ def test_rounds_hold_no_shuffles_of_what_was_counted(spark, monkeypatch):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     assert classlm.scores(docs.frame(spark, rows), F.lit(True)).count() == 80
     assert held and set(held) == {before} and len(set().union(*places)) == 1
+
+
+def test_rounds_move_a_row_for_each_block_and_bucket(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(k, " ".join(f"w{rng.randint(0, 3000)}" for _ in range(200)), "en", "s", None, "x", None) for k in range(60)]
+    table, made, move = docs.frame(spark, rows), [], classlm.moves
+
+    def moves(tallied, between):
+        made.append(tallied.count())
+        return move(tallied, between)
+
+    monkeypatch.setattr(classlm, "moves", moves)
+    expected = {r.doc_id: r.score for r in classlm.scores(table, F.lit(True)).collect()}
+    assert set(made) == {2}
+    monkeypatch.setattr(classlm, "BUCKET_WORDS", 256)
+    made.clear()
+    got = {r.doc_id: r.score for r in classlm.scores(table, F.lit(True)).collect()}
+    assert got == pytest.approx(expected) and 2 < min(made) and max(made) <= 17
